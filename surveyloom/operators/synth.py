@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.classes import taxlifestage
 from surveyloom.functions.missing import paste
-from surveyloom.operators.filters import SampleFilter, flag_undersampled, select_catch
+from surveyloom.operators.filters import SampleFilter, select_catch
 from surveyloom.schemas import INTRO_LAG_YEARS, LINEAGE_KEY, RANKS, SAMPLE_KEY
 from surveyloom.session import join_lookup, stage
 
@@ -57,14 +57,13 @@ def stage_lineages(base: DataFrame, with_year: bool = False) -> Lineages:
     return Lineages(table, table.count())
 
 
-def rank_values(lines: DataFrame, keep: Iterable[str]) -> DataFrame:
+def rank_values(lines: DataFrame, keep: Iterable[str], named_only: bool = True) -> DataFrame:
     """One row per lineage and named rank; unnamed ranks are skipped. Species is rank 6."""
     named = F.array(*[
         F.struct(F.lit(i).alias("rank"), F.col(r).alias("value")) for i, r in enumerate(RANKS, 1)
     ])
-    return lines.select(*keep, F.explode(named).alias("_v")).select(
-        *keep, "_v.rank", "_v.value"
-    ).filter("value IS NOT NULL")
+    values = lines.select(*keep, F.explode(named).alias("_v")).select(*keep, "_v.rank", "_v.value")
+    return values.filter("value IS NOT NULL") if named_only else values
 
 
 def inconsistent_values(
@@ -114,10 +113,10 @@ def coverage(lines: DataFrame, inconsistent: DataFrame | None = None) -> DataFra
     )
 
 
-def covered_ranks(lines: DataFrame, cover: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
+def covered_ranks(lines: DataFrame, cover: DataFrame) -> DataFrame:
     """Distinct lineages with the array of (rank, value) they share with all surveys."""
     keys = list(LINEAGE_KEY)
-    exploded = rank_values(lines.select(*keys).distinct(), keys)
+    exploded = rank_values(lines.select(*keys).distinct(), keys, named_only=False)
     marked = cover.withColumnsRenamed({c: f"_c_{c}" for c in cover.columns})
     match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in VALUE_KEY]
     hit = F.when(F.col("_c_rank").isNotNull(), F.struct("rank", "value"))
@@ -160,10 +159,16 @@ def target_lineage(mapping: DataFrame) -> DataFrame:
     return mapping.filter("Target IS NOT NULL").groupBy("SizeClass", "Lifestage", "Target").agg(*shown.values())
 
 
-def flagged(mapping: DataFrame, undersampled: DataFrame | None) -> DataFrame:
+def flagged(taxa: DataFrame, undersampled: DataFrame | None) -> DataFrame:
+    """Flag a table of taxa; both sides hold taxa, not catches, so the join is left to the planner."""
     if undersampled is None:
-        return mapping.withColumn("Undersampled", F.lit(False))
-    return flag_undersampled(mapping, undersampled)
+        return taxa.withColumn("Undersampled", F.lit(False))
+    keys = ("SizeClass", "Taxname", "Lifestage")
+    listed = undersampled.select(*[F.col(k).alias(f"_u_{k}") for k in keys]).distinct()
+    match = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in keys]
+    return taxa.join(listed, match, "left").withColumn(
+        "Undersampled", F.col("_u_Taxname").isNotNull()
+    ).drop(*listed.columns)
 
 
 def roll_up(base: DataFrame, mapping: DataFrame, rows: int, undersampled: DataFrame | None) -> DataFrame:
@@ -275,9 +280,10 @@ def synthesize(
     single = base.select(*SAMPLE_KEY, *LINEAGE_KEY, "CPUE").groupBy(*SAMPLE_KEY, *LINEAGE_KEY).agg(
         F.sum("CPUE").alias("CPUE")
     )
-    single = flagged(single, undersampled).withColumns(
-        {"Taxatype": F.lit("Taxon"), "Taxlifestage": taxlifestage()}
-    )
+    flags = flagged(lines.select("SizeClass", "Taxname", "Lifestage").distinct(), undersampled)
+    single = join_lookup(
+        single, flags, ["SizeClass", "Taxname", "Lifestage"], "left", ["Lifestage"], staged.rows
+    ).withColumns({"Taxatype": F.lit("Taxon"), "Taxlifestage": taxlifestage()})
     alone = comparable_taxa(lines).filter("NOT Comparable").withColumn("Taxlifestage", taxlifestage())
     notes = message("not comparable", caveat_text("Not counted by all surveys"), alone)
     return Synth(attach_env(summed.unionByName(single), env, columns), notes, mode)
