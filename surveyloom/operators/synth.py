@@ -189,6 +189,8 @@ def roll_up(base: DataFrame, mapping: DataFrame, rows: int, undersampled: DataFr
 def attach_env(data: DataFrame, env: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Join sample columns onto the summed rows."""
     present = [c for c in columns if c in env.columns and c not in data.columns]
+    if not present:
+        return data
     return data.join(env.select(*SAMPLE_KEY, *present), list(SAMPLE_KEY), "left")
 
 
@@ -242,10 +244,12 @@ def synthesize(
     start_dates: DataFrame | None = None,
     introductions: DataFrame | None = None,
     all_env: bool = False,
+    env_columns: Iterable[str] = BRIEF_ENV,
 ) -> Synth:
     """Combine surveys on taxa they share (Community) or on all taxa plus shared groups (Taxa).
 
-    ``taxa`` applies in Taxa mode and ``time_consistency`` in Community mode only.
+    ``taxa`` applies in Taxa mode and ``time_consistency`` in Community mode only. ``env_columns``
+    are the sample columns joined to the result, all of them with ``all_env``, no join when empty.
     """
     if mode not in ("Community", "Taxa"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -256,7 +260,7 @@ def synthesize(
     lines = staged.table
     inconsistent = inconsistent_values(lines, start_dates, introductions, intro_lag) if timed else None
     cover = coverage(lines, inconsistent)
-    columns = [c for c in env.columns if c not in SAMPLE_KEY] if all_env else BRIEF_ENV
+    columns = [c for c in env.columns if c not in SAMPLE_KEY] if all_env else env_columns
 
     if mode == "Community":
         mapping = community_map(lines, cover)

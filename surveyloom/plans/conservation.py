@@ -21,8 +21,8 @@ class Conservation:
 
 def check_conservation(catch: DataFrame, env: DataFrame, **options) -> Conservation:
     labelled = catch.withColumn("Taxlifestage", taxlifestage())
-    first = synthesize(catch, env, "Community", **options)
+    first = synthesize(catch, env, "Community", env_columns=(), **options)
     removed = first.caveats.filter("kind = 'removed'").select("SizeClass", "Taxlifestage")
     kept = without_removed(labelled, removed)
-    second = synthesize(kept, env, "Community", **options)
+    second = synthesize(kept, env, "Community", env_columns=(), **options)
     return Conservation(compare_totals(first.data, labelled), compare_totals(second.data, kept))

@@ -7,118 +7,80 @@ is 0). Surveys differ in resolution by rule, so the roll-up keeps, lifts and rem
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.schemas import REGIONS
 
-c = F.col
-SURVEYS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-ADJECTIVES = ("blue", "cold", "hot", "large", "new", "old", "red")
+STATION_LAT = "37.8D + CAST(({n} * 7) % 17 AS DOUBLE) * 0.05D"
+STATION_LONG = "-122.5D + CAST(({n} * 11) % 25 AS DOUBLE) * 0.05D"
+SALT = "(o_orderkey * 13 + o_custkey * 7) % 330"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dbl(x: Column | int | float) -> Column:
-    return x.cast("double") if isinstance(x, Column) else F.lit(float(x))
-
-
-def station_lat(number: Column) -> Column:
-    return dbl(37.8) + dbl((number * 7) % 17) * dbl(0.05)
-
-
-def station_long(number: Column) -> Column:
-    return dbl(-122.5) + dbl((number * 11) % 25) * dbl(0.05)
-
-
-def code(x: Column, values: tuple, other: int) -> Column:
-    """Position of a value in a list, ``other`` beyond it."""
-    at = F.array_position(F.array(*[F.lit(v) for v in values]), x)
-    return F.when(at > 0, at - 1).otherwise(other)
-
-
 def env(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    number = c("c_custkey") % 40
-    salt = (c("o_orderkey") * 13 + c("o_custkey") * 7) % 330
-    return orders.join(customer, c("o_custkey") == c("c_custkey")).select(
-        c("o_orderkey").alias("SampleID"),
-        c("c_mktsegment").alias("Source"),
-        c("o_orderdate").cast("date").alias("Date"),
-        F.year("o_orderdate").alias("Year"),
-        F.month("o_orderdate").alias("Month"),
-        F.concat(F.lit("ST"), number.cast("string")).alias("Station"),
-        F.when(number != 39, station_lat(number)).alias("Latitude"),
-        F.when(number != 39, station_long(number)).alias("Longitude"),
-        F.when(c("o_orderkey") % 29 != 0, dbl(salt) / dbl(10)).alias("SalSurf"),
-        F.when(c("o_orderkey") % 31 != 0, dbl(salt + c("o_orderkey") % 5) / dbl(10)).alias("SalBott"),
-        F.when(c("o_orderkey") % 37 != 0, dbl((c("o_orderkey") * 3) % 200)).alias("Secchi"),
-        (dbl((c("o_orderkey") * 17 + c("o_custkey")) % 200) / dbl(10)).alias("Temperature"),
-        (dbl((c("o_custkey") * 29 + c("o_orderkey")) % 300) / dbl(10)).alias("Chl"),
-        c("o_orderpriority").alias("Tide"),
+    number = "c_custkey % 40"
+    return table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"
+    ).withColumnRenamed("o_custkey", "c_custkey").selectExpr(
+        "o_orderkey AS SampleID", "c_mktsegment AS Source", "CAST(o_orderdate AS DATE) AS Date",
+        "year(o_orderdate) AS Year", "month(o_orderdate) AS Month",
+        f"concat('ST', {number}) AS Station",
+        f"IF({number} <> 39, {STATION_LAT.format(n=f'({number})')}, NULL) AS Latitude",
+        f"IF({number} <> 39, {STATION_LONG.format(n=f'({number})')}, NULL) AS Longitude",
+        f"IF(o_orderkey % 29 <> 0, CAST({SALT.replace('o_custkey', 'c_custkey')} AS DOUBLE) / 10D, NULL) AS SalSurf",
+        f"IF(o_orderkey % 31 <> 0, CAST({SALT.replace('o_custkey', 'c_custkey')} + o_orderkey % 5 AS DOUBLE) / 10D, NULL) AS SalBott",
+        "IF(o_orderkey % 37 <> 0, CAST((o_orderkey * 3) % 200 AS DOUBLE), NULL) AS Secchi",
+        "CAST((o_orderkey * 17 + c_custkey) % 200 AS DOUBLE) / 10D AS Temperature",
+        "CAST((c_custkey * 29 + o_orderkey) % 300 AS DOUBLE) / 10D AS Chl",
+        "o_orderpriority AS Tide",
     )
 
 
 def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
-    )
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "SampleID")
+    parts = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
     samples = env(spark, sf_dir).select("SampleID", "Source", "Year")
-    adj, gen = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
-    si, ai = code(c("Source"), SURVEYS[:4], 4), code(adj, ADJECTIVES, 7)
-    level = (
-        F.when((gen == "widget") & (si == 0), "none")
-        .when((gen == "gizmo") & (si == 1), "Class")
-        .when((gen == "rod") & (si == 2), "Order")
-        .when((gen == "plate") & (adj == "hot") & (c("Year") < 1997), "Genus")
-        .when((gen == "ring") & (adj == "cold") & (c("Year") < 2000), "Genus")
-        .when((ai + si) % 7 == 0, "Genus")
-        .otherwise("Species")
-    )
-    rows = (
-        lines.join(samples, c("l_orderkey") == c("SampleID"))
-        .join(parts, c("l_partkey") == c("p_partkey"))
-        .select(
-            "SampleID", "Source",
-            F.when(c("l_returnflag") == "N", "Micro").when(c("l_returnflag") == "A", "Meso").otherwise("Macro").alias("SizeClass"),
-            F.when(c("l_linestatus") == "O", "Adult").otherwise("Juvenile").alias("Lifestage"),
-            F.when(c("l_discount") == 0, dbl(0)).otherwise(c("l_quantity")).alias("CPUE"),
-            dbl(c("l_linenumber")).alias("Volume"),
-            gen.alias("gen"), c("p_name").alias("sp"), level.alias("lvl"),
-        )
-        .filter(c("lvl") != "none")
-    )
-    g, lvl = c("gen"), c("lvl")
-    calan = g.isin("anvil", "bolt")
-    ranked = rows.withColumns({
-        "Phylum": F.when(g == "widget", "Rotifera").otherwise("Arthropoda"),
-        "Class": F.when(calan | g.isin("gear", "gizmo"), "Copepoda").when(g.isin("plate", "ring"), "Branchiopoda")
-        .when(g == "rod", "Malacostraca").otherwise("Eurotatoria"),
-        "Order": F.when(lvl.isin("Order", "Genus", "Species"),
-                        F.when(calan, "Calanoida").when(g == "gear", "Cyclopoida").when(g == "gizmo", "Harpacticoida")
-                        .when(g.isin("plate", "ring"), "Cladocera").when(g == "rod", "Mysida").otherwise("Ploima")),
-        "Family": F.when(lvl.isin("Genus", "Species"), F.concat(F.when(calan, "calan").otherwise(g), F.lit("idae"))),
-        "Genus": F.when(lvl.isin("Genus", "Species"), g),
-        "Species": F.when(lvl == "Species", c("sp")),
-    })
-    return ranked.withColumn(
-        "Taxname", F.coalesce("Species", "Genus", "Family", "Order", "Class", "Phylum")
-    ).drop("gen", "sp", "lvl")
+    return lines.join(samples, "SampleID").join(parts, "l_partkey").selectExpr(
+        "SampleID", "Source", "Year", "p_name AS sp",
+        "CASE l_returnflag WHEN 'N' THEN 'Micro' WHEN 'A' THEN 'Meso' ELSE 'Macro' END AS SizeClass",
+        "IF(l_linestatus = 'O', 'Adult', 'Juvenile') AS Lifestage",
+        "IF(l_discount = 0, 0D, l_quantity) AS CPUE", "CAST(l_linenumber AS DOUBLE) AS Volume",
+        "split_part(p_name, ' ', 1) AS adj", "split_part(p_name, ' ', 2) AS gen",
+    ).selectExpr(
+        "*",
+        "coalesce(nullif(array_position(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), Source), 0), 5) - 1 AS si",
+        "coalesce(nullif(array_position(array('blue', 'cold', 'hot', 'large', 'new', 'old', 'red'), adj), 0), 8) - 1 AS ai",
+    ).selectExpr(
+        "*",
+        """CASE WHEN gen = 'widget' AND si = 0 THEN 'none' WHEN gen = 'gizmo' AND si = 1 THEN 'Class'
+           WHEN gen = 'rod' AND si = 2 THEN 'Order' WHEN gen = 'plate' AND adj = 'hot' AND Year < 1997 THEN 'Genus'
+           WHEN gen = 'ring' AND adj = 'cold' AND Year < 2000 THEN 'Genus'
+           WHEN (ai + si) % 7 = 0 THEN 'Genus' ELSE 'Species' END AS lvl""",
+    ).filter("lvl <> 'none'").selectExpr(
+        "SampleID", "Source", "SizeClass", "Lifestage", "CPUE", "Volume",
+        "IF(gen = 'widget', 'Rotifera', 'Arthropoda') AS Phylum",
+        """CASE WHEN gen IN ('anvil', 'bolt', 'gear', 'gizmo') THEN 'Copepoda' WHEN gen IN ('plate', 'ring') THEN 'Branchiopoda'
+           WHEN gen = 'rod' THEN 'Malacostraca' ELSE 'Eurotatoria' END AS Class""",
+        """CASE WHEN lvl = 'Class' THEN NULL WHEN gen IN ('anvil', 'bolt') THEN 'Calanoida' WHEN gen = 'gear' THEN 'Cyclopoida'
+           WHEN gen = 'gizmo' THEN 'Harpacticoida' WHEN gen IN ('plate', 'ring') THEN 'Cladocera'
+           WHEN gen = 'rod' THEN 'Mysida' ELSE 'Ploima' END AS `Order`""",
+        "IF(lvl IN ('Genus', 'Species'), concat(IF(gen IN ('anvil', 'bolt'), 'calan', gen), 'idae'), NULL) AS Family",
+        "IF(lvl IN ('Genus', 'Species'), gen, NULL) AS Genus",
+        "IF(lvl = 'Species', sp, NULL) AS Species",
+    ).selectExpr("*", "coalesce(Species, Genus, Family, `Order`, Class, Phylum) AS Taxname")
 
 
 def undersampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rare = ((c("SizeClass") == "Macro") & (c("Class") != "Malacostraca")) | (
-        (c("SizeClass") == "Meso") & (c("Phylum") == "Rotifera")
-    )
-    return catch(spark, sf_dir).filter(rare).select("SizeClass", "Taxname", "Lifestage").distinct()
+    return catch(spark, sf_dir).filter(
+        "(SizeClass = 'Macro' AND Class <> 'Malacostraca') OR (SizeClass = 'Meso' AND Phylum = 'Rotifera')"
+    ).select("SizeClass", "Taxname", "Lifestage").distinct()
 
 
 def start_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return env(spark, sf_dir).groupBy("Source").agg(F.min("Date").alias("Startdate"))
+    return env(spark, sf_dir).groupBy("Source").agg({"Date": "min"}).toDF("Source", "Startdate")
 
 
 def introductions(spark: SparkSession) -> DataFrame:
@@ -126,14 +88,13 @@ def introductions(spark: SparkSession) -> DataFrame:
 
 
 def fish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = table(spark, sf_dir, "events").filter(c("event_type") == "purchase").select("event_id", "user_id")
-    number = c("user_id") % 40
-    return bought.select(
-        c("event_id").alias("fishid"),
-        F.date_add(F.lit("1995-01-01").cast("date"), ((c("event_id") * 13) % 2400).cast("int")).alias("date"),
-        (dbl((c("event_id") * 37) % 330) / dbl(10)).alias("sal"),
-        (station_lat(number) + dbl(c("event_id") % 9 - 4) * dbl(0.004)).alias("lat"),
-        (station_long(number) + dbl(c("event_id") % 7 - 3) * dbl(0.004)).alias("long"),
+    number = "(user_id % 40)"
+    return table(spark, sf_dir, "events").filter("event_type = 'purchase'").selectExpr(
+        "event_id AS fishid",
+        "date_add(DATE '1995-01-01', CAST((event_id * 13) % 2400 AS INT)) AS date",
+        "CAST((event_id * 37) % 330 AS DOUBLE) / 10D AS sal",
+        f"{STATION_LAT.format(n=number)} + CAST(event_id % 9 - 4 AS DOUBLE) * 0.004D AS lat",
+        f"{STATION_LONG.format(n=number)} + CAST(event_id % 7 - 3 AS DOUBLE) * 0.004D AS long",
     )
 
 
