@@ -1 +1,63 @@
-"""."""
+"""Queries of laboratory sheets and filled-down sections."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.registry import register
+from surveyloom.operators import lab as L
+
+# A sheet per order: its lines fill the left block from row 18 on, ordered by content, under a
+# heading wherever the return flag changes; header cells come from the order itself.
+CELL_COLUMNS = ["workbook", "sheet", "row", "col", "value"]
+
+
+def lab_cells(t):
+    """Lab sheets as cells: one sheet per order, one row per distinct part among its lines."""
+    lines = t.table("lineitem").groupBy("l_orderkey", "l_partkey").agg(
+        F.sum("l_quantity").alias("count"), F.max("l_linenumber").alias("line")
+    )
+    named = lines.join(t.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+    sheet = F.col("l_orderkey").cast("string")
+    placed = named.select(
+        F.concat(F.lit("W"), (F.col("l_orderkey") % 10).cast("string"), F.lit(".xlsx")).alias("workbook"),
+        sheet.alias("sheet"), "line", "l_partkey", "p_name", "count",
+    )
+    # Heading and taxon share a row pair per line number and part, unique within the sheet.
+    cells = F.array(
+        F.struct((16 + 2 * F.col("line")).alias("row"), F.lit(1).alias("col"), F.upper(F.split_part("p_name", F.lit(" "), F.lit(2))).alias("value")),
+        F.struct((17 + 2 * F.col("line")).alias("row"), F.lit(1).alias("col"), F.col("p_name").alias("value")),
+        F.struct((17 + 2 * F.col("line")).alias("row"), F.lit(9).alias("col"), F.col("count").cast("string").alias("value")),
+        F.struct(F.lit(6).alias("row"), F.lit(22).alias("col"), F.concat(F.lit(" S "), "sheet").alias("value")),
+        F.struct(F.lit(9).alias("row"), F.lit(13).alias("col"), F.lit("250").alias("value")),
+    )
+    # Parts on the same line keep the smallest, as a cell holds one value.
+    first = placed.groupBy("workbook", "sheet", "line").agg(F.min(F.struct("p_name", "count")).alias("c")).select(
+        "workbook", "sheet", "line", "c.p_name", "c.count"
+    )
+    return first.select("workbook", "sheet", F.explode(cells).alias("c")).select("workbook", "sheet", "c.row", "c.col", "c.value")
+
+
+LAB_SQL = """, l AS (SELECT l_orderkey, l_partkey, sum(l_quantity) AS n, max(l_linenumber) AS line FROM lineitem GROUP BY 1, 2),
+f AS (SELECT l_orderkey, line, min({'name': p_name, 'n': n}) AS c FROM l JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+r AS (SELECT concat('W', CAST(l_orderkey % 10 AS VARCHAR), '.xlsx') AS workbook, CAST(l_orderkey AS VARCHAR) AS sheet, c.name AS taxon, c.n AS n FROM f)
+"""
+
+
+@register("lab_sheets", LAB_SQL + """SELECT workbook, sheet, concat('S_', sheet) AS sample, CAST(NULL AS DATE) AS date, CAST(NULL AS VARCHAR) AS time, upper(split_part(taxon, ' ', 2)) AS category, taxon, n AS count,
+ CAST(0 AS DOUBLE) AS subsample, CAST(250 AS DOUBLE) AS v1_ml, CAST(NULL AS DOUBLE) AS sub1_ml, CAST(250 AS DOUBLE) AS v2_ml, CAST(NULL AS DOUBLE) AS sub2_ml
+ FROM r WHERE sheet IN (SELECT sheet FROM r GROUP BY 1 HAVING sum(n) <> 0)""")
+def lab_sheets(t):
+    return L.lab_rows(lab_cells(t))
+
+
+@register("lab_warnings", LAB_SQL + """SELECT DISTINCT workbook, sheet, unnest(['sub1_ml', 'sub2_ml']) AS field FROM r WHERE sheet IN (SELECT sheet FROM r GROUP BY 1 HAVING sum(n) <> 0)""")
+def lab_warnings(t):
+    return L.lab_warnings(lab_cells(t))
+
+
+@register("ffill_section", """SELECT SampleID, Source, last_value(CASE WHEN SampleID % 5 = 0 THEN Station END IGNORE NULLS)
+ OVER (PARTITION BY Source ORDER BY SampleID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Section FROM fx_env""")
+def ffill_section(t):
+    marked = t.env.select("SampleID", "Source", F.when(F.col("SampleID") % 5 == 0, F.col("Station")).alias("heading"))
+    return L.fill_down(marked, ["Source"], "SampleID", "heading", "Section", rows_per_block=512).select("SampleID", "Source", "Section")

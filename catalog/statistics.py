@@ -1 +1,68 @@
-"""."""
+"""Queries of regressions and model comparison."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.gears import BOTH_SQL, GENERA, IDS, matrices
+from catalog.registry import fixed, register
+from surveyloom.operators import gear as A
+from surveyloom.operators import models as M
+
+TOTALS_SQL = """, w AS (SELECT SampleID, ln(1 + sum(CPUE) FILTER (SizeClass = 'Meso')) AS x, ln(1 + sum(CPUE) FILTER (SizeClass = 'Micro')) AS y FROM fx_catch GROUP BY 1)
+"""
+GROUP_SQL = BOTH_SQL + """, w AS (SELECT Taxlifestage, ln(1 + sum(CPUE) FILTER (SizeClass = 'Meso')) AS x, ln(1 + sum(CPUE) FILTER (SizeClass = 'Micro')) AS y FROM gb GROUP BY Source, SampleID, Taxlifestage)
+"""
+
+
+@register("lm_global", TOTALS_SQL + "SELECT regr_count(y, x) AS N, round(regr_intercept(y, x), 6) AS Intercept, round(regr_slope(y, x), 6) AS Slope, round(regr_r2(y, x), 6) AS R2 FROM w")
+def lm_global(t):
+    log_sum = lambda size: F.log1p(F.sum(F.when(F.col("SizeClass") == size, F.col("CPUE"))))
+    wide = t.catch.groupBy("SampleID").agg(log_sum("Meso").alias("x"), log_sum("Micro").alias("y"))
+    return M.lm_global(wide, "y", "x").select("N", fixed("Intercept"), fixed("Slope"), fixed("R2"))
+
+
+@register("lm_by_group", GROUP_SQL + """, f AS (SELECT Taxlifestage, regr_count(y, x) AS N, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, regr_r2(y, x) AS r, max(x) AS X_max, max(y) AS Y_max FROM w GROUP BY 1)
+SELECT Taxlifestage, N, round(a, 6) AS Intercept, round(b, 6) AS Slope, round(r, 6) AS R2, round(X_max, 6) AS X_max, round(Y_max, 6) AS Y_max,
+ round(CASE WHEN N > 2 THEN 1 - (1 - r) * (N - 1) / (N - 2) END, 6) AS Adj_R2 FROM f""")
+def lm_by_group(t):
+    wide = A.pivot_gear(A.comparable_rows(t.labelled))
+    fits = M.lm_by_group(wide, "Taxlifestage", "Micro_l", "Meso_l", with_p=False)
+    return fits.select("Taxlifestage", "N", *[fixed(c) for c in ("Intercept", "Slope", "R2", "X_max", "Y_max", "Adj_R2")])
+
+
+@register("lm_p_values")
+def lm_p_values(t):
+    wide = A.pivot_gear(A.comparable_rows(t.labelled))
+    fits = M.lm_by_group(wide, "Taxlifestage", "Micro_l", "Meso_l")
+    return fits.select("Taxlifestage", F.bround("R2", 2).alias("R2"), F.bround("P_value", 4).alias("P_value"))
+
+
+def paired(t):
+    """Paired tows with logged catches and standardised conditions."""
+    cb, pump = matrices(t)
+    a = A.prepare_gear(cb, GENERA, "CB", total_of=GENERA, standardized=False)
+    b = A.prepare_gear(pump, GENERA, "Pump", standardized=False)
+    both = A.pair_gears(a, b, [*IDS, "SampleID"])
+    return A.standardize(both, {"Secchi": "Secchi_s", "Chl": "Chl_s", "Temperature": "Temperature_s"})
+
+
+INTERACTIONS = "gear_Pump_l ~ (gear_CB_l + Secchi_s + Temperature_s)^3"
+
+
+@register("lm_interactions")
+def lm_interactions(t):
+    data = paired(t)
+    return M.fit_table(data, M.fit_gaussian(data, INTERACTIONS)).withColumn("estimate", F.round("estimate", 6))
+
+
+@register("hurdle_lognormal")
+def hurdle_lognormal(t):
+    data = paired(t)
+    return M.fit_table(data, M.fit_hurdle(data, "gear_CB ~ gear_Pump_l + Secchi_s + Temperature_s")).withColumn("estimate", F.round("estimate", 4))
+
+
+@register("model_compare")
+def model_compare(t):
+    formulas = [INTERACTIONS, f"{INTERACTIONS} - gear_CB_l:Secchi_s:Temperature_s", "gear_Pump_l ~ gear_CB_l"]
+    return M.compare(paired(t), formulas, "SampleID", folds=3)

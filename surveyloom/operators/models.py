@@ -77,16 +77,16 @@ def fit_hurdle(df: DataFrame, formula: str) -> Fit:
     """Hurdle log-normal: a logistic model of presence and a linear model of log(y) where present."""
     response, terms = (part.strip() for part in formula.split("~"))
     data = complete_rows(df, formula)
-    present = f"_present ~ {terms}"
-    marked = data.withColumn("_present", (F.col(f"`{response}`") > 0).cast("double")).withColumn(
-        "_log", F.log(F.when(F.col(f"`{response}`") > 0, F.col(f"`{response}`")))
+    present = f"hu_present ~ {terms}"
+    marked = data.withColumn("hu_present", (F.col(f"`{response}`") > 0).cast("double")).withColumn(
+        "log_response", F.log(F.when(F.col(f"`{response}`") > 0, F.col(f"`{response}`")))
     )
     design = RFormula(formula=present).fit(marked).transform(marked)
     hurdle = LogisticRegression(maxIter=200, tol=1e-10).fit(design)
     own = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
     presence = hurdle.transform(design).agg(F.sum(F.log(own))).first()[0]
-    amount = fit_gaussian(marked.filter("_log IS NOT NULL"), f"_log ~ {terms}")
-    jacobian = marked.agg(F.sum("_log")).first()[0]
+    amount = fit_gaussian(marked.filter("log_response IS NOT NULL"), f"log_response ~ {terms}")
+    jacobian = marked.agg(F.sum("log_response")).first()[0]
     estimates = {f"hu_{k}": v for k, v in zip(
         ["(Intercept)", *term_names(design)], [hurdle.intercept, *map(float, hurdle.coefficients)]
     )}
@@ -112,7 +112,7 @@ def compare(df: DataFrame, formulas: list[str], key: str, folds: int = 5) -> Dat
             estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(),
             evaluator=RegressionEvaluator(metricName="rmse"), numFolds=folds, foldCol="_fold",
         )
-        rows.append((formula, fit.n, fit.parameters, fit.aic, validator.fit(data).avgMetrics[0]))
+        rows.append((formula, fit.n, fit.parameters, fit.aic, float(validator.fit(data).avgMetrics[0])))
     best = min(r[3] for r in rows)
     table = df.sparkSession.createDataFrame(
         [(f, n, k, aic, aic - best, rmse) for f, n, k, aic, rmse in sorted(rows, key=lambda r: r[3])],

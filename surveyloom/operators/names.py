@@ -13,17 +13,15 @@ def resolve_taxa(names: DataFrame, records: DataFrame, accepted: bool = False) -
 
     Candidates are the records whose name starts with the query, ignoring case. None leaves it not
     found, one is taken as it is, several need exactly one equal name (then ``direct``). Records are
-    unrolled over their prefixes of the lengths the queries have, so candidates meet on equality.
+    unrolled over their prefixes up to the longest query, so candidates meet on equality.
     """
     queries = names.select("query").filter("query IS NOT NULL").distinct().withColumn("_key", F.lower("query"))
     keys = queries.select("_key").distinct()
-    lengths = keys.agg(F.collect_set(F.length("_key"))).scalar()
-    record_name = F.lower("scientificname")
-    prefixes = F.transform(
-        F.filter(lengths, lambda n: n <= F.length(record_name)), lambda n: F.substring(record_name, 1, n)
-    )
-    candidates = records.select(
-        "id", "status", record_name.alias("_name"), F.explode(prefixes).alias("_key")
+    longest = keys.agg(F.max(F.length("_key"))).scalar()
+    candidates = (
+        records.select("id", "status", F.lower("scientificname").alias("_name")).filter("_name <> ''")
+        .withColumn("_n", F.explode(F.sequence(F.lit(1), F.least(F.length("_name"), longest))))
+        .select("id", "status", "_name", F.substring("_name", F.lit(1), F.col("_n")).alias("_key"))
     )
     usable = F.coalesce(F.col("status") == "accepted", F.lit(False)) if accepted else F.lit(True)
     exact = usable & (F.col("_name") == F.col("_key"))
