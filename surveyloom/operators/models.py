@@ -12,10 +12,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.regress import adjusted_r2, regression, slope_p_value
+from surveyloom.session import stage
 
 
 def lm_global(df: DataFrame, y: str, x: str) -> DataFrame:
@@ -45,13 +46,17 @@ class Fit:
         return 2 * self.parameters - 2 * self.log_likelihood
 
 
-def complete_rows(df: DataFrame, *formulas: str) -> DataFrame:
-    """Rows without missing values in any column a formula names."""
+def model_frame(df: DataFrame, *formulas: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Rows without missing values in the columns the formulas name, written once.
+
+    Fitting passes over its data many times; the narrow written table keeps those passes short.
+    """
     text = " ".join(formulas)
     for mark in "~+-*^():":
         text = text.replace(mark, " ")
     named = [c for c in df.columns if c in set(text.split())]
-    return df.select(*named).dropna()
+    added = [column.alias(name) for name, column in (extra or {}).items()]
+    return stage(df.select(*named, *added).dropna(subset=named), "model-frame")
 
 
 def term_names(transformed: DataFrame) -> list[str]:
@@ -61,7 +66,11 @@ def term_names(transformed: DataFrame) -> list[str]:
 
 def fit_gaussian(df: DataFrame, formula: str) -> Fit:
     """Least squares for a formula such as ``y ~ (a + b + c)^3 - a:b:c``."""
-    data = complete_rows(df, formula)
+    return fit_frame(model_frame(df, formula), formula)
+
+
+def fit_frame(data: DataFrame, formula: str) -> Fit:
+    """Least squares on a model frame."""
     design = RFormula(formula=formula).fit(data).transform(data)
     model = LinearRegression(solver="normal").fit(design)
     names, n = term_names(design), model.summary.numInstances
@@ -76,23 +85,24 @@ def fit_gaussian(df: DataFrame, formula: str) -> Fit:
 def fit_hurdle(df: DataFrame, formula: str) -> Fit:
     """Hurdle log-normal: a logistic model of presence and a linear model of log(y) where present."""
     response, terms = (part.strip() for part in formula.split("~"))
-    data = complete_rows(df, formula)
-    present = f"hu_present ~ {terms}"
-    marked = data.withColumn("hu_present", (F.col(f"`{response}`") > 0).cast("double")).withColumn(
-        "log_response", F.log(F.when(F.col(f"`{response}`") > 0, F.col(f"`{response}`")))
-    )
-    design = RFormula(formula=present).fit(marked).transform(marked)
-    hurdle = LogisticRegression(maxIter=200, tol=1e-10).fit(design)
+    y = F.col(f"`{response}`")
+    data = model_frame(df, formula, extra={
+        "hu_present": (y > 0).cast("double"), "log_response": F.log(F.when(y > 0, y)),
+    })
+    presence_formula = f"hu_present ~ {terms}"
+    design = RFormula(formula=presence_formula).fit(data).transform(data)
+    hurdle = LogisticRegression(maxIter=100, tol=1e-8).fit(design)
     own = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
-    presence = hurdle.transform(design).agg(F.sum(F.log(own))).first()[0]
-    amount = fit_gaussian(marked.filter("log_response IS NOT NULL"), f"log_response ~ {terms}")
-    jacobian = marked.agg(F.sum("log_response")).first()[0]
+    sums = hurdle.transform(design).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.log(own)).alias("presence"), F.sum("log_response").alias("jacobian")
+    ).first()
+    amount = fit_frame(data.filter("log_response IS NOT NULL"), f"log_response ~ {terms}")
     estimates = {f"hu_{k}": v for k, v in zip(
         ["(Intercept)", *term_names(design)], [hurdle.intercept, *map(float, hurdle.coefficients)]
     )}
     return Fit(
-        formula, amount.terms | estimates, hurdle.summary.predictions.count(),
-        presence + amount.log_likelihood - jacobian, amount.parameters + len(estimates),
+        formula, amount.terms | estimates, sums["n"],
+        sums["presence"] + amount.log_likelihood - sums["jacobian"], amount.parameters + len(estimates),
     )
 
 
@@ -102,23 +112,22 @@ def compare(df: DataFrame, formulas: list[str], key: str, folds: int = 5) -> Dat
     Folds follow a hash of ``key``, so reruns and retries see the same folds. All candidates are
     fitted to the rows complete for every one of them.
     """
-    names = complete_rows(df, *formulas).columns
-    data = df.select(*names, F.pmod(F.xxhash64(key), F.lit(folds)).cast("int").alias("_fold")).dropna()
+    fold = F.pmod(F.xxhash64(key), F.lit(folds)).cast("int")
+    data = model_frame(df, *formulas, extra={"fold": fold})
     rows = []
     for formula in formulas:
-        fit = fit_gaussian(data, formula)
+        fit = fit_frame(data, formula)
         pipeline = Pipeline(stages=[RFormula(formula=formula), LinearRegression(solver="normal")])
         validator = CrossValidator(
             estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=RegressionEvaluator(metricName="rmse"), numFolds=folds, foldCol="_fold",
+            evaluator=RegressionEvaluator(metricName="rmse"), numFolds=folds, foldCol="fold", parallelism=folds,
         )
         rows.append((formula, fit.n, fit.parameters, fit.aic, float(validator.fit(data).avgMetrics[0])))
     best = min(r[3] for r in rows)
-    table = df.sparkSession.createDataFrame(
+    return df.sparkSession.createDataFrame(
         [(f, n, k, aic, aic - best, rmse) for f, n, k, aic, rmse in sorted(rows, key=lambda r: r[3])],
         "formula string, N long, parameters int, AIC double, AIC_diff double, CV_RMSE double",
     )
-    return table
 
 
 def fit_table(df: DataFrame, fit: Fit) -> DataFrame:
