@@ -36,7 +36,8 @@ def lump_other(t):
 
 @register("group_fallback", "SELECT SampleID, CPUE, Taxname AS Taxa FROM fx_catch")
 def group_fallback(t):
-    return C.group_or_name(t.catch, ["Mysida"]).select("SampleID", "CPUE", "Taxa")
+    grouped = t.catch.withColumn("Group", C.lump_other(C.major_group(), ["Mysida"]))
+    return C.group_or_name(grouped).select("SampleID", "CPUE", "Taxa")
 
 
 @register("ordered_category", f"""SELECT SampleID, Zone, CASE Zone WHEN 'Freshwater' THEN 1 WHEN 'Low salinity zone' THEN 2 END AS Zone_order

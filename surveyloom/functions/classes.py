@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.missing import col, in_set, paste
-from surveyloom.schemas import LOW_SALINITY_ZONE, MAJOR_GROUPS, SALINITY_ZONES
+from surveyloom.schemas import LOW_SALINITY_ZONE, SALINITY_ZONES
 
 # Fixed values: (rank, name, major group); the first rule that holds decides.
 MAJOR_GROUP_RULES = (
@@ -68,8 +68,7 @@ def taxlifestage() -> Column:
     return paste("Taxname", "Lifestage")
 
 
-def group_or_name(df: DataFrame, keep: Iterable[str] = MAJOR_GROUPS, minimum: int = 3) -> DataFrame:
-    """Add ``Taxa``: the major group, or the finest name when fewer than ``minimum`` groups occur."""
-    grouped = df.withColumn("Taxa", lump_other(major_group(), keep))
-    n_groups = grouped.agg(F.count_distinct("Taxa")).scalar()
-    return grouped.withColumn("Taxa", F.when(n_groups < minimum, F.col("Taxname")).otherwise(F.col("Taxa")))
+def group_or_name(df: DataFrame, minimum: int = 3) -> DataFrame:
+    """Add ``Taxa``: the ``Group``, or the finest name when fewer than ``minimum`` groups occur."""
+    n_groups = df.agg(F.count_distinct("Group")).scalar()
+    return df.withColumn("Taxa", F.when(n_groups < minimum, F.col("Taxname")).otherwise(F.col("Group")))

@@ -17,7 +17,7 @@ from surveyloom.functions.classes import taxlifestage
 from surveyloom.functions.missing import paste
 from surveyloom.operators.filters import SampleFilter, select_catch
 from surveyloom.schemas import INTRO_LAG_YEARS, LINEAGE_KEY, RANKS, SAMPLE_KEY
-from surveyloom.session import join_lookup, stage
+from surveyloom.session import BROADCAST_ROWS, join_lookup, stage
 
 NULLABLE = ("Lifestage", *RANKS)
 VALUE_KEY = ("SizeClass", "Lifestage", "rank", "value")
@@ -54,7 +54,9 @@ def filtered_base(catch: DataFrame, env: DataFrame, samples: SampleFilter, with_
 def stage_lineages(base: DataFrame, with_year: bool = False) -> Lineages:
     columns = ["Source", *LINEAGE_KEY, *(["Year"] if with_year else [])]
     table = stage(base.select(*columns).distinct(), "lineages")
-    return Lineages(table, table.count())
+    rows = table.count()
+    # A counted small table is decided on in one task, without any exchange; a large one is spread.
+    return Lineages(table.coalesce(1) if rows <= BROADCAST_ROWS else table, rows)
 
 
 def rank_values(lines: DataFrame, keep: Iterable[str], named_only: bool = True) -> DataFrame:
@@ -99,16 +101,21 @@ def inconsistent_values(
     return counted.filter(missing > 0).select("Source", *VALUE_KEY)
 
 
+def n_surveys() -> Column:
+    """Number of surveys in a group; the set holds one entry per survey, so one exchange does."""
+    return F.size(F.collect_set("Source"))
+
+
 def coverage(lines: DataFrame, inconsistent: DataFrame | None = None) -> DataFrame:
     """Rank values counted by every survey that used the size class (zero catches count)."""
-    surveys = lines.groupBy("SizeClass").agg(F.count_distinct("Source").alias("_all"))
-    counted = rank_values(lines, ["Source", "SizeClass", "Lifestage"]).distinct()
+    surveys = lines.groupBy("SizeClass").agg(n_surveys().alias("_all"))
+    counted = rank_values(lines, ["Source", "SizeClass", "Lifestage"])
     if inconsistent is not None:
         gone = inconsistent.withColumnsRenamed({c: f"_g_{c}" for c in inconsistent.columns})
         match = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in ("Source", *VALUE_KEY)]
         counted = counted.join(gone, match, "left_anti")
     return (
-        counted.groupBy(*VALUE_KEY).agg(F.count("Source").alias("_n"))
+        counted.groupBy(*VALUE_KEY).agg(n_surveys().alias("_n"))
         .join(surveys, "SizeClass").filter("_n = _all").select(*VALUE_KEY)
     )
 
@@ -116,12 +123,12 @@ def coverage(lines: DataFrame, inconsistent: DataFrame | None = None) -> DataFra
 def covered_ranks(lines: DataFrame, cover: DataFrame) -> DataFrame:
     """Distinct lineages with the array of (rank, value) they share with all surveys."""
     keys = list(LINEAGE_KEY)
-    exploded = rank_values(lines.select(*keys).distinct(), keys, named_only=False)
+    exploded = rank_values(lines, keys, named_only=False)
     marked = cover.withColumnsRenamed({c: f"_c_{c}" for c in cover.columns})
     match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in VALUE_KEY]
     hit = F.when(F.col("_c_rank").isNotNull(), F.struct("rank", "value"))
     return exploded.join(marked, match, "left").groupBy(*keys).agg(
-        F.sort_array(F.collect_list(hit)).alias("_hits")
+        F.sort_array(F.collect_set(hit)).alias("_hits")
     )
 
 
@@ -136,7 +143,7 @@ def community_map(lines: DataFrame, cover: DataFrame) -> DataFrame:
 def group_map(lines: DataFrame, cover: DataFrame) -> DataFrame:
     """Lineage → covered groups above species that hold at least two distinct taxa."""
     members = (
-        rank_values(lines.select(*LINEAGE_KEY).distinct(), ["SizeClass", "Lifestage", "Taxname"])
+        rank_values(lines, ["SizeClass", "Lifestage", "Taxname"])
         .filter("rank < 6").groupBy(*VALUE_KEY)
         .agg(F.count_distinct("Taxname").alias("_n")).filter("_n >= 2").drop("_n")
     )
@@ -211,9 +218,9 @@ def removed_taxa(mapping: DataFrame) -> DataFrame:
 
 def comparable_taxa(lines: DataFrame) -> DataFrame:
     """Per size class, taxon and life stage: number of surveys counting it, and whether all do."""
-    surveys = lines.groupBy("SizeClass").agg(F.count_distinct("Source").alias("_all"))
+    surveys = lines.groupBy("SizeClass").agg(n_surveys().alias("_all"))
     return (
-        lines.groupBy("SizeClass", "Taxname", "Lifestage").agg(F.count_distinct("Source").alias("N_sources"))
+        lines.groupBy("SizeClass", "Taxname", "Lifestage").agg(n_surveys().alias("N_sources"))
         .join(surveys, "SizeClass")
         .select("SizeClass", "Taxname", "Lifestage", "N_sources", (F.col("N_sources") == F.col("_all")).alias("Comparable"))
     )
@@ -222,7 +229,7 @@ def comparable_taxa(lines: DataFrame) -> DataFrame:
 def timed_out(lines: DataFrame, inconsistent: DataFrame) -> DataFrame:
     """Taxon and life stage pairs whose own (finest) name misses an expected year in some survey."""
     keys = ["Source", "SizeClass", "Lifestage", "Taxname"]
-    own = rank_values(lines.select("Source", *LINEAGE_KEY).distinct(), ["Source", *LINEAGE_KEY]).groupBy(
+    own = rank_values(lines, ["Source", *LINEAGE_KEY]).groupBy(
         "Source", *LINEAGE_KEY
     ).agg(F.max(F.struct("rank", "value")).alias("_o")).select(*keys, "_o.rank", "_o.value")
     return null_safe_semi(own, inconsistent, ("Source", *VALUE_KEY)).select(

@@ -7,11 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions.classes import group_or_name, menu_group, salinity_zone
+from surveyloom.functions.classes import group_or_name, lump_other, major_group, menu_group, salinity_zone
 from surveyloom.functions.missing import round_even, signif, sum_na_rm
 from surveyloom.operators.filters import drop_undersampled, with_coordinates
 from surveyloom.operators.order import row_ids
 from surveyloom.schemas import LOW_SALINITY_ZONE, MAJOR_GROUPS, RANKS
+from surveyloom.session import stage
 
 PLACE = ("Latitude", "Longitude")
 LARGEST_RADIUS = 22
@@ -43,8 +44,14 @@ def community_map(
     """CPUE per major group, year and place: summed within a sample, then averaged over samples."""
     shown = drop_undersampled(of_sizes(with_coordinates(data), size_classes), hide_undersampled)
     shown = shown.filter(F.col("Lifestage").isin(list(lifestages)))
+    spots = ["Year", *PLACE, "SampleID"]
+    # The choice of groups or names needs the groups first, so the sums both need are written once.
+    sums = stage(
+        shown.groupBy(lump_other(major_group(), groups).alias("Group"), "Taxname", *spots)
+        .agg(sum_na_rm("CPUE").alias("CPUE")), "community-map",
+    )
     keys = ["Taxa", "Year", *PLACE]
-    per_sample = group_or_name(shown, groups).groupBy(*keys, "SampleID").agg(sum_na_rm("CPUE").alias("CPUE"))
+    per_sample = group_or_name(sums).groupBy(*keys, "SampleID").agg(F.sum("CPUE").alias("CPUE"))
     return mean_cpue(per_sample, keys).withColumn("CPUE", round_even("CPUE"))
 
 

@@ -39,38 +39,44 @@ def env(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "SampleID")
-    parts = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
-    samples = env(spark, sf_dir).select("SampleID", "Source", "Year")
-    return lines.join(samples, "SampleID").join(parts, "l_partkey").selectExpr(
-        "SampleID", "Source", "Year", "p_name AS sp",
-        "CASE l_returnflag WHEN 'N' THEN 'Micro' WHEN 'A' THEN 'Meso' ELSE 'Macro' END AS SizeClass",
-        "IF(l_linestatus = 'O', 'Adult', 'Juvenile') AS Lifestage",
-        "IF(l_discount = 0, 0D, l_quantity) AS CPUE", "CAST(l_linenumber AS DOUBLE) AS Volume",
+def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as species: names split and placed once per part, before they meet the lines."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey", "p_name AS sp",
         "split_part(p_name, ' ', 1) AS adj", "split_part(p_name, ' ', 2) AS gen",
     ).selectExpr(
         "*",
-        "coalesce(nullif(array_position(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), Source), 0), 5) - 1 AS si",
         "coalesce(nullif(array_position(array('blue', 'cold', 'hot', 'large', 'new', 'old', 'red'), adj), 0), 8) - 1 AS ai",
-    ).selectExpr(
-        "*",
-        """CASE WHEN gen = 'widget' AND si = 0 THEN 'none' WHEN gen = 'gizmo' AND si = 1 THEN 'Class'
-           WHEN gen = 'rod' AND si = 2 THEN 'Order' WHEN gen = 'plate' AND adj = 'hot' AND Year < 1997 THEN 'Genus'
-           WHEN gen = 'ring' AND adj = 'cold' AND Year < 2000 THEN 'Genus'
-           WHEN (ai + si) % 7 = 0 THEN 'Genus' ELSE 'Species' END AS lvl""",
-    ).filter("lvl <> 'none'").selectExpr(
-        "SampleID", "Source", "SizeClass", "Lifestage", "CPUE", "Volume",
         "IF(gen = 'widget', 'Rotifera', 'Arthropoda') AS Phylum",
         """CASE WHEN gen IN ('anvil', 'bolt', 'gear', 'gizmo') THEN 'Copepoda' WHEN gen IN ('plate', 'ring') THEN 'Branchiopoda'
            WHEN gen = 'rod' THEN 'Malacostraca' ELSE 'Eurotatoria' END AS Class""",
-        """CASE WHEN lvl = 'Class' THEN NULL WHEN gen IN ('anvil', 'bolt') THEN 'Calanoida' WHEN gen = 'gear' THEN 'Cyclopoida'
-           WHEN gen = 'gizmo' THEN 'Harpacticoida' WHEN gen IN ('plate', 'ring') THEN 'Cladocera'
-           WHEN gen = 'rod' THEN 'Mysida' ELSE 'Ploima' END AS `Order`""",
-        "IF(lvl IN ('Genus', 'Species'), concat(IF(gen IN ('anvil', 'bolt'), 'calan', gen), 'idae'), NULL) AS Family",
-        "IF(lvl IN ('Genus', 'Species'), gen, NULL) AS Genus",
-        "IF(lvl = 'Species', sp, NULL) AS Species",
-    ).selectExpr("*", "coalesce(Species, Genus, Family, `Order`, Class, Phylum) AS Taxname")
+        """CASE WHEN gen IN ('anvil', 'bolt') THEN 'Calanoida' WHEN gen = 'gear' THEN 'Cyclopoida' WHEN gen = 'gizmo' THEN 'Harpacticoida'
+           WHEN gen IN ('plate', 'ring') THEN 'Cladocera' WHEN gen = 'rod' THEN 'Mysida' ELSE 'Ploima' END AS ord""",
+        "concat(IF(gen IN ('anvil', 'bolt'), 'calan', gen), 'idae') AS fam",
+    )
+
+
+def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "SampleID")
+    samples = env(spark, sf_dir).selectExpr(
+        "SampleID", "Source", "Year",
+        "coalesce(nullif(array_position(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), Source), 0), 5) - 1 AS si",
+    )
+    # Depth of identification: 6 species, 5 genus, 3 order, 2 class, 0 not counted.
+    depth = """CASE WHEN gen = 'widget' AND si = 0 THEN 0 WHEN gen = 'gizmo' AND si = 1 THEN 2 WHEN gen = 'rod' AND si = 2 THEN 3
+        WHEN gen = 'plate' AND adj = 'hot' AND Year < 1997 THEN 5 WHEN gen = 'ring' AND adj = 'cold' AND Year < 2000 THEN 5
+        WHEN (ai + si) % 7 = 0 THEN 5 ELSE 6 END AS depth"""
+    return lines.join(samples, "SampleID").join(taxonomy(spark, sf_dir), "l_partkey").selectExpr(
+        "*", depth
+    ).filter("depth > 0").selectExpr(
+        "SampleID", "Source",
+        "CASE l_returnflag WHEN 'N' THEN 'Micro' WHEN 'A' THEN 'Meso' ELSE 'Macro' END AS SizeClass",
+        "IF(l_linestatus = 'O', 'Adult', 'Juvenile') AS Lifestage",
+        "IF(l_discount = 0, 0D, l_quantity) AS CPUE", "CAST(l_linenumber AS DOUBLE) AS Volume",
+        "Phylum", "Class", "IF(depth >= 3, ord, NULL) AS `Order`", "IF(depth >= 5, fam, NULL) AS Family",
+        "IF(depth >= 5, gen, NULL) AS Genus", "IF(depth = 6, sp, NULL) AS Species",
+        "CASE depth WHEN 6 THEN sp WHEN 5 THEN gen WHEN 3 THEN ord ELSE Class END AS Taxname",
+    )
 
 
 def undersampled(spark: SparkSession, sf_dir: str) -> DataFrame:
