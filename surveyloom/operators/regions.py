@@ -90,16 +90,17 @@ def hull_reducer(group: str, tolerance: float):
         return list(dict.fromkeys(chain(points)[:-1] + chain(points[::-1])[:-1]))
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[str, list[tuple[float, float]]] = {}
+        kept: dict[str | None, list[tuple[float, float]]] = {}
         for batch in batches:
             for name, part in batch.groupby(group, sort=False, dropna=False):
+                name = None if pd.isna(name) else name
                 points = list(zip(part["Longitude"], part["Latitude"]))
                 kept[name] = hull(kept.get(name, []) + points)
-        for name, points in kept.items():
+        corners = [(name, *p) for name, points in kept.items() for p in points]
+        if corners:
+            names, longitudes, latitudes = zip(*corners)
             yield pd.DataFrame({
-                group: [name] * len(points),
-                "Longitude": [p[0] for p in points],
-                "Latitude": [p[1] for p in points],
+                group: pd.Series(names, dtype=object), "Longitude": longitudes, "Latitude": latitudes
             })
 
     return reduce
