@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.text import is_heading, parse_date, underscored
-from surveyloom.operators.filters import drop_blank, groups_with_data
+from surveyloom.operators.filters import drop_blank
 
 SHEET = ("workbook", "sheet")
 # Fixed value: the heading that also is a counted taxon.
@@ -73,32 +73,48 @@ def fill_down(
 
 
 def block_rows(cells: DataFrame, layout: SheetLayout) -> DataFrame:
-    """Rows (line, taxon, count, subsample) of all blocks, one below the other, blank rows dropped."""
-    stacked = None
+    """Rows (line, taxon, count, subsample) of all blocks, one below the other, blank rows dropped.
+
+    A sheet yields at most the rows its layout declares, whatever the table's size.
+    """
+    row, column = F.col("row"), F.col("col")
+    line, picked = F.lit(None), {"taxon": F.lit(None), "count": F.lit(None), "subsample": F.lit(None)}
     for i, block in enumerate(layout.blocks):
-        at = lambda c: F.max(F.when(F.col("col") == c, F.col("value")))
-        part = cells.filter(
-            F.col("row").between(block.first_row, block.last_row)
-            & F.col("col").isin(block.taxon, block.count, block.subsample)
-        ).groupBy(*SHEET, (F.col("row") + i * 100_000).alias("line")).agg(
-            at(block.taxon).alias("taxon"), number(at(block.count)).alias("count"),
-            number(at(block.subsample)).alias("subsample"),
-        )
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return drop_blank(stacked, ["taxon", "count", "subsample"])
+        inside = row.between(block.first_row, block.last_row)
+        at = {"taxon": block.taxon, "count": block.count, "subsample": block.subsample}
+        line = F.when(inside & column.isin(*at.values()), row + i * 100_000).otherwise(line)
+        picked = {
+            name: F.when(inside & (column == at[name]), F.col("value")).otherwise(rest) for name, rest in picked.items()
+        }
+    rows = cells.select(*SHEET, line.alias("line"), *[c.alias(n) for n, c in picked.items()]).filter("line IS NOT NULL")
+    return drop_blank(rows.groupBy(*SHEET, "line").agg(
+        F.max("taxon").alias("taxon"), number(F.max("count")).alias("count"), number(F.max("subsample")).alias("subsample")
+    ), ["taxon", "count", "subsample"])
+
+
+def counted_rows(cells: DataFrame, layout: SheetLayout) -> DataFrame:
+    """Block rows of the sheets whose counts do not sum to zero."""
+    sheet = Window.partitionBy(*SHEET)
+    rows = block_rows(cells, layout).withColumn("_total", F.sum("count").over(sheet))
+    return rows.filter("_total <> 0").drop("_total")
 
 
 def categorised(rows: DataFrame) -> DataFrame:
-    """Add each row's section heading and drop the heading rows that are no taxon."""
+    """Add each row's section heading and drop the heading rows that are no taxon.
+
+    The windows span one sheet, at most the rows of its layout. Rows above the first heading belong
+    to that heading.
+    """
+    in_order = Window.partitionBy(*SHEET).orderBy("line")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = in_order.rowsBetween(0, Window.unboundedFollowing)
     heading = rows.withColumn("_heading", F.when(is_heading("taxon"), F.col("taxon")))
-    filled = fill_down(heading, SHEET, "line", "_heading", "category")
-    # Rows above the first heading belong to it.
-    first = heading.groupBy(*SHEET).agg(F.min_by("_heading", F.when(F.col("_heading").isNotNull(), F.col("line"))).alias("_first"))
     taxon = F.when(F.col("taxon") == COUNTED_HEADING, F.initcap("taxon")).otherwise(F.col("taxon"))
     return (
-        filled.join(first, list(SHEET)).withColumn("category", F.coalesce("category", "_first"))
-        .withColumn("taxon", taxon).filter(~F.coalesce(is_heading("taxon"), F.lit(False)))
-        .drop("_heading", "_first")
+        heading.withColumn("category", F.coalesce(
+            F.last("_heading", ignorenulls=True).over(so_far), F.first("_heading", ignorenulls=True).over(ahead)
+        ))
+        .withColumn("taxon", taxon).filter(~F.coalesce(is_heading("taxon"), F.lit(False))).drop("_heading")
     )
 
 
@@ -129,8 +145,7 @@ def sheet_headers(cells: DataFrame, layout: SheetLayout) -> DataFrame:
 
 def lab_rows(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame:
     """Tidy rows of every sheet that has counts."""
-    counted = groups_with_data(block_rows(cells, layout), SHEET, "count")
-    tidy = categorised(counted).join(sheet_headers(cells, layout), list(SHEET), "left")
+    tidy = categorised(counted_rows(cells, layout)).join(sheet_headers(cells, layout), list(SHEET), "left")
     return tidy.fillna(0.0, ["count", "subsample"]).select(
         *SHEET, "sample", "date", "time", "category", "taxon", "count", "subsample",
         "v1_ml", "sub1_ml", "v2_ml", "sub2_ml",
@@ -139,7 +154,8 @@ def lab_rows(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame
 
 def lab_warnings(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame:
     """(workbook, sheet, field) of amounts that are blank or zero on sheets with counts."""
-    with_counts = groups_with_data(block_rows(cells, layout), SHEET, "count").select(*SHEET).distinct()
+    totals = block_rows(cells, layout).groupBy(*SHEET).agg(F.sum("count").alias("_total"))
+    with_counts = totals.filter("_total <> 0").select(*SHEET)
     headers = sheet_headers(cells, layout).join(with_counts, list(SHEET), "left_semi")
     blank = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in layout.amounts]))
     return headers.select(*SHEET, F.explode(blank).alias("field"))

@@ -43,10 +43,14 @@ def region_of_places(
 
 
 def assign_regions(
-    data: DataFrame, regions: DataFrame, default: str | None = None, cell_degrees: float = 0.25
+    data: DataFrame, regions: DataFrame, default: str | None = None, cell_degrees: float = 0.25,
+    places: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``Region``; rows without coordinates get none, not the default."""
-    found = region_of_places(data, regions, default, cell_degrees)
+    """Add ``Region``; rows without coordinates get none, not the default.
+
+    ``places`` is a shorter table with all the places of ``data``, such as its samples.
+    """
+    found = region_of_places(data if places is None else places, regions, default, cell_degrees)
     return join_lookup(data, found, PLACE, "left")
 
 

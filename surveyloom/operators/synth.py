@@ -262,8 +262,8 @@ def synthesize(
         raise ValueError(f"unknown mode {mode!r}")
     timed = time_consistency and mode == "Community"
     kept = select_catch(catch, sources, size_classes, taxa if mode == "Taxa" else None)
-    base = filtered_base(kept, env, samples, timed)
-    staged = stage_lineages(base, timed)
+    staged = stage_lineages(filtered_base(kept, env, samples, timed), timed)
+    base = filtered_base(kept, env, samples, False)
     lines = staged.table
     inconsistent = inconsistent_values(lines, start_dates, introductions, intro_lag) if timed else None
     cover = coverage(lines, inconsistent)

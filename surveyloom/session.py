@@ -53,6 +53,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal the rows of an input with fewer scan tasks than cores over all cores.
+
+    An input of many files or row groups is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def sliced(df: DataFrame, slices: int, column: str = "_slice") -> DataFrame:
     """Number every row with a slice that depends on its content only, so retries agree."""
     hashable = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
@@ -69,16 +78,20 @@ def join_lookup(
 ) -> DataFrame:
     """Join a lookup table: broadcast within the row bound, sliced shuffle beyond it.
 
-    ``rows`` is a known upper bound of the lookup's row count; without it the rows are counted.
-    Keys in ``null_safe`` match NULL to NULL.
+    ``rows`` is a known upper bound of the lookup's row count; without it the lookup is written
+    once and counted from the written table, so it is not derived twice. Keys in ``null_safe``
+    match NULL to NULL.
     """
+    if rows is None:
+        lookup = stage(lookup, "lookup")
+        rows = lookup.count()
     keys, null_safe = list(keys), set(null_safe)
     right = lookup.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     condition = [
         F.col(k).eqNullSafe(F.col(f"_k_{k}")) if k in null_safe else F.col(k) == F.col(f"_k_{k}")
         for k in keys
     ]
-    if (lookup.count() if rows is None else rows) <= BROADCAST_ROWS:
+    if rows <= BROADCAST_ROWS:
         left, right = df, F.broadcast(right)
     else:
         left = sliced(df, LOOKUP_SLICES)

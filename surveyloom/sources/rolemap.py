@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.schemas import REGIONS
+from surveyloom.session import spread
 
 STATION_LAT = "37.8D + CAST(({n} * 7) % 17 AS DOUBLE) * 0.05D"
 STATION_LONG = "-122.5D + CAST(({n} * 11) % 25 AS DOUBLE) * 0.05D"
@@ -57,7 +58,11 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "SampleID")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
+        ), "l_orderkey", "l_partkey", "l_linenumber",
+    ).withColumnRenamed("l_orderkey", "SampleID")
     samples = env(spark, sf_dir).selectExpr(
         "SampleID", "Source", "Year",
         "coalesce(nullif(array_position(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), Source), 0), 5) - 1 AS si",
