@@ -53,15 +53,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Deal the rows of an input with fewer scan tasks than cores over all cores.
-
-    An input of many files or row groups is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def sliced(df: DataFrame, slices: int, column: str = "_slice") -> DataFrame:
     """Number every row with a slice that depends on its content only, so retries agree."""
     hashable = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]

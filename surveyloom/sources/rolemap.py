@@ -10,15 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from surveyloom.schemas import REGIONS
-from surveyloom.session import spread
 
 STATION_LAT = "37.8D + CAST(({n} * 7) % 17 AS DOUBLE) * 0.05D"
 STATION_LONG = "-122.5D + CAST(({n} * 11) % 25 AS DOUBLE) * 0.05D"
 SALT = "(o_orderkey * 13 + o_custkey * 7) % 330"
 
 
+# Declared, so that opening a table needs no job to read its footer.
+SCHEMAS = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_discount double,
+        l_returnflag string, l_linestatus string""",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_size int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "documents": "doc_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def env(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +69,7 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
-        ), "l_orderkey", "l_partkey", "l_linenumber",
-    ).withColumnRenamed("l_orderkey", "SampleID")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "SampleID")
     samples = env(spark, sf_dir).selectExpr(
         "SampleID", "Source", "Year",
         "coalesce(nullif(array_position(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), Source), 0), 5) - 1 AS si",
@@ -71,7 +78,8 @@ def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
     depth = """CASE WHEN gen = 'widget' AND si = 0 THEN 0 WHEN gen = 'gizmo' AND si = 1 THEN 2 WHEN gen = 'rod' AND si = 2 THEN 3
         WHEN gen = 'plate' AND adj = 'hot' AND Year < 1997 THEN 5 WHEN gen = 'ring' AND adj = 'cold' AND Year < 2000 THEN 5
         WHEN (ai + si) % 7 = 0 THEN 5 ELSE 6 END AS depth"""
-    return lines.join(samples, "SampleID").join(taxonomy(spark, sf_dir), "l_partkey").selectExpr(
+    # Both sides grow with the data: a merge join, whose partitioning by sample the sums reuse.
+    return lines.join(samples.hint("merge"), "SampleID").join(taxonomy(spark, sf_dir), "l_partkey").selectExpr(
         "*", depth
     ).filter("depth > 0").selectExpr(
         "SampleID", "Source",
