@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from catalog.registry import ROLL_UP, register, roll_up_sql
 from surveyloom.functions.missing import paste
+from surveyloom.operators import effort
 from surveyloom.operators import synth as S
 from surveyloom.operators.combine import with_samples
 from surveyloom.operators.filters import SampleFilter, flag_undersampled, select_catch
 from surveyloom.operators.validate import verdict
 from surveyloom.plans.conservation import check_conservation
 from surveyloom.schemas import RANKS
+from surveyloom.session import join_lookup
 from surveyloom.sources.tables import taxa_list
 
 SUMMED = ["Source", "SampleID", "SizeClass", "Taxname", "Lifestage", "Taxlifestage", "CPUE", "Undersampled"]
@@ -39,9 +41,7 @@ def list_taxa(t):
 
 @register("start_dates", "SELECT Source, CAST(year(min(Startdate)) AS INT) AS StartYear FROM fx_start GROUP BY Source")
 def first_years(t):
-    from surveyloom.operators.effort import first_years as years
-
-    return years(t.start)
+    return effort.first_years(t.start)
 
 
 @register("synth_base", """SELECT c.Source, c.SampleID, SizeClass, Taxname, Lifestage, CPUE, Date, e.Year, Station, Latitude, Longitude, SalSurf
@@ -83,8 +83,6 @@ def community_filtered(t):
 def community_removed(t):
     lines = S.stage_lineages(t.catch)
     gone = S.removed_taxa(S.community_map(lines.table, S.coverage(lines.table)))
-    from surveyloom.session import join_lookup
-
     lost = join_lookup(t.labelled, gone, ["Taxlifestage", "SizeClass"], "left_semi", rows=lines.rows)
     return lost.groupBy("Taxlifestage", "SizeClass").agg(F.count("*").alias("N_rows"), F.sum("CPUE").alias("CPUE"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import fixed, register
 from surveyloom.functions import classes as C
+from surveyloom.functions import masking
 from surveyloom.functions import missing as N
 from surveyloom.functions import text as X
 from surveyloom.operators.gear import ITALIC_TAXA, log1p_block
@@ -150,16 +151,12 @@ def mean_salinity(t):
 
 @register("mask_fraction", "SELECT SampleID, CASE WHEN (SampleID * 7919) % 10 >= 1 THEN Secchi END AS Secchi_2 FROM fx_env")
 def mask_fraction(t):
-    from surveyloom.functions.masking import mask_by
-
-    return t.env.select("SampleID", mask_by("Secchi", (F.col("SampleID") * 7919) % 10, 1).alias("Secchi_2"))
+    return t.env.select("SampleID", masking.mask_by("Secchi", (F.col("SampleID") * 7919) % 10, 1).alias("Secchi_2"))
 
 
 @register("mask_random")
 def mask_random(t):
-    from surveyloom.functions.masking import mask_random as mask
-
-    return t.env.select("SampleID", mask("Secchi", 0.1, seed=7).alias("Secchi_2"))
+    return t.env.select("SampleID", masking.mask_random("Secchi", 0.1, seed=7).alias("Secchi_2"))
 
 
 @register("log1p_block", "SELECT SampleID, round(ln(Temperature + 1), 6) AS Temperature_l, round(ln(Chl + 1), 6) AS Chl_l FROM fx_env")

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from surveyloom.operators import combine as B
 from surveyloom.operators import lab as L
 from surveyloom.operators.names import resolve_taxa, unresolved

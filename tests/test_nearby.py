@@ -2,8 +2,6 @@ import datetime as dt
 import math
 import random
 
-from pyspark.sql import functions as F
-
 from surveyloom.operators import nearby as N
 from surveyloom.operators import regions as G
 from surveyloom.plans.matching import clean_fish, fish_sample_match
