@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import bpe
-from surveyloom.llm.common import read
+from surveyloom.llm import bpe, packing, repeats, secret_scan, sharding, toxicity
+from surveyloom.llm.common import crc_fold, read
 
 QUERIES, SQL = {}, {}
 
@@ -17,6 +17,60 @@ def query(run):
     return run
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of one fold in four are never seen."""
+    docs, held_out = read(spark, sf_dir, "documents"), crc_fold("doc_id", 4) == 2
+    grammar = toxicity.train(docs, read(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, grammar).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes over all documents."""
+    placed = sharding.shard(read(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _joined(spans) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, by fixed patterns and the trained field."""
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS
+    ]
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.ADDED)
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+    )
+
+
+@query
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document without the 13-word windows that smaller documents hold."""
+    left = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document's pieces in sequences of at most 4096 tokens."""
+    return packing.pack(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1,
+        derive={"ids_crc32": F.crc32("ids")},
+    )
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to."""
