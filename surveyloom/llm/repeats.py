@@ -90,8 +90,9 @@ def _starts(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
 def _prefix(words: np.ndarray, at: np.ndarray, overfull: list[np.ndarray]) -> np.ndarray:
     """Hash of the shortest prefix of each suffix that is not overfull."""
     found = _grams(words, 1, 1)[at]
-    open_, previous = np.arange(len(at)), overfull[0]
+    open_ = np.arange(len(at))
     for length in range(2, LONGEST_PREFIX + 1):
+        previous = overfull[length - 2]
         if not len(previous):
             break
         slot = np.minimum(np.searchsorted(previous, found[open_]), len(previous) - 1)
@@ -99,7 +100,6 @@ def _prefix(words: np.ndarray, at: np.ndarray, overfull: list[np.ndarray]) -> np
         if not len(open_):
             break
         found[open_] = _grams(words, length, length)[at[open_]]
-        previous = overfull[length - 1]
     return found
 
 
