@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import bpe, packing, repeats, secret_scan, sharding, toxicity
+from surveyloom.llm import bpe, forest, packing, repeats, secret_scan, sharding, simhash, topk, toxicity
 from surveyloom.llm.common import crc_fold, read
 
 QUERIES, SQL = {}, {}
@@ -17,6 +17,19 @@ def query(run):
     return run
 
 
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the group of near-duplicates it belongs to."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every vector at cosine 0.93 inside its label, and the group it belongs to."""
+    return forest.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of one fold in four are never seen."""
@@ -41,6 +54,12 @@ def _joined(spans) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+@query
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector with all others."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 @query
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, by fixed patterns and the trained field."""
