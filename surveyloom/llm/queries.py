@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import bpe, forest, packing, repeats, secret_scan, sharding, simhash, topk, toxicity
+from surveyloom.llm import attention_lm, bpe, forest, packing, repeats, secret_scan, sharding, simhash, topk, toxicity
 from surveyloom.llm.common import crc_fold, read
 
 QUERIES, SQL = {}, {}
@@ -60,6 +60,14 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+@query
+def op6_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of every document by the attention model and by whole-word counts."""
+    return attention_lm.score(
+        read(spark, sf_dir, "documents"), crc_fold("doc_id", 5) == 1, public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 @query
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, by fixed patterns and the trained field."""
