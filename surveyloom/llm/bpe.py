@@ -14,9 +14,11 @@ from __future__ import annotations
 import codecs
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,7 +37,7 @@ PLAIN = r"[\t-\r\x20-\xff]*"
 # Characters of a text that are cut into pre-tokens at a time.
 BLOCK_CHARS = 1 << 16
 # Pre-tokens whose encoding a Python worker remembers; beyond that it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 # Later than any merge.
 NEVER = 1 << 60
 
@@ -47,6 +49,21 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class _Pieces(dict):
+    """Ids of the strings between lone spaces, each with the space before it."""
+
+    def __init__(self, coder: StreamingBpe):
+        self.coder = coder
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("i", self.coder.encode_piece(" " + piece)).tobytes()
+        if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class StreamingBpe:
     """Encoder and decoder over one vocabulary file with a BPE merge list."""
 
@@ -74,7 +91,7 @@ class StreamingBpe:
         self.cut, self.wide_space = regex.compile(r" (?=\S)"), regex.compile(r" \s| $")
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.remembered: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces = _Pieces(self)
         self.follows: dict[int, bool] = {}
 
     def merged(self, ids: list[int]) -> list[int]:
@@ -185,43 +202,32 @@ class StreamingBpe:
             out += ids
         return out
 
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Id lists of the text's blocks; strings of special tokens become their ids.
+    def encode(self, text: str) -> Iterator[bytes]:
+        """Ids of the text's blocks as 32-bit numbers; strings of special tokens become their ids.
 
         No pre-token crosses the place before a lone space that a non-space follows, so where all
         spaces are such the block is cut at them and the pieces' ids are remembered as well.
         """
         parts = self.special_at.split(text) if self.special_at and "<" in text else [text]
-        known = self.pieces
         for k, part in enumerate(parts):
             if k % 2:
-                yield [self.special[part]]
+                yield array("i", [self.special[part]]).tobytes()
                 continue
             for block in self.blocks(part):
                 if self.wide_space.search(block):
-                    yield self.encode_piece(block)
-                    continue
-                first, *pieces = block.split(" ")
-                out = self.encode_piece(first)
-                for piece in pieces:
-                    ids = known.get(piece)
-                    if ids is None:
-                        ids = self.encode_piece(" " + piece)
-                        if len(piece) <= 64:
-                            if len(known) >= REMEMBERED:
-                                known.clear()
-                            known[piece] = ids
-                    out += ids
-                yield out
+                    yield array("i", self.encode_piece(block)).tobytes()
+                else:
+                    first, *pieces = block.split(" ")
+                    yield b"".join([array("i", self.encode_piece(first)).tobytes(), *map(self.pieces.__getitem__, pieces)])
 
     def decoder(self) -> codecs.IncrementalDecoder:
         """Byte-to-text state machine: holds the bytes of an unfinished character."""
         return codecs.getincrementaldecoder("utf-8")("replace")
 
-    def decode(self, blocks: Iterator[list[int]]) -> Iterator[str]:
-        machine, data = self.decoder(), self.bytes_of
-        for ids in blocks:
-            yield machine.decode(b"".join([data[i] for i in ids]))
+    def decode(self, blocks: Iterable[bytes]) -> Iterator[str]:
+        machine, data = self.decoder(), self.bytes_of.__getitem__
+        for block in blocks:
+            yield machine.decode(b"".join(map(data, np.frombuffer(block, np.int32).tolist())))
         yield machine.decode(b"", final=True)
 
 
@@ -240,12 +246,14 @@ def encode_decode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: s
     def work(columns: list[list]) -> list:
         bpe = load(vocabulary)
         keys, texts = columns
-        ids, decoded = [], []
+        ids, ends, decoded = [], [0], []
         for value in texts:
             own = list(bpe.encode(value or ""))
             decoded.append("".join(bpe.decode(own)))
-            ids.append([i for block in own for i in block] if len(own) != 1 else own[0])
-        return [pa.array(keys, key_type), ids, decoded]
+            ids += own
+            ends.append(ends[-1] + sum(map(len, own)) // 4)
+        flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+        return [pa.array(keys, key_type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), decoded]
 
     source = docs.select(key, text)
     from pyspark.sql.pandas.types import to_arrow_type
