@@ -144,7 +144,8 @@ def sheet_headers(cells: DataFrame, layout: SheetLayout) -> DataFrame:
 
 
 def lab_rows(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame:
-    """Tidy rows of every sheet that has counts."""
+    """Tidy rows of every sheet that has counts; the cells of a sheet are brought together once."""
+    cells = cells.repartition(*SHEET)
     tidy = categorised(counted_rows(cells, layout)).join(sheet_headers(cells, layout), list(SHEET), "left")
     return tidy.fillna(0.0, ["count", "subsample"]).select(
         *SHEET, "sample", "date", "time", "category", "taxon", "count", "subsample",
@@ -154,6 +155,7 @@ def lab_rows(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame
 
 def lab_warnings(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame:
     """(workbook, sheet, field) of amounts that are blank or zero on sheets with counts."""
+    cells = cells.repartition(*SHEET)
     totals = block_rows(cells, layout).groupBy(*SHEET).agg(F.sum("count").alias("_total"))
     with_counts = totals.filter("_total <> 0").select(*SHEET)
     headers = sheet_headers(cells, layout).join(with_counts, list(SHEET), "left_semi")
