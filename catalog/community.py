@@ -13,7 +13,7 @@ from surveyloom.operators import synth as S
 from surveyloom.operators.combine import with_samples
 from surveyloom.operators.filters import SampleFilter, flag_undersampled, select_catch
 from surveyloom.operators.validate import verdict
-from surveyloom.plans.conservation import check_conservation
+from surveyloom.plans.conservation import check_filtered, check_unfiltered
 from surveyloom.schemas import RANKS
 from surveyloom.session import join_lookup
 from surveyloom.sources.tables import taxa_list
@@ -163,7 +163,7 @@ both_ AS (SELECT coalesce(abs(CPUE_com - CPUE_base) < greatest(1.5e-8, 1e-9 * gr
  FROM after FULL JOIN before ON after.SampleID = before.SampleID)
 SELECT count(*) AS N_samples, count(*) FILTER (NOT same) AS N_differ, bool_and(same) AS Conserved FROM both_""")
 def conservation(t):
-    return verdict(check_conservation(t.catch, t.env).unfiltered)
+    return verdict(check_unfiltered(t.catch, t.env))
 
 
 KEPT = """SELECT c.* FROM fx_catch c ANTI JOIN (SELECT DISTINCT SizeClass, Taxname, Lifestage FROM tgt0 WHERE target IS NULL) g
@@ -183,7 +183,7 @@ before AS (SELECT SampleID, sum(CPUE) AS CPUE_base FROM kept GROUP BY SampleID)
 SELECT coalesce(after.SampleID, before.SampleID) AS SampleID, CPUE_com, CPUE_base
  FROM after FULL JOIN before ON after.SampleID = before.SampleID""")
 def conservation_filtered(t):
-    return check_conservation(t.catch, t.env).filtered
+    return check_filtered(t.catch, t.env)
 
 
 @register("join_left", """SELECT c.Source, c.SampleID, SizeClass, Taxname, CPUE, Date, Station, Secchi, Tide

@@ -15,7 +15,7 @@ gt AS (SELECT * FROM g WHERE Taxlifestage IN (SELECT Taxlifestage FROM tx)),
 sm AS (SELECT SampleID FROM gt GROUP BY 1 HAVING count(DISTINCT SizeClass) = 2),
 gb AS (SELECT * FROM gt WHERE SampleID IN (SELECT SampleID FROM sm))
 """
-GENERA = ["anvil", "bolt", "gear", "gizmo"]
+GENERA = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"]
 IDS = ["Date", "Station", "Source", "Secchi", "Chl", "Temperature"]
 IDS_SQL = ", ".join(IDS)
 
@@ -74,7 +74,7 @@ def gear_matrix(t):
 JOIN_KEYS = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in IDS)
 
 
-@register("join_paired_gear", MATRIX_SQL + f""", a AS (SELECT *, (anvil + bolt + gear + gizmo) * Volume AS ct FROM cb)
+@register("join_paired_gear", MATRIX_SQL + f""", a AS (SELECT *, ({" + ".join(GENERA)}) * Volume AS ct FROM cb)
 SELECT {', '.join(f'a.{c}' for c in IDS)}, concat(CAST(a.Date AS VARCHAR), ' ', a.Station) AS SampleID, {', '.join(f'a.{g} AS {g}_CB, b.{g} AS {g}_Pump, round(ln(1 + a.{g}), 6) AS {g}_CB_l' for g in GENERA)},
  a.ct AS Catch_total_CB, round((a.ct - (SELECT avg(ct) FROM a)) / (SELECT stddev_samp(ct) FROM a), 6) AS Catch_total_CB_s FROM a JOIN pump b ON {JOIN_KEYS}""")
 def join_paired_gear(t):

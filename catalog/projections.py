@@ -154,9 +154,10 @@ def mask_fraction(t):
     return t.env.select("SampleID", masking.mask_by("Secchi", (F.col("SampleID") * 7919) % 10, 1).alias("Secchi_2"))
 
 
-@register("mask_random")
+@register("mask_random", f"""SELECT SampleID, CASE WHEN CAST('0x' || substr(md5(concat(SampleID, ':7')), 1, 8) AS BIGINT) >= {int(0.1 * 2**32)}
+ THEN Secchi END AS Secchi_2 FROM fx_env""")
 def mask_random(t):
-    return t.env.select("SampleID", masking.mask_random("Secchi", 0.1, seed=7).alias("Secchi_2"))
+    return t.env.select("SampleID", masking.mask_random("Secchi", 0.1, 7, "SampleID").alias("Secchi_2"))
 
 
 @register("log1p_block", "SELECT SampleID, round(ln(Temperature + 1), 6) AS Temperature_l, round(ln(Chl + 1), 6) AS Chl_l FROM fx_env")

@@ -133,11 +133,11 @@ fx_under AS (
 fx_start AS (SELECT Source, min(Date) AS Startdate FROM fx_env GROUP BY Source),
 fx_intro AS (SELECT 'cold ring' AS Taxname, 1998 AS Intro_year UNION ALL SELECT 'hot plate', 1996),
 fx_fish AS (
- SELECT event_id AS fishid, DATE '1995-01-01' + CAST((event_id * 13) % 2400 AS INT) AS date,
+ SELECT event_id AS fishid, event_type AS survey, DATE '1995-01-01' + CAST((event_id * 13) % 2400 AS INT) AS date,
   CAST((event_id * 37) % 330 AS DOUBLE) / CAST(10 AS DOUBLE) AS sal,
   CAST(37.8 AS DOUBLE) + CAST(((user_id % 40) * 7) % 17 AS DOUBLE) * CAST(0.05 AS DOUBLE) + CAST(event_id % 9 - 4 AS DOUBLE) * CAST(0.004 AS DOUBLE) AS lat,
   CAST(-122.5 AS DOUBLE) + CAST(((user_id % 40) * 11) % 25 AS DOUBLE) * CAST(0.05 AS DOUBLE) + CAST(event_id % 7 - 3 AS DOUBLE) * CAST(0.004 AS DOUBLE) AS long
- FROM events WHERE event_type = 'purchase'),
+ FROM events),
 fx_rect AS (
  SELECT 'West' AS Region, -122.525 AS x0, -122.125 AS x1, 37.775 AS y0, 38.225 AS y1
  UNION ALL SELECT 'Middle', -122.125, -121.725, 37.775, 38.225

@@ -22,7 +22,7 @@ def lm_global(t):
     return M.lm_global(wide, "y", "x").select("N", fixed("Intercept"), fixed("Slope"), fixed("R2"))
 
 
-@register("lm_by_group", GROUP_SQL + """, f AS (SELECT Taxlifestage, regr_count(y, x) AS N, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, regr_r2(y, x) AS r, max(x) AS X_max, max(y) AS Y_max FROM w GROUP BY 1)
+@register("lm_by_group", GROUP_SQL + """, f AS (SELECT Taxlifestage, regr_count(y, x) AS N, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, regr_r2(y, x) AS r, CASE WHEN count(x) = count(*) THEN max(x) END AS X_max, CASE WHEN count(y) = count(*) THEN max(y) END AS Y_max FROM w GROUP BY 1)
 SELECT Taxlifestage, N, round(a, 6) AS Intercept, round(b, 6) AS Slope, round(r, 6) AS R2, round(X_max, 6) AS X_max, round(Y_max, 6) AS Y_max,
  round(CASE WHEN N > 2 THEN 1 - (1 - r) * (N - 1) / (N - 2) END, 6) AS Adj_R2 FROM f""")
 def lm_by_group(t):

@@ -13,7 +13,7 @@ from surveyloom.operators import effort as E
 from surveyloom.operators import order as O
 from surveyloom.operators import views as V
 from surveyloom.plans.matching import distinct_samples
-from surveyloom.schemas import RANKS, SALINITY_ZONES
+from surveyloom.schemas import MAJOR_GROUPS, RANKS, SALINITY_ZONES
 
 SPOT = ["Date", "Year", "Latitude", "Longitude", "SalSurf"]
 RANKS_SQL = 'Phylum, Class, "Order", Family, Genus, Species'
@@ -42,12 +42,18 @@ def community_map(t):
     return mapped_community(t)
 
 
-@register("community_map_sorted", VIEWS + COM_MAP_SQL + "SELECT Taxa, Year, Latitude, Longitude, CPUE FROM cmap ORDER BY Taxa, Year, Latitude, Longitude")
+GROUPS = list(MAJOR_GROUPS)
+LEVEL_SQL = "list_position([" + ", ".join(f"'{g}'" for g in GROUPS) + "], Taxa)"
+
+
+@register("community_map_sorted", VIEWS + COM_MAP_SQL + f"""SELECT row_number() OVER (ORDER BY {LEVEL_SQL} NULLS LAST, Year NULLS LAST, Latitude NULLS LAST, Longitude NULLS LAST) AS Position,
+ Taxa, Year, Latitude, Longitude, CPUE FROM cmap""")
 def community_map_sorted(t):
-    return O.arrange(mapped_community(t), "Taxa", "Year", "Latitude", "Longitude")
+    keys = ["_level", "Year", "Latitude", "Longitude"]
+    leveled = mapped_community(t).withColumn("_level", level_order("Taxa", GROUPS))
+    return O.row_ids(leveled, keys, "Position").orderBy("Position").select("Position", "Taxa", "Year", "Latitude", "Longitude", "CPUE")
 
 
-GROUPS = ["Calanoida", "Cyclopoida", "Harpacticoida", "UnID copepods", "Mysida", "Cladocera", "Rotifera", "Cirripedia", "Insecta", "Other"]
 PIVOT_SQL = ", ".join(f"max(CASE WHEN Taxa = '{g}' THEN CPUE END) AS \"{g}\"" for g in GROUPS)
 
 
@@ -87,7 +93,7 @@ def sample_counts(t):
 
 @register("row_ids", f"SELECT *, row_number() OVER (ORDER BY Source, Year, Month) AS ID FROM ({COUNTS_SQL})")
 def row_ids(t):
-    return O.row_ids(V.sample_counts(B.with_samples(t.catch, t.env)), ["Source", "Year", "Month"], lead=2)
+    return O.row_ids(V.sample_counts(B.with_samples(t.catch, t.env)), ["Source", "Year", "Month"])
 
 
 @register("size_breaks", VIEWS + """,
@@ -160,7 +166,7 @@ def sort_by_level(t):
  SELECT DISTINCT Taxlifestage, Phylum IS NULL AS n1, Phylum, Class IS NULL AS n2, Class, "Order" IS NULL AS n3, "Order", Family IS NULL AS n4, Family,
   Genus IS NULL AS n5, Genus, Species IS NULL AS n6, Species, Lifestage FROM fx_label)""")
 def level_index(t):
-    return O.level_index(t.labelled, "Taxlifestage", [*RANKS, "Lifestage"], lead=4)
+    return O.level_index(t.labelled, "Taxlifestage", [*RANKS, "Lifestage"])
 
 
 @register("first_choice", "SELECT min(Lifestage) AS Lifestage FROM fx_catch")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +40,20 @@ def sum_strict(c: Column | str) -> Column:
     return F.when(F.count(x) == F.count(F.lit(1)), F.sum(x))
 
 
+def strict(c: Column | str, measure: Callable[[Column], Column]) -> Column:
+    """A mean, largest value or deviation that is missing as soon as one value is missing."""
+    x = col(c)
+    return F.when(F.count(x) == F.count(F.lit(1)), measure(x))
+
+
+def mean_strict(c: Column | str) -> Column:
+    return strict(c, F.avg)
+
+
+def max_strict(c: Column | str) -> Column:
+    return strict(c, F.max)
+
+
 def in_set(c: Column | str, values: Iterable) -> Column:
     """Membership that is false, not NULL, for a missing value."""
     return F.coalesce(col(c).isin(list(values)), F.lit(False))

@@ -31,9 +31,9 @@ def totals_before_after(after: DataFrame, before: DataFrame, key: str = "SampleI
 
 
 def without_listed(df: DataFrame, listed: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Rows whose key is not in a (small, counted) list."""
+    """Rows whose key is not in a (small, counted) list; missing keys match missing keys."""
     keys = list(keys)
-    return join_lookup(df, listed.select(*keys).distinct(), keys, "left_anti")
+    return join_lookup(df, listed.select(*keys).distinct(), keys, "left_anti", keys)
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, column: str, id_column: str) -> DataFrame:
@@ -62,7 +62,8 @@ def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:
 
 def explode_report(report: DataFrame, column: str = "message") -> DataFrame:
     """Split ``"reason: name (Size), name (Size)"`` texts into one row per taxon and size class."""
-    tail = F.substring_index(column, ": ", -1)
+    text = F.col(column)
+    tail = F.substr(text, F.instr(text, F.lit(": ")) + 2)  # names may hold the separator themselves
     items = report.select(F.explode(F.split(tail, ", ")).alias("_item"))
     return items.select(
         F.regexp_replace("_item", r"\s*\([^)]+\)", "").alias("Taxlifestage"),

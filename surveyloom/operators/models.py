@@ -15,6 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.functions.missing import max_strict
 from surveyloom.functions.regress import adjusted_r2, regression, slope_p_value
 from surveyloom.session import stage
 
@@ -26,7 +27,7 @@ def lm_global(df: DataFrame, y: str, x: str) -> DataFrame:
 def lm_by_group(df: DataFrame, group: str, y: str, x: str, with_p: bool = True) -> DataFrame:
     """Intercept, slope, R², adjusted R², largest values (and p-value) per group."""
     fits = df.groupBy(group).agg(
-        *regression(y, x), F.max(f"`{x}`").alias("X_max"), F.max(f"`{y}`").alias("Y_max")
+        *regression(y, x), max_strict(F.col(f"`{x}`")).alias("X_max"), max_strict(F.col(f"`{y}`")).alias("Y_max")
     ).withColumn("Adj_R2", adjusted_r2(F.col("N"), F.col("R2")))
     return fits.withColumn("P_value", slope_p_value()(F.col("R2"), F.col("N").cast("double"))) if with_p else fits
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.missing import level_order
+from surveyloom.session import stage
 
 
 def arrange(df: DataFrame, *columns: str | Column) -> DataFrame:
@@ -20,40 +21,35 @@ def arrange_by_level(df: DataFrame, column: str, levels: Iterable[str], *then: s
     return df.orderBy(level_order(column, levels).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in then])
 
 
-def row_ids(df: DataFrame, keys: Iterable[str], lead: int, name: str = "ID") -> DataFrame:
-    """Row numbers 1..n in the order of ``keys``.
+def row_ids(df: DataFrame, keys: Iterable[str], name: str = "ID") -> DataFrame:
+    """Row numbers 1..n in the order of ``keys``, missing values last; keys should order the rows fully.
 
-    Rows are numbered inside the blocks the first ``lead`` keys form; only one count per block
-    passes through the running total that shifts the blocks. Choose ``lead`` so that blocks are
-    small, and keys that order the rows fully.
+    Rows are dealt into ranges of the keys and numbered inside each; only one count per range passes
+    through the running total that shifts the ranges.
     """
-    keys = list(keys)
-    blocks, rest = keys[:lead], keys[lead:]
     ascending = [F.col(k).asc_nulls_last() for k in keys]
-    counts = df.groupBy(*blocks).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*ascending[:lead]).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select(
-        *[F.col(b).alias(f"_b_{b}") for b in blocks],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"),
+    ranged = stage(df.repartitionByRange(*ascending).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
     )
-    inner = Window.partitionBy(*blocks).orderBy(*(ascending[lead:] or [F.lit(0)]))
-    same = [F.col(b).eqNullSafe(F.col(f"_b_{b}")) for b in blocks]
+    inside = Window.partitionBy("_range").orderBy(*ascending)
     return (
-        df.withColumn("_row", F.row_number().over(inner))
-        .join(shifts, same, "left")
+        ranged.withColumn("_row", F.row_number().over(inside))
+        .join(F.broadcast(shifts), "_range")  # one row per range
         .withColumn(name, F.col("_row") + F.col("_shift"))
-        .drop("_row", "_shift", *[f"_b_{b}" for b in blocks])
+        .drop("_row", "_shift", "_range")
     )
 
 
-def level_index(df: DataFrame, label: str, sort_keys: Iterable[str], lead: int) -> DataFrame:
+def level_index(df: DataFrame, label: str, sort_keys: Iterable[str]) -> DataFrame:
     """Levels of ``label`` numbered by first appearance after sorting on ``sort_keys``."""
     sort_keys = list(sort_keys)
     first = df.groupBy(label).agg(
         F.min(F.struct(*[part for k in sort_keys for part in (F.col(k).isNull().alias(f"_null_{k}"), F.col(k))])).alias("_o")
     ).select(label, *[F.col(f"_o.{k}").alias(f"_s_{k}") for k in sort_keys])
     ordered = [f"_s_{k}" for k in sort_keys] + [label]
-    return row_ids(first, ordered, lead, "Level").select(label, "Level")
+    return row_ids(first, ordered, "Level").select(label, "Level")
 
 
 def first_choice(df: DataFrame, column: str, levels: Iterable[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.geo import bucket, inside, ring_edges
+from surveyloom.functions.missing import mean_strict
 from surveyloom.operators.combine import null_safe_join
 from surveyloom.session import join_lookup
 
@@ -55,13 +56,13 @@ def assign_regions(
 
 
 def region_means(located: DataFrame) -> DataFrame:
-    """Mean CPUE per region, year and taxon, placed at the middle of the region's coordinate range.
+    """Mean CPUE per region, year and taxon (missing with any catch missing), placed at the middle of the region's coordinate range.
 
     The middles come from a combinable aggregate, not a window, so a dominant region stays spread.
     """
     middle = lambda c: ((F.min(c) + F.max(c)) / 2).alias(c)
     centres = located.groupBy("Region").agg(middle("Latitude"), middle("Longitude"))
-    means = located.groupBy("Region", "Year", "Taxlifestage").agg(F.avg("CPUE").alias("CPUE"))
+    means = located.groupBy("Region", "Year", "Taxlifestage").agg(mean_strict("CPUE").alias("CPUE"))
     return null_safe_join(means, centres, ["Region"], "left")
 
 
@@ -110,7 +111,7 @@ def hull_reducer(group: str, tolerance: float):
     return reduce
 
 
-def hull_by_group(points: DataFrame, group: str, fan_in: int = 64, tolerance: float = 1e-12) -> DataFrame:
+def hull_by_group(points: DataFrame, group: str, fan_in: int = 64, tolerance: float = 0.0) -> DataFrame:
     """Corners of the convex hull of each group's points.
 
     Points shrink to the two extremes per meridian, then to the hull of each partition batch by

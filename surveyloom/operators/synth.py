@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,12 @@ from surveyloom.functions.classes import taxlifestage
 from surveyloom.functions.missing import paste
 from surveyloom.operators.filters import SampleFilter, select_catch
 from surveyloom.schemas import INTRO_LAG_YEARS, LINEAGE_KEY, RANKS, SAMPLE_KEY
-from surveyloom.session import BROADCAST_ROWS, join_lookup, stage
+from surveyloom.session import join_lookup, stage
 
-NULLABLE = ("Lifestage", *RANKS)
-VALUE_KEY = ("SizeClass", "Lifestage", "rank", "value")
+NULLABLE = LINEAGE_KEY
+# A rank value is the same taxon in two lineages if its rank, name and path agree (see ``with_paths``).
+VALUE_KEY = ("SizeClass", "Lifestage", "rank", "value", "path")
+TARGET_KEY = ("SizeClass", "Lifestage", "Target", "Target_rank", "Target_path")
 BRIEF_ENV = ("Date", "Year", "Station", "Latitude", "Longitude", "SalSurf")
 
 
@@ -35,7 +38,7 @@ class Synth:
 
 @dataclass(frozen=True)
 class Lineages:
-    """Staged distinct lineages per survey (and year), with their row count as size bound."""
+    """Staged distinct lineages per survey (and year), with the number of distinct lineages."""
 
     table: DataFrame
     rows: int
@@ -54,17 +57,44 @@ def filtered_base(catch: DataFrame, env: DataFrame, samples: SampleFilter, with_
 def stage_lineages(base: DataFrame, with_year: bool = False) -> Lineages:
     columns = ["Source", *LINEAGE_KEY, *(["Year"] if with_year else [])]
     table = stage(base.select(*columns).distinct(), "lineages")
-    rows = table.count()
-    # A counted small table is decided on in one task, without any exchange; a large one is spread.
-    return Lineages(table.coalesce(1) if rows <= BROADCAST_ROWS else table, rows)
+    return Lineages(with_paths(table), table.select(*LINEAGE_KEY).distinct().count())
+
+
+def with_paths(lines: DataFrame) -> DataFrame:
+    """Add ``_named``: the named ranks of a lineage as (rank, value, path); species is rank 6.
+
+    A name stands for one taxon as long as no rank above it bears two names among its lineages, gaps
+    aside; its path is then empty. A homonym, whose lineages disagree above, is kept apart by the
+    path of names above it, where a gap makes a path of its own.
+    """
+    def above(i: int) -> Column:
+        return F.concat_ws("\x1f", *[F.coalesce(F.col(r), F.lit("")) for r in RANKS[:i]])
+
+    ranks = F.array(*[
+        F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), F.array(*map(F.col, RANKS[:i - 1])).alias("higher"))
+        for i, r in enumerate(RANKS, 1) if i > 1
+    ])
+    named = lines.select(*RANKS).distinct().select(F.explode(ranks).alias("n")).select("n.*").filter("value IS NOT NULL")
+    differ = [
+        F.coalesce(F.min(F.get("higher", F.lit(i))) != F.max(F.get("higher", F.lit(i))), F.lit(False))
+        for i in range(len(RANKS) - 1)
+    ]
+    homonyms = named.groupBy("rank", "value").agg(reduce(lambda a, b: a | b, differ).alias("differ")).filter("differ")
+    # One row per rank with all its homonyms would grow; the names are joined one rank at a time.
+    out, marks = lines, []
+    for i, r in enumerate(RANKS, 1):
+        path = F.lit("")
+        if i > 1:
+            mine = homonyms.filter(F.col("rank") == i).select(F.col("value").alias(f"_h{i}"))
+            out = out.join(mine, F.col(r) == F.col(f"_h{i}"), "left")
+            path = F.when(F.col(f"_h{i}").isNotNull(), above(i - 1)).otherwise("")
+        marks.append(F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), path.alias("path")))
+    return stage(out.withColumn("_named", F.array(*marks)).select(*lines.columns, "_named"), "paths")
 
 
 def rank_values(lines: DataFrame, keep: Iterable[str], named_only: bool = True) -> DataFrame:
     """One row per lineage and named rank; unnamed ranks are skipped. Species is rank 6."""
-    named = F.array(*[
-        F.struct(F.lit(i).alias("rank"), F.col(r).alias("value")) for i, r in enumerate(RANKS, 1)
-    ])
-    values = lines.select(*keep, F.explode(named).alias("_v")).select(*keep, "_v.rank", "_v.value")
+    values = lines.select(*keep, F.explode("_named").alias("_v")).select(*keep, "_v.rank", "_v.value", "_v.path")
     return values.filter("value IS NOT NULL") if named_only else values
 
 
@@ -116,17 +146,18 @@ def coverage(lines: DataFrame, inconsistent: DataFrame | None = None) -> DataFra
         counted = counted.join(gone, match, "left_anti")
     return (
         counted.groupBy(*VALUE_KEY).agg(n_surveys().alias("_n"))
-        .join(surveys, "SizeClass").filter("_n = _all").select(*VALUE_KEY)
+        .join(surveys.withColumnRenamed("SizeClass", "_s"), F.col("SizeClass").eqNullSafe(F.col("_s")))
+        .filter("_n = _all").select(*VALUE_KEY)
     )
 
 
 def covered_ranks(lines: DataFrame, cover: DataFrame) -> DataFrame:
-    """Distinct lineages with the array of (rank, value) they share with all surveys."""
+    """Distinct lineages with the array of (rank, value, path) they share with all surveys."""
     keys = list(LINEAGE_KEY)
     exploded = rank_values(lines, keys, named_only=False)
     marked = cover.withColumnsRenamed({c: f"_c_{c}" for c in cover.columns})
     match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in VALUE_KEY]
-    hit = F.when(F.col("_c_rank").isNotNull(), F.struct("rank", "value"))
+    hit = F.when(F.col("_c_rank").isNotNull(), F.struct("rank", "value", "path"))
     return exploded.join(marked, match, "left").groupBy(*keys).agg(
         F.sort_array(F.collect_set(hit)).alias("_hits")
     )
@@ -136,7 +167,7 @@ def community_map(lines: DataFrame, cover: DataFrame) -> DataFrame:
     """Lineage → finest covered rank value; NULL target where no rank is covered."""
     finest = F.try_element_at("_hits", F.lit(-1))
     return covered_ranks(lines, cover).select(
-        *LINEAGE_KEY, finest["value"].alias("Target"), finest["rank"].alias("Target_rank")
+        *LINEAGE_KEY, finest["value"].alias("Target"), finest["rank"].alias("Target_rank"), finest["path"].alias("Target_path")
     )
 
 
@@ -149,7 +180,7 @@ def group_map(lines: DataFrame, cover: DataFrame) -> DataFrame:
     )
     groups = null_safe_semi(cover, members, VALUE_KEY)
     return covered_ranks(lines, groups).select(*LINEAGE_KEY, F.explode("_hits").alias("_h")).select(
-        *LINEAGE_KEY, F.col("_h.value").alias("Target"), F.col("_h.rank").alias("Target_rank")
+        *LINEAGE_KEY, F.col("_h.value").alias("Target"), F.col("_h.rank").alias("Target_rank"), F.col("_h.path").alias("Target_path")
     )
 
 
@@ -159,11 +190,14 @@ def null_safe_semi(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Da
 
 
 def target_lineage(mapping: DataFrame) -> DataFrame:
-    """Ranks of every target, finer ranks blank; a rank some members leave blank is filled from the others."""
+    """Ranks of every target, finer ranks blank; a gap of some members is filled from the others.
+
+    The members of a target agree above it by its path, so the filled ranks are those of one taxon.
+    """
     shown = {
         r: F.max(F.when(F.col("Target_rank") >= i, F.col(r))).alias(r) for i, r in enumerate(RANKS, 1)
     }
-    return mapping.filter("Target IS NOT NULL").groupBy("SizeClass", "Lifestage", "Target").agg(*shown.values())
+    return mapping.filter("Target IS NOT NULL").groupBy(*TARGET_KEY).agg(*shown.values())
 
 
 def flagged(taxa: DataFrame, undersampled: DataFrame | None) -> DataFrame:
@@ -181,16 +215,16 @@ def flagged(taxa: DataFrame, undersampled: DataFrame | None) -> DataFrame:
 def roll_up(base: DataFrame, mapping: DataFrame, rows: int, undersampled: DataFrame | None) -> DataFrame:
     """Sum every catch row into its targets, per sample, size class and life stage."""
     known = mapping.filter("Target IS NOT NULL")
-    narrow = flagged(known, undersampled).select(*LINEAGE_KEY, "Target", "Undersampled")
+    narrow = flagged(known, undersampled).select(*LINEAGE_KEY, "Target", "Target_rank", "Target_path", "Undersampled")
     mapped = join_lookup(
         base.select(*SAMPLE_KEY, *LINEAGE_KEY, "CPUE"), narrow, LINEAGE_KEY, "inner", NULLABLE, rows
     )
-    summed = mapped.groupBy(*SAMPLE_KEY, "SizeClass", "Lifestage", "Target").agg(
+    summed = mapped.groupBy(*SAMPLE_KEY, *TARGET_KEY).agg(
         F.sum("CPUE").alias("CPUE"), F.bool_or("Undersampled").alias("Undersampled")
     )
     return join_lookup(
-        summed, target_lineage(known), ["SizeClass", "Lifestage", "Target"], "left", ["Lifestage"], rows
-    )
+        summed, stage(target_lineage(known), "lineages"), TARGET_KEY, "left", ["SizeClass", "Lifestage"], rows
+    ).drop("Target_rank", "Target_path")
 
 
 def attach_env(data: DataFrame, env: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -231,7 +265,7 @@ def timed_out(lines: DataFrame, inconsistent: DataFrame) -> DataFrame:
     keys = ["Source", "SizeClass", "Lifestage", "Taxname"]
     own = rank_values(lines, ["Source", *LINEAGE_KEY]).groupBy(
         "Source", *LINEAGE_KEY
-    ).agg(F.max(F.struct("rank", "value")).alias("_o")).select(*keys, "_o.rank", "_o.value")
+    ).agg(F.max(F.struct("rank", "value", "path")).alias("_o")).select(*keys, "_o.rank", "_o.value", "_o.path")
     return null_safe_semi(own, inconsistent, ("Source", *VALUE_KEY)).select(
         taxlifestage().alias("Taxlifestage"), "SizeClass"
     ).distinct()
@@ -270,7 +304,7 @@ def synthesize(
     columns = [c for c in env.columns if c not in SAMPLE_KEY] if all_env else env_columns
 
     if mode == "Community":
-        mapping = community_map(lines, cover)
+        mapping = stage(community_map(lines, cover), "targets")
         summed = roll_up(base, mapping, staged.rows, undersampled).withColumnRenamed("Target", "Taxname")
         data = summed.withColumn("Taxlifestage", taxlifestage())
         notes = message("removed", caveat_text("Not shared by all surveys, removed"), removed_taxa(mapping))
@@ -281,7 +315,7 @@ def synthesize(
         return Synth(attach_env(data, env, columns), notes, mode)
 
     # A lineage maps to at most one group per rank above species, hence the factor 5.
-    groups = roll_up(base, group_map(lines, cover), staged.rows * 5, undersampled)
+    groups = roll_up(base, stage(group_map(lines, cover), "targets"), staged.rows * 5, undersampled)
     summed = groups.select(
         *SAMPLE_KEY, "SizeClass", "Lifestage", "CPUE", "Undersampled", *RANKS,
         F.concat("Target", F.lit("_all")).alias("Taxname"), F.lit("Summed group").alias("Taxatype"),
@@ -293,7 +327,7 @@ def synthesize(
     )
     flags = flagged(lines.select("SizeClass", "Taxname", "Lifestage").distinct(), undersampled)
     single = join_lookup(
-        single, flags, ["SizeClass", "Taxname", "Lifestage"], "left", ["Lifestage"], staged.rows
+        single, flags, ["SizeClass", "Taxname", "Lifestage"], "left", ["SizeClass", "Taxname", "Lifestage"], staged.rows
     ).withColumns({"Taxatype": F.lit("Taxon"), "Taxlifestage": taxlifestage()})
     alone = comparable_taxa(lines).filter("NOT Comparable").withColumn("Taxlifestage", taxlifestage())
     notes = message("not comparable", caveat_text("Not counted by all surveys"), alone)

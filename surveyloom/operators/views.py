@@ -104,7 +104,7 @@ def menu_tree(data: DataFrame) -> DataFrame:
     )
     numbered = row_ids(
         first.select("Group", "Taxlifestage", "_o.*"),
-        ["Group", "Taxatype", "Taxname", "Lifestage", "Taxlifestage"], lead=3, name="_id",
+        ["Group", "Taxatype", "Taxname", "Lifestage", "Taxlifestage"], name="_id",
     )
     start = numbered.groupBy("Group").agg(F.min("_id").alias("_first"))
     renamed = start.withColumnRenamed("Group", "_g")

@@ -108,8 +108,8 @@ def introductions(spark: SparkSession) -> DataFrame:
 
 def fish(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = "(user_id % 40)"
-    return table(spark, sf_dir, "events").filter("event_type = 'purchase'").selectExpr(
-        "event_id AS fishid",
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS fishid", "event_type AS survey",
         "date_add(DATE '1995-01-01', CAST((event_id * 13) % 2400 AS INT)) AS date",
         "CAST((event_id * 37) % 330 AS DOUBLE) / 10D AS sal",
         f"{STATION_LAT.format(n=number)} + CAST(event_id % 9 - 4 AS DOUBLE) * 0.004D AS lat",

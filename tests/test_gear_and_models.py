@@ -96,7 +96,7 @@ def test_effort_grid_is_complete(spark):
 
 def test_row_ids_and_levels(spark):
     df = spark.createDataFrame([(k, i) for k in ("b", "a", None) for i in range(7)], "k string, i int")
-    out = {(r["k"], r["i"]): r["ID"] for r in O.row_ids(df, ["k", "i"], lead=1).collect()}
+    out = {(r["k"], r["i"]): r["ID"] for r in O.row_ids(df, ["k", "i"]).collect()}
     assert out == {(k, i): n * 7 + i + 1 for n, k in enumerate(("a", "b", None)) for i in range(7)}
-    levels = O.level_index(df.withColumn("j", -F.col("i")), "i", ["j"], lead=1)
+    levels = O.level_index(df.withColumn("j", -F.col("i")), "i", ["j"])
     assert rows(levels.orderBy("Level"), "Level", "i") == [(7 - i, i) for i in range(6, -1, -1)]

@@ -7,7 +7,7 @@ import surveyloom.operators.synth as S
 import surveyloom.session as session
 from surveyloom.operators.filters import SampleFilter
 from surveyloom.operators.validate import verdict
-from surveyloom.plans.conservation import check_conservation
+from surveyloom.plans.conservation import check_filtered, check_unfiltered
 from surveyloom.schemas import RANKS
 from tests.conftest import plan, rows
 
@@ -118,9 +118,8 @@ def test_community_properties(spark):
     again = S.synthesize(out.select(*catch.columns), env, env_columns=()).data
     shown = [*keys, "Taxname", "CPUE"]
     assert rows(again, *shown) == rows(out, *shown)
-    check = check_conservation(catch, env)
-    assert verdict(check.unfiltered).first()["Conserved"] is False
-    assert verdict(check.filtered).first()["Conserved"] is True
+    assert verdict(check_unfiltered(catch, env)).first()["Conserved"] is False
+    assert verdict(check_filtered(catch, env)).first()["Conserved"] is True
 
 
 def test_lookup_beyond_the_bound_gives_the_same(spark, monkeypatch):
@@ -129,10 +128,36 @@ def test_lookup_beyond_the_bound_gives_the_same(spark, monkeypatch):
     run = lambda mode: rows(S.synthesize(catch, env, mode, undersampled=under).data.drop("Date"))
     within = {m: run(m) for m in ("Community", "Taxa")}
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
     assert {m: run(m) for m in ("Community", "Taxa")} == within
 
 
+def test_homonyms_stay_apart_and_gaps_do_not(spark):
+    same = [
+        catch_row(s, s.lower() + "1", lineage, n) for s in "AB"
+        for lineage, n in (("Arthropoda Copepoda O1 F1 Homo -", 3), ("Mollusca Bivalvia O2 F2 Homo -", 5))
+    ]
+    out = S.synthesize(*frames(spark, same), env_columns=()).data
+    assert rows(out, "SampleID", "Phylum", "Class", "Order", "Family", "Genus", "CPUE") == [
+        (s, *lineage.split(), "Homo", n) for s in ("a1", "b1")
+        for lineage, n in (("Arthropoda Copepoda O1 F1", 3.0), ("Mollusca Bivalvia O2 F2", 5.0))
+    ]
+    other = [catch_row("A", "a1", "P C1 O F g -"), catch_row("B", "b1", "P C2 O F g -")]
+    assert rows(S.synthesize(*frames(spark, other), env_columns=()).data, "Taxname") == [("P",), ("P",)]
+    gap = [catch_row("A", "a1", "P C O F g -"), catch_row("B", "b1", "P - O F g -")]
+    assert rows(S.synthesize(*frames(spark, gap), env_columns=()).data, "Class", "Genus") == [("C", "g"), ("C", "g")]
+
+
+def test_rows_without_names_are_kept_or_reported(spark):
+    blank = [("A", "a1", "Meso", None, None, "P", *[None] * 5, 4.0), ("B", "b1", "Meso", None, None, "P", *[None] * 5, 6.0)]
+    blank += [("A", "a1", None, "Adult", None, *[None] * 6, 9.0), ("A", "a1", "Meso", "Adult", "x", "P", *[None] * 5, None), ("B", "b1", "Meso", "Adult", "x", "P", *[None] * 5, 1.0)]
+    catch, env = frames(spark, blank)
+    out = S.synthesize(catch, env, env_columns=())
+    assert rows(out.data, "SampleID", "Lifestage", "CPUE") == [("a1", "Adult", None), ("a1", None, 4.0), ("b1", "Adult", 1.0), ("b1", None, 6.0)]
+    assert rows(out.caveats, "Taxlifestage", "SizeClass") == [("NA Adult", None)]
+    whole, env = frames(spark, [b for b in blank if b[-1] is not None])
+    assert verdict(check_filtered(whole, env)).first()["Conserved"] is True
+
+
 def test_taxa_mode_groups(spark):
     out = S.synthesize(*frames(spark, TWO), mode="Taxa", env_columns=())
     groups = rows(out.data.filter("Taxatype = 'Summed group'"), "SampleID", "Taxlifestage", "CPUE")
