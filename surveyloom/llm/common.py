@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -15,6 +18,8 @@ __all__ = ["components", "crc_fold", "read", "stage", "map_batches", "union_find
 
 # A word is a longest run of characters outside these (ASCII white space only).
 SPACES = " \t\n\v\f\r"
+# Rows that travel to Python and back at a time, which bounds the buffers on both sides.
+BATCH_ROWS = "2048"
 # Texts are handed to Python in slices of about this many characters, however long the batch is.
 SLICE_CHARS = 4_000_000
 
@@ -28,40 +33,67 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds))
 
 
+def give_back_memory() -> None:
+    """Return a Python worker's freed memory to the system, as workers stay for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(
     df: DataFrame, work: Callable[[list[list]], Iterable[tuple]], schema: str,
     text: str | None = None, chars: int = SLICE_CHARS,
 ) -> DataFrame:
     """Apply ``work`` to column lists of bounded slices; it returns one list per output column.
 
-    With ``text`` a slice ends once that column holds ``chars`` characters, so the memory of a
-    task follows the longest text and not the number of rows.
+    With ``text`` a slice ends once that column holds ``chars`` characters (or bytes), so the memory
+    of a task follows the longest text and not the number of rows. The rows of a slice are
+    consecutive in their partition.
     """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     out = to_arrow_schema(StructType.fromDDL(schema))
     at = df.columns.index(text) if text else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+        held, size = [], 0
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            n, start = batch.num_rows, 0
-            while start < n:
-                stop, held = start, 0
-                while stop < n and (stop == start or held < chars):
-                    held += len(columns[at][stop] or "") if at is not None else chars // 8192
-                    stop += 1
-                result = work([c[start:stop] for c in columns])
-                if result is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [v if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(result, out)], schema=out
-                    )
-                start = stop
+            sizes = [len(v or "") for v in columns[at]] if at is not None else [chars // 8192] * batch.num_rows
+            start = 0
+            for k, own in enumerate(sizes):
+                size += own
+                if size >= chars:
+                    part = [c[start:k + 1] for c in columns]
+                    yield [h + p for h, p in zip(held, part)] if held else part
+                    held, size, start = [], 0, k + 1
+            rest = [c[start:] for c in columns]
+            held = [h + p for h, p in zip(held, rest)] if held else rest
+        if held and held[0]:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in slices(batches):
+            result = work(columns)
+            if result is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [v if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(result, out)], schema=out
+                )
+            del columns, result
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are written and no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ends of the links (a, b), and the smallest end each one reaches."""
     ends, code = np.unique(np.concatenate([a, b]), return_inverse=True)

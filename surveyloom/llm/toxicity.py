@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return [list(seen), [v[1] for v in seen.values()], [v[0] for v in seen.values()]]
 
     keyed = stage(keyed.select("text", "label"), "labelled")
-    counts = map_batches(keyed, terms_of, "term string, a long, b long", "text").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = map_batches(keyed, terms_of, "term string, a long, b long", "text", 1_000_000).groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     found = counts.where((F.col("a") >= SUPPORT) & (F.col("a") >= PRECISION * (F.col("a") + F.col("b")))).orderBy(
         F.desc("a"), F.length("term"), "term"
     ).limit(TERMS).collect()
