@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from surveyloom.llm.common import map_batches, stage
+from surveyloom.llm.common import map_batches, release, stage
 from surveyloom.llm.repeats import _hashes, _pack, _unpack
 from surveyloom.llm.tokens import word_coder
 
@@ -32,12 +32,12 @@ STEP, WINDOW = 16, 32
 # Width of the embeddings, and rows that subwords share by their id.
 WIDTH, ROWS = 8, 4096
 # One window in this many is trained on, chosen by a hash; subwords that one trainer takes at least.
-TRAIN_RATE, TRAINER_SUBWORDS = 8, 1_500_000
+TRAIN_RATE, TRAINER_SUBWORDS = 16, 1_000_000
 BATCH, LEARNING_RATE = 64, 0.02
 # Entries of the largest counts that the model holds for each order (its capacity, sent to all tasks).
 ENTRIES = 2_000_000
 # Characters or bytes of ids in a slice, also where subwords are counted, and entries aimed at in a part.
-SLICE, COUNT_SLICE = 4_000_000, 12_000_000
+SLICE, COUNT_SLICE = 4_000_000, 8_000_000
 PART = 4_000_000
 EXPERTS = 4
 LIMIT = 1 << 16
@@ -111,6 +111,7 @@ def word_scores(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
             "known": np.bincount(index, np.concatenate([p[2] for p in parts])).astype(np.int64),
         })
 
+    release(docs.sparkSession)
     return resolved.groupBy("slice").applyInPandas(collect, "row long, logs double, known long"), distinct
 
 
@@ -183,7 +184,10 @@ def count_table(tokens: DataFrame, order: int, start: int, end: int, size: int)
         return pd.DataFrame({"keys": [keys.tobytes()], "counts": [counts.tobytes()], "sums": [sums[context].tobytes()]})
 
     sent = map_batches(tokens.where("trained").select("ids"), gather, "part int, blob binary", "ids", COUNT_SLICE)
-    return stage(sent.groupBy("part").applyInPandas(merge, "keys binary, counts binary, sums binary"), "counts")
+    counted = stage(sent.groupBy("part").applyInPandas(merge, "keys binary, counts binary, sums binary"), "counts")
+    del sent
+    release(tokens.sparkSession)
+    return counted
 
 
 def _largest(table: DataFrame, entries: int) -> tuple[np.ndarray, ...]:
