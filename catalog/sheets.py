@@ -78,4 +78,4 @@ def lab_warnings(t):
  OVER (PARTITION BY Source ORDER BY SampleID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Section FROM fx_env""")
 def ffill_section(t):
     marked = t.env.select("SampleID", "Source", F.when(F.col("SampleID") % 5 == 0, F.col("Station")).alias("heading"))
-    return L.fill_down(marked, ["Source"], "SampleID", "heading", "Section", rows_per_block=512).select("SampleID", "Source", "Section")
+    return L.fill_down(marked, ["Source"], "SampleID", "heading", "Section").select("SampleID", "Source", "Section")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.text import is_heading, parse_date, underscored
 from surveyloom.operators.filters import drop_blank
+from surveyloom.session import stage
 
 SHEET = ("workbook", "sheet")
 # Fixed value: the heading that also is a counted taxon.
@@ -45,16 +46,15 @@ def number(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).try_cast("double")
 
 
-def fill_down(
-    df: DataFrame, keys: Iterable[str], order: str, column: str, name: str, rows_per_block: int = 4096
-) -> DataFrame:
-    """Carry the last non-missing ``column`` down in ``order`` (whole numbers, unique per key).
+def fill_down(df: DataFrame, keys: Iterable[str], order: str, column: str, name: str) -> DataFrame:
+    """Carry the last non-missing ``column`` down in ``order`` (unique per key).
 
-    Rows are filled inside blocks of ``rows_per_block`` and blocks hand on their last value, so a
-    group of any size is spread over tasks.
+    Rows are dealt into ranges of keys and order and filled inside each; ranges hand on their last
+    value, so a key of any size and any spacing of ``order`` is spread over tasks.
     """
     keys = list(keys)
-    blocked = df.withColumn("_block", F.floor(F.col(order) / rows_per_block))
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], F.col(order))
+    blocked = stage(ranged.withColumn("_block", F.spark_partition_id()), "ranges")
     last = blocked.groupBy(*keys, "_block").agg(
         F.max(F.when(F.col(column).isNotNull(), F.struct(order, column))).alias("_last")
     )

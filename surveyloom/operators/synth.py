@@ -80,7 +80,10 @@ def with_paths(lines: DataFrame) -> DataFrame:
         for i in range(len(RANKS) - 1)
     ]
     homonyms = named.groupBy("rank", "value").agg(reduce(lambda a, b: a | b, differ).alias("differ")).filter("differ")
-    # One row per rank with all its homonyms would grow; the names are joined one rank at a time.
+    homonyms = stage(homonyms.select("rank", "value"), "homonyms")
+    if not homonyms.take(1):
+        plain = [F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), F.lit("").alias("path")) for i, r in enumerate(RANKS, 1)]
+        return lines.withColumn("_named", F.array(*plain))
     out, marks = lines, []
     for i, r in enumerate(RANKS, 1):
         path = F.lit("")

@@ -37,7 +37,7 @@ def test_sheet_becomes_tidy_rows(spark):
 def test_fill_down_across_blocks(spark):
     data = [("a", i, "H%d" % i if i in (3, 17) else None) for i in range(40)] + [("b", 1, None), (None, 2, "N")]
     df = spark.createDataFrame(data, "k string, i int, h string")
-    out = {(r["k"], r["i"]): r["f"] for r in L.fill_down(df, ["k"], "i", "h", "f", rows_per_block=4).collect()}
+    out = {(r["k"], r["i"]): r["f"] for r in L.fill_down(df, ["k"], "i", "h", "f").collect()}
     want = {("a", i): None if i < 3 else "H3" if i < 17 else "H17" for i in range(40)} | {("b", 1): None, (None, 2): "N"}
     assert out == want
 
