@@ -11,10 +11,6 @@ different partitions meet anew.
 from __future__ import annotations
 
 import math
-import os
-import zlib
-from array import array
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,45 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.common import map_batches, stage
+from surveyloom.llm.tokens import word_coder
 
 # Pieces packed together in one task.
 PARTITION_PIECES = 4096
 # Rounds of exchange; pieces that are open after the last one keep their places.
 ROUNDS = 4
-# White-space separated strings whose ids a Python worker remembers; beyond that it starts afresh.
-REMEMBERED = 300_000
-
-
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the other cores belong to other tasks
-    from tokenizers import Tokenizer
-
-    coder = Tokenizer.from_file(path)
-    coder.no_truncation()
-    coder.no_padding()
-    return coder, {}
-
-
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers, without special tokens around it.
-
-    For vocabularies whose pre-tokenizer drops white space and never joins across it, so equal
-    strings between white space have equal ids wherever they stand.
-    """
-    coder, known = _tokenizer(path)
-    parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    new = set().union(*parts) - known.keys()
-    if len(new) + len(known) > REMEMBERED:
-        known.clear()
-        new = set().union(*parts)
-    new = list(new)
-    for start in range(0, len(new), 4096):
-        some = new[start:start + 4096]
-        for word, coded in zip(some, coder.encode_batch_fast(some, add_special_tokens=False)):
-            ids = array("I", coded.ids)
-            known[word] = ids.tobytes()
-    return [b"".join(map(known.__getitem__, words)) for words in parts]
 
 
 def token_pieces(
@@ -79,9 +42,10 @@ def token_pieces(
     key_type, last = to_arrow_type(kind), end_id.to_bytes(4, "little")
 
     def work(columns: list[list]) -> list:
+        coder = word_coder(vocabulary)
         keys, piece, start, length, ids = [], [], [], [], []
-        for owner, data in zip(columns[0], token_bytes([t or "" for t in columns[1]], vocabulary)):
-            data += last
+        for owner, data in zip(columns[0], columns[1]):
+            data = coder.encode(data or "").tobytes() + last
             for k, at in enumerate(range(0, len(data), 4 * capacity)):
                 part = data[at:at + 4 * capacity]
                 keys.append(owner)
@@ -92,7 +56,7 @@ def token_pieces(
         return [pa.array(keys, key_type), piece, start, length, ids]
 
     return map_batches(
-        source, work, f"`{key}` {kind.simpleString()}, piece int, start long, length long, ids binary", text, 2_000_000
+        source, work, f"`{key}` {kind.simpleString()}, piece int, start long, length long, ids binary", text
     )
 
 
@@ -203,8 +167,3 @@ def pack(
         left = packed.where("not kept").select(*own, "_row")
         count = left.count()
     return done
-
-
-def piece_checksum(ids: bytes) -> int:
-    """The digest of a piece that the registered query reports (for tests)."""
-    return zlib.crc32(ids)
