@@ -342,3 +342,14 @@ def test_bpe_stream_equals_merges_and_emits_early():
     endless = "thing" * 4000
     assert b"".join(coder.bytes_of[i] for i in coder.stream(endless.encode())).decode() == endless
     assert "".join(coder.decode([b"".join(np.int32(i).tobytes() for i in [coder.id_of["é".encode()[k:k + 1]]]) for k in range(2)])) == "é"
+
+
+def test_scoring_pass_equals_the_plain_forward_pass():
+    draw, w = np.random.default_rng(6), attention_lm.new_weights()
+    w["query"], w["key"] = (draw.normal(size=w["query"].shape).astype("f4") for _ in range(2))
+    w["place"][:] = draw.normal(size=attention_lm.WINDOW)
+    seen = draw.integers(0, 40, (9, attention_lm.WINDOW))
+    seen[0, :attention_lm.STEP] = -1
+    target, shares = draw.integers(0, 40, (9, attention_lm.STEP)), draw.random((9 * attention_lm.STEP, 5)).astype("f4") / 2
+    plain = attention_lm.forward(w, seen, target, shares)[0]
+    assert np.allclose(attention_lm.predict(w, seen, target, shares), plain, rtol=1e-5)
