@@ -4,8 +4,9 @@ The model predicts the next subword as a mixture of four distributions: three th
 training corpus is counted for (subword, subword after one, subword after two) and one that points
 back at the subwords of the window with the attention weights. Masked attention over the window
 gives the state that sets the mixture's weights. Embeddings, attention and mixture are trained in
-numpy, on windows taken at a fixed rate from all training documents, by trainers whose weights are
-averaged. Texts are scored in overlapping windows: every window sees the last subwords of the one
+numpy, on windows taken at a fixed rate from all training documents, by one trainer for every slice
+of the documents; their weights are averaged. No count is left out: every slice asks for the counts
+of its own subwords and contexts by a shuffle. Texts are scored in overlapping windows: every window sees the last subwords of the one
 before it and scores only its own, so each subword is scored once.
 
 A second, exact reference score counts whole words over all training documents.
@@ -31,11 +32,9 @@ from surveyloom.llm.tokens import word_coder
 STEP, WINDOW = 16, 32
 # Width of the embeddings, and rows that subwords share by their id.
 WIDTH, ROWS = 8, 4096
-# One window in this many is trained on, chosen by a hash; subwords that one trainer takes at least.
-TRAIN_RATE, TRAINER_SUBWORDS = 16, 1_000_000
+# One window in this many is trained on, chosen by a hash; subwords aimed at in a slice.
+TRAIN_RATE, SLICE_SUBWORDS = 16, 1_000_000
 BATCH, LEARNING_RATE = 64, 0.02
-# Entries of the largest counts that the model holds for each order (its capacity, sent to all tasks).
-ENTRIES = 2_000_000
 # Characters or bytes of ids in a slice, also where subwords are counted, and entries aimed at in a part.
 SLICE, COUNT_SLICE = 4_000_000, 8_000_000
 PART = 4_000_000
@@ -157,20 +156,24 @@ def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_counts=True)
 
 
-def count_table(tokens: DataFrame, order: int, start: int, end: int, size: int) -> DataFrame:
+def _part(keys: np.ndarray, order: int, parts: int) -> np.ndarray:
+    """Part of each key: whole contexts are together."""
+    return (keys >> 16 if order else keys) * 0x9E3779B1 % 0x7FFFFFFF % parts
+
+
+def count_table(tokens: DataFrame, order: int, start: int, end: int, parts: int) -> DataFrame:
     """Counts of every subword after ``order`` others over all training documents, by parts.
 
-    A part holds whole contexts (single subwords for order 0); per part ``keys`` (context and
-    subword, 48 bits), ``counts``, and the ``sums`` of each key's context.
+    A part holds whole contexts (single subwords for order 0); per ``part`` ``keys`` (context and
+    subword, 48 bits) and ``counts``.
     """
-    parts = max(8, math.ceil(size / PART))
 
     def gather(columns: list[list]) -> list | None:
         line, lengths = _lines(columns[0], start, end)
         at, _, before, second = _targets(line, lengths, start)
         context = (second << 16 | before) if order == 2 else before if order else np.zeros(len(at), np.int64)
         keys, counts = _unique(context << 16 | line[at].astype(np.int64))
-        part = (keys >> 16 if order else keys) * 0x9E3779B1 % 0x7FFFFFFF % parts
+        part = _part(keys, order, parts)
         by = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[by], np.arange(parts + 1))
         found = [p for p in range(parts) if edges[p] < edges[p + 1]]
@@ -181,55 +184,71 @@ def count_table(tokens: DataFrame, order: int, start: int, end: int, size: int)
         slices = [list(_unpack(b, np.int64, np.uint32)) for b in frame["blob"]]
         keys, code = np.unique(np.concatenate([s[0] for s in slices]), return_inverse=True)
         counts = np.bincount(code, np.concatenate([s[1] for s in slices])).astype(np.int64)
-        _, context = np.unique(keys >> 16, return_inverse=True)
-        sums = np.bincount(context, counts).astype(np.int64)
-        return pd.DataFrame({"keys": [keys.tobytes()], "counts": [counts.tobytes()], "sums": [sums[context].tobytes()]})
+        return pd.DataFrame({"part": frame["part"].iloc[:1].tolist(), "keys": [keys.tobytes()], "counts": [counts.tobytes()]})
 
     sent = map_batches(tokens.where("trained").select("ids"), gather, "part int, blob binary", "ids", COUNT_SLICE)
-    counted = stage(sent.groupBy("part").applyInPandas(merge, "keys binary, counts binary, sums binary"), "counts")
+    counted = stage(sent.groupBy("part").applyInPandas(merge, "part int, keys binary, counts binary"), "counts")
     del sent
     release(tokens.sparkSession)
     return counted
 
 
-def _largest(table: DataFrame, entries: int) -> tuple[np.ndarray, ...]:
-    """At most ``entries`` of the largest counts: keys, counts, and of their contexts keys, totals, kept discounted sums.
+def slices(tokens: DataFrame, start: int, end: int, size: int) -> DataFrame:
+    """Documents dealt out by their row: ``slice``, ``line`` of subwords and packed ``rows``, ``trained``, ``lengths``."""
+    def gather(columns: list[list]) -> list:
+        rows, trained, ids = columns
+        line, lengths = _lines(ids, start, end)
+        return [rows[:1], [line.tobytes()], [_pack(np.array(rows, np.int64), np.array(trained, bool), lengths)]]
+
+    dealt = tokens.select("row", "trained", "ids").repartition(max(8, math.ceil(size / SLICE_SUBWORDS)), "row")
+    return stage(map_batches(dealt, gather, "slice long, line binary, about binary", "ids", SLICE), "slices")
+
+
+def _read(line: bytes, about: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(line, np.uint16), *_unpack(about, np.int64, bool, np.int64)
+
+
+def _needed(line: np.ndarray, lengths: np.ndarray, order: int, start: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of a slice ordered by part, their parts, and their places among the sorted keys."""
+    at, _, before, second = _targets(line, lengths, start)
+    keys = np.unique(((second << 16 | before) if order == 2 else before) << 16 | line[at].astype(np.int64))
+    part = _part(keys, order, parts)
+    by = np.argsort(part, kind="stable")
+    return keys[by], part[by], by
+
+
+def answers(sliced: DataFrame, table: DataFrame, order: int, start: int, parts: int) -> DataFrame:
+    """For the keys of every slice, by part: count, total of the context, and subwords seen after the context."""
+    def ask(columns: list[list]) -> list:
+        out = [], [], []
+        for name, line, about in zip(*columns):
+            line, _, _, lengths = _read(line, about)
+            keys, part, _ = _needed(line, lengths, order, start, parts)
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                for column, value in zip(out, (name, k, keys[edges[k]:edges[k + 1]].tobytes())):
+                    column.append(value)
+        return list(out)
+
+    def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = (np.concatenate([np.frombuffer(b, np.int64) for b in known[c]] or [np.empty(0, np.int64)]) for c in ("keys", "counts"))
+        contexts, code = np.unique(keys >> 16, return_inverse=True)
+        totals, distinct = np.bincount(code, counts, len(contexts)), np.bincount(code, minlength=len(contexts))
+        out = []
+        for blob in asked["keys"]:
+            wanted = np.frombuffer(blob, np.int64)
+            if not len(keys):
+                out.append(_pack(*[np.zeros(len(wanted), np.float32)] * 3))
+                continue
+            at, found = _find(keys, wanted)
+            own, hit = _find(contexts, wanted >> 16)
+            picked = (counts[at], found), (totals[own], hit), (distinct[own], hit)
+            out.append(_pack(*(np.where(on, x, 0).astype(np.float32) for x, on in picked)))
+        return pd.DataFrame({"slice": asked["slice"], "order": order, "part": asked["part"], "blob": out})
 
-    A total is the sum of a context; what the kept counts, each less a discount, leave of it goes to
-    the shorter context.
-    """
-    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                counts = np.minimum(np.frombuffer(value, np.int64), 10_000)
-                n = np.bincount(counts)
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["count", "n"])
-
-    found = table.select("counts").mapInArrow(histogram, "count long, n long").groupBy("count").agg(F.sum("n").alias("n")).collect()
-    least, held = 1 << 62, 0
-    for row in sorted(found, key=lambda r: -r["count"]):
-        if held + row["n"] > entries:
-            break
-        least, held = row["count"], held + row["n"]
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts, sums = (np.frombuffer(row[c], np.int64) for c in ("keys", "counts", "sums"))
-                on = counts >= least
-                picked = keys[on], counts[on], sums[on]
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in picked], names=["keys", "counts", "totals"])
-
-    rows = table.mapInArrow(pick, "keys binary, counts binary, totals binary").collect()
-    keys, counts, totals = (
-        np.concatenate([np.frombuffer(r[c], np.int64) for r in rows] or [np.empty(0, np.int64)]) for c in ("keys", "counts", "totals")
-    )
-    order = np.argsort(keys)
-    keys, counts, totals = keys[order], counts[order], totals[order]
-    contexts, first, code = np.unique(keys >> 16, return_index=True, return_inverse=True)
-    kept = np.bincount(code, counts - DISCOUNT, len(contexts))
-    return keys, counts.astype(np.float32), contexts, totals[first].astype(np.float32), kept.astype(np.float32)
+    asked = map_batches(sliced, ask, "slice long, part int, keys binary", "line", 1)
+    both = asked.groupBy("part").cogroup(table.groupBy("part"))
+    return stage(both.applyInPandas(answer, "slice long, order int, part int, blob binary"), "answers")
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,12 +259,27 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class Counts:
-    """The three counted distributions, each falling back on the shorter context."""
+    """The three counted distributions, each falling back on the shorter context, for the keys of one slice.
+
+    ``pairs`` and ``triples`` hold sorted keys and for each of them its count, the total of its
+    context, and how many subwords follow that context.
+    """
 
     def __init__(self, single: np.ndarray, pairs: tuple, triples: tuple):
         self.single, self.pairs, self.triples = single, pairs, triples
-        # Place of every id among the contexts of the pairs, and whether it is there.
-        self.place = _find(pairs[2], np.arange(LIMIT))
+
+    @classmethod
+    def of(cls, single: np.ndarray, line: np.ndarray, lengths: np.ndarray, found: pd.DataFrame, start: int, parts: dict) -> Counts:
+        """From the answers to a slice."""
+        orders = []
+        for order in (1, 2):
+            keys, _, by = _needed(line, lengths, order, start, parts[order])
+            own = found[found["order"] == order].sort_values("part")["blob"]
+            values = zip(*(_unpack(b, np.float32, np.float32, np.float32) for b in own))
+            back = np.empty_like(by)
+            back[by] = np.arange(len(by))
+            orders.append((keys[back], *(np.concatenate(v)[back] for v in values)))
+        return cls(single, *orders)
 
     def shares(self, target: np.ndarray, before: np.ndarray, second: np.ndarray, counted: bool = False) -> np.ndarray:
         """Probabilities of the targets (n x 3) and how much the longer contexts know (n x 2).
@@ -255,21 +289,14 @@ class Counts:
         target = target.astype(np.int64)
         out = np.empty((len(target), 5), np.float32)
         out[:, 0] = self.single[target]
-        context = before
-        for k, (keys, counts, contexts, totals, kept) in enumerate((self.pairs, self.triples)):
-            if k:
-                context = second << 16 | before
-            at, hit = _find(contexts, context) if k else (self.place[0][context], self.place[1][context])
-            own, found = _find(keys, context << 16 | target)
-            if not len(keys):
-                out[:, k + 1], out[:, k + 3] = out[:, k], 0
-                continue
-            count, total, sums = np.where(found, counts[own], 0), np.where(hit, totals[at], 1), np.where(hit, kept[at], 0)
+        for k, (keys, counts, totals, distinct) in enumerate((self.pairs, self.triples)):
+            at, found = _find(keys, ((second << 16 | before) if k else before) << 16 | target)
+            count, total, kinds = (np.where(found, x[at], 0) for x in (counts, totals, distinct))
             if counted:
-                total, sums = np.maximum(total - hit, 1), sums - found * np.where(count > 1, 1, 1 - DISCOUNT)
-                count = count - found
-            out[:, k + 1] = np.maximum(count - DISCOUNT, 0) / total + (1 - sums / total) * out[:, k]
-            out[:, k + 3] = sums / total
+                total, kinds, count = np.maximum(total - 1, 0), kinds - (count == 1), np.maximum(count - 1, 0)
+            rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1)
+            out[:, k + 1] = np.maximum(count - DISCOUNT, 0) / np.maximum(total, 1) + rest * out[:, k]
+            out[:, k + 3] = 1 - rest
         return out
 
 
@@ -380,58 +407,53 @@ def _inputs(model: Counts, seen: np.ndarray, target: np.ndarray, start: int, cou
     return model.shares(np.maximum(target, 0).ravel(), np.maximum(before, 0).ravel(), second.ravel(), counted)
 
 
-def train(tokens: DataFrame, model, start: int, end: int, subword_count: int) -> dict[str, np.ndarray]:
-    """Weights averaged over trainers, each of which starts alike and sees its share of windows once."""
-    trainers = max(4, math.ceil(subword_count / TRAIN_RATE / TRAINER_SUBWORDS))
-    shape = {n: x.shape for n, x in new_weights().items()}
+def _mix(row: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    mixed = (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (turn.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
 
-    def pick(columns: list[list]) -> list | None:
-        line, lengths = _lines(columns[1], start, end)
-        own = np.array(columns[0], np.uint64)
 
-        def mix(row: np.ndarray, turn: np.ndarray) -> np.ndarray:
-            mixed = (row * np.uint64(0x9E3779B97F4A7C15)) ^ (turn.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            return mixed ^ (mixed >> np.uint64(32))
+def training_windows(line: np.ndarray, rows: np.ndarray, trained: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids seen and places of the targets of a slice's windows to learn from, in the order of a hash."""
+    def chosen(owner: np.ndarray, turn: np.ndarray) -> np.ndarray:
+        return trained[owner] & ((_mix(rows[owner], turn) >> np.uint64(40)) % np.uint64(TRAIN_RATE) == 0)
 
-        def chosen(owner: np.ndarray, turn: np.ndarray) -> np.ndarray:
-            return (mix(own[owner], turn) >> np.uint64(40)) % np.uint64(TRAIN_RATE) == 0
+    seen, goal, owner, turn = windows(line, lengths, chosen)
+    order = np.argsort(_mix(rows[owner], turn), kind="stable")
+    return seen[order], goal[order]
 
-        seen, goal, owner, turn = windows(line, lengths, chosen)
-        if not len(seen):
-            return None
-        target = np.where(goal >= 0, line[goal].astype(np.int32), -1)
-        ids = np.concatenate([seen, target], 1).astype(np.uint16)  # none: 65535
-        order = mix(own[owner], turn)
-        return [(order % np.uint64(trainers)).astype(np.int32).tolist(), order.astype(np.int64).tolist(), [r.tobytes() for r in ids]]
 
-    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, step, seen_count = new_weights(), 0, 0
+def train(sliced: DataFrame, found: DataFrame, single, start: int, parts: dict) -> dict[str, np.ndarray]:
+    """Weights averaged over trainers, one for each slice, each of which starts alike and sees its windows once."""
+    shape = {n: x.shape for n, x in new_weights().items()}
+    block_size = 1 << 11
+
+    def learn(here: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
+        line, rows, trained, lengths = _read(here["line"].iloc[0], here["about"].iloc[0])
+        places, goal = training_windows(line, rows, trained, lengths)
+        if not len(places):
+            return pd.DataFrame({"block": [], "weight": [], "part": []})
+        model, w, step = Counts.of(single.value, line, lengths, answered, start, parts), new_weights(), 0
         first, second = ({n: np.zeros_like(x) for n, x in w.items()} for _ in range(2))
-        for frame in frames:
-            data = np.frombuffer(b"".join(frame["window"]), np.uint16).reshape(len(frame), -1).astype(np.int32)
-            data[data == LIMIT - 1] = -1
-            for k in range(0, len(data), BATCH):
-                seen, target = data[k:k + BATCH, :WINDOW], data[k:k + BATCH, WINDOW:]
-                p, kept = forward(w, seen, target, _inputs(model.value, seen, target, start, counted=True))
-                grads, step = backward(w, p, target >= 0, kept), step + 1
-                for n, g in grads.items():
-                    first[n] += 0.1 * (g - first[n])
-                    second[n] += 0.01 * (g * g - second[n])
-                    w[n] -= LEARNING_RATE * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)
-            seen_count += len(data)
-        if seen_count:
-            flat = np.concatenate([w[n].ravel() for n in shape])
-            for block, at in enumerate(range(0, len(flat), 1 << 14)):
-                yield pd.DataFrame({"block": [block], "weight": [seen_count], "part": [flat[at:at + (1 << 14)].tobytes()]})
+        for k in range(0, len(places), BATCH):
+            seen = places[k:k + BATCH]
+            target = np.where(goal[k:k + BATCH] >= 0, line[goal[k:k + BATCH]].astype(np.int32), -1)
+            p, kept = forward(w, seen, target, _inputs(model, seen, target, start, counted=True))
+            grads, step = backward(w, p, target >= 0, kept), step + 1
+            for n, g in grads.items():
+                first[n] += 0.1 * (g - first[n])
+                second[n] += 0.01 * (g * g - second[n])
+                w[n] -= LEARNING_RATE * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)
+        flat = np.concatenate([w[n].ravel() for n in shape])
+        cuts = range(0, len(flat), block_size)
+        return pd.DataFrame({"block": range(len(cuts)), "weight": len(places), "part": [flat[at:at + block_size].tobytes() for at in cuts]})
 
     def average(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = np.array([np.frombuffer(p, np.float32) for p in frame["part"]], np.float64)
-        mean = np.average(parts, 0, frame["weight"]).astype(np.float32)
+        blocks = np.array([np.frombuffer(p, np.float32) for p in frame["part"]], np.float64)
+        mean = np.average(blocks, 0, frame["weight"]).astype(np.float32)
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "part": [mean.tobytes()]})
 
-    picked = map_batches(tokens.where("trained").select("row", "ids"), pick, "trainer int, place long, window binary", "ids", COUNT_SLICE)
-    learnt = picked.repartition(trainers, "trainer").sortWithinPartitions("place").select("window").mapInPandas(learn, "block int, weight long, part binary")
+    learnt = sliced.groupBy("slice").cogroup(found.groupBy("slice")).applyInPandas(learn, "block int, weight long, part binary")
     rows = stage(learnt, "trainers").groupBy("block").applyInPandas(average, "block int, part binary").collect()
     if not rows:
         return new_weights()
@@ -457,7 +479,7 @@ def log_probabilities(line: np.ndarray, lengths: np.ndarray, w: dict, model: Cou
 
 def score(
     docs: DataFrame, held_out: Column, vocabulary: str, key: str = "doc_id", text: str = "text",
-    start: int = 49406, end: int = 49407, entries: int = ENTRIES,
+    start: int = 49406, end: int = 49407,
 ) -> DataFrame:
     """Columns ``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
@@ -477,21 +499,27 @@ def score(
         F.coalesce(F.sum("n"), zero).alias("n"), F.coalesce(F.sum("n_tokens"), zero).alias("n_tokens"), F.count("*").alias("docs")
     ).first()
 
-    tables = [count_table(tokens, order, start, end, seen["n"] if order == 2 else seen["n"] // 8) for order in (0, 1, 2)]
+    parts = {order: max(8, math.ceil(seen["n"] / by / PART)) for order, by in ((0, 8), (1, 2), (2, 1))}
     single = np.full(LIMIT, 0.5)
-    for row in tables[0].select("keys", "counts").collect():  # at most as many entries as the vocabulary has
+    for row in count_table(tokens, 0, start, end, parts[0]).select("keys", "counts").collect():  # at most the vocabulary
         single[np.frombuffer(row["keys"], np.int64) & (LIMIT - 1)] += np.frombuffer(row["counts"], np.int64)
     single[start] = 0
-    model = Counts((single / single.sum()).astype(np.float32), *(_largest(t, entries) for t in tables[1:]))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    weights = train(tokens, shared, start, end, seen["n"])
-
-    def work(columns: list[list]) -> list:
-        line, lengths = _lines(columns[1], start, end)
-        return [columns[0], log_probabilities(line, lengths, weights, shared.value, start)]
-
-    scored = map_batches(tokens.select("row", "ids"), work, "row long, score double", "ids", SLICE)
+    shared = spark.sparkContext.broadcast((single / single.sum()).astype(np.float32))
+    sliced = slices(tokens, start, end, tokens.agg(F.coalesce(F.sum("n"), zero)).first()[0])
+    found = None
+    for order in (1, 2):
+        own = answers(sliced, count_table(tokens, order, start, end, parts[order]), order, start, parts[order])
+        found = found.union(own) if found is not None else own
+        release(spark)
+    weights = train(sliced, found, shared, start, parts)
+
+    def work(here: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
+        line, rows, _, lengths = _read(here["line"].iloc[0], here["about"].iloc[0])
+        model = Counts.of(shared.value, line, lengths, answered, start, parts)
+        return pd.DataFrame({"row": rows, "score": log_probabilities(line, lengths, weights, model, start)})
+
+    scored = sliced.groupBy("slice").cogroup(found.groupBy("slice")).applyInPandas(work, "row long, score double")
     ends = int(seen["docs"] > 0)
     size = math.log10(seen["n_tokens"] + 0.5 * (distinct + ends + 1))
     base = F.coalesce("logs", F.lit(0.0)) + math.log10(seen["docs"] + 0.5) - F.col("n_tokens") * size
