@@ -4,8 +4,8 @@ The model predicts the next subword as a mixture of four distributions: three th
 training corpus is counted for (subword, subword after one, subword after two) and one that points
 back at the subwords of the window with the attention weights. Masked attention over the window
 gives the state that sets the mixture's weights. Embeddings, attention and mixture are trained in
-numpy, on windows taken at a fixed rate from all training documents, by one trainer for every slice
-of the documents; their weights are averaged. No count is left out: every slice asks for the counts
+numpy, on every window of all training documents, by one trainer for every slice of the documents;
+their weights are averaged. No count is left out: every slice asks for the counts
 of its own subwords and contexts by a shuffle. Texts are scored in overlapping windows: every window sees the last subwords of the one
 before it and scores only its own, so each subword is scored once.
 
@@ -32,8 +32,8 @@ from surveyloom.llm.tokens import word_coder
 STEP, WINDOW = 16, 32
 # Width of the embeddings, and rows that subwords share by their id.
 WIDTH, ROWS = 8, 4096
-# One window in this many is trained on, chosen by a hash; subwords aimed at in a slice.
-TRAIN_RATE, SLICE_SUBWORDS = 16, 1_000_000
+# Subwords aimed at in a slice.
+SLICE_SUBWORDS = 1_000_000
 BATCH, LEARNING_RATE = 64, 0.02
 # Characters or bytes of ids in a slice, also where subwords are counted, and entries aimed at in a part.
 SLICE, COUNT_SLICE = 4_000_000, 8_000_000
@@ -414,11 +414,8 @@ def _mix(row: np.ndarray, turn: np.ndarray) -> np.ndarray:
 
 
 def training_windows(line: np.ndarray, rows: np.ndarray, trained: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids seen and places of the targets of a slice's windows to learn from, in the order of a hash."""
-    def chosen(owner: np.ndarray, turn: np.ndarray) -> np.ndarray:
-        return trained[owner] & ((_mix(rows[owner], turn) >> np.uint64(40)) % np.uint64(TRAIN_RATE) == 0)
-
-    seen, goal, owner, turn = windows(line, lengths, chosen)
+    """Ids seen and places of the targets of all windows of a slice's training documents, in the order of a hash."""
+    seen, goal, owner, turn = windows(line, lengths, lambda owner, turn: trained[owner])
     order = np.argsort(_mix(rows[owner], turn), kind="stable")
     return seen[order], goal[order]
 

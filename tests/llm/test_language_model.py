@@ -46,3 +46,13 @@ def test_every_slice_gets_every_count(spark, monkeypatch):
                 assert got == [counts[order][name], totals[order][name[:-1]], kinds[order][name[:-1]]]
                 rare += got[0] == 1
     assert rare > 100
+
+
+def test_every_window_is_learnt_from():
+    lengths = np.array([50, 3, 200, 17])
+    line = np.arange(lengths.sum(), dtype=np.uint16)
+    trained = np.array([True, False, True, True])
+    _, goal = attention_lm.training_windows(line, np.arange(4), trained, lengths)
+    starts = np.cumsum(lengths) - lengths
+    want = [k for s, n, on in zip(starts, lengths, trained) if on for k in range(s + 1, s + n)]
+    assert sorted(goal[goal >= 0].tolist()) == want
