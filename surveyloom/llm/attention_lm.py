@@ -15,6 +15,7 @@ A second, exact reference score counts whole words over all training documents.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -226,7 +227,8 @@ def answers(sliced: DataFrame, table: DataFrame, order: int, start: int, parts:
             keys, part, _ = _needed(line, lengths, order, start, parts)
             edges = np.searchsorted(part, np.arange(parts + 1))
             for k in np.flatnonzero(np.diff(edges)).tolist():
-                for column, value in zip(out, (name, k, keys[edges[k]:edges[k + 1]].tobytes())):
+                steps = np.diff(keys[edges[k]:edges[k + 1]], prepend=0)  # sorted: small numbers
+                for column, value in zip(out, (name, k, zlib.compress(steps.tobytes(), 1))):
                     column.append(value)
         return list(out)
 
@@ -236,14 +238,14 @@ def answers(sliced: DataFrame, table: DataFrame, order: int, start: int, parts:
         totals, distinct = np.bincount(code, counts, len(contexts)), np.bincount(code, minlength=len(contexts))
         out = []
         for blob in asked["keys"]:
-            wanted = np.frombuffer(blob, np.int64)
+            wanted = np.cumsum(np.frombuffer(zlib.decompress(blob), np.int64))
             if not len(keys):
-                out.append(_pack(*[np.zeros(len(wanted), np.float32)] * 3))
+                out.append(zlib.compress(_pack(*[np.zeros(len(wanted), np.float32)] * 3), 1))
                 continue
             at, found = _find(keys, wanted)
             own, hit = _find(contexts, wanted >> 16)
             picked = (counts[at], found), (totals[own], hit), (distinct[own], hit)
-            out.append(_pack(*(np.where(on, x, 0).astype(np.float32) for x, on in picked)))
+            out.append(zlib.compress(_pack(*(np.where(on, x, 0).astype(np.float32) for x, on in picked)), 1))
         return pd.DataFrame({"slice": asked["slice"], "order": order, "part": asked["part"], "blob": out})
 
     asked = map_batches(sliced, ask, "slice long, part int, keys binary", "line", 1)
@@ -275,7 +277,7 @@ class Counts:
         for order in (1, 2):
             keys, _, by = _needed(line, lengths, order, start, parts[order])
             own = found[found["order"] == order].sort_values("part")["blob"]
-            values = zip(*(_unpack(b, np.float32, np.float32, np.float32) for b in own))
+            values = zip(*(_unpack(zlib.decompress(b), np.float32, np.float32, np.float32) for b in own))
             back = np.empty_like(by)
             back[by] = np.arange(len(by))
             orders.append((keys[back], *(np.concatenate(v)[back] for v in values)))
@@ -510,6 +512,7 @@ def score(
         found = found.union(own) if found is not None else own
         release(spark)
     weights = train(sliced, found, shared, start, parts)
+    release(spark)
 
     def work(here: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
         line, rows, _, lengths = _read(here["line"].iloc[0], here["about"].iloc[0])
