@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import attention_lm, bpe, forest, packing, repeats, secret_scan, sharding, simhash, topk, toxicity
+from surveyloom.llm import (
+    attention_lm, bpe, forest, merkle, packing, repeats, secret_scan, sharding, simhash, topk, toxicity, turns,
+)
 from surveyloom.llm.common import crc_fold, read
 
 QUERIES, SQL = {}, {}
@@ -109,6 +111,44 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether the proof holds with every third one tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    found = merkle.manifest(
+        read(spark, sf_dir, "documents"), [F.col(c) for c in LEAF],
+        claim=F.when(tampered, merkle.leaf(*[F.col(c) for c in LEAF[:-1]], claim)),
+    )
+    folded = found.withColumn("folded_root", merkle.fold(F.coalesce("claim", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with planted faults, chosen by crc32 of ``conv_id:turn``; ``present`` is false where one is dropped."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    code = F.pmod(F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn")).cast("binary")), F.lit(20))
+    text = F.when(code == 1, F.lit("")).when(code == 2, F.regexp_replace(blank("text"), "[.!?]", "")).otherwise(blank("text"))
+    copies = F.when(code == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return conversations.select(
+        "conv_id", "turn", F.when(code == 4, F.lit("user")).otherwise(blank("role")).alias("role"), text.alias("text"),
+        (code != 0).alias("present"), F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+@query
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage."""
+    return turns.repair(damaged(read(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
 SQL["op2_forest"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
@@ -157,3 +197,97 @@ SELECT doc_id, len(words) AS n_words, coalesce(len(cut), 0) AS n_removed,
   sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(coalesce(cut, []), i)), ' ')) AS kept_sha256
 FROM w LEFT JOIN lost USING (doc_id)
 """
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of an ASCII text."""
+    step = "xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)"
+    one = f"list_reduce(range(8), lambda x, i: {step}, xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda z: ord(z)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: {one}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _manifest_sql() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(field, (*LEAF[:-1], text)))})"
+
+    tampered = f"{_crc32('doc_id::VARCHAR')} % 3 = 0"
+    return merkle.sql(leaf("text"), f"CASE WHEN {tampered} THEN {leaf(f'translate(text, {UPPER!r}, {LOWER!r})')} ELSE {leaf('text')} END")
+
+
+def _repair_sql() -> str:
+    """The cheapest path forward, turn by turn: for each state the least (cost, letters, turns written)."""
+    def after(s: str, cost: str, letter: str, written: str = "") -> str:
+        o = f"w.{s}.o || CASE WHEN w.{s}.o = '' THEN '' ELSE chr(10) END || {written}" if written else f"w.{s}.o"
+        return f"CASE WHEN w.{s} IS NOT NULL THEN {{'c': w.{s}.c + {cost}, 'a': w.{s}.a || '{letter}', 'o': {o}}} END"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def keep(s: str, initial: str) -> str:
+        return f"CASE WHEN must = 0 AND i = '{initial}' THEN {after(s, 'late', 'K', 'role || chr(58) || text')} END"
+
+    def rerole(s: str, role: str) -> str:
+        return f"CASE WHEN must = 0 THEN {after(s, '2 + late', 'R', f'{chr(39)}{role}:{chr(39)} || text')} END"
+
+    def insert(s: str, role: str) -> str:
+        return after(s, "2", "I", f"'{role}:'")
+
+    base = {
+        "s0": least(after("s0", "3", "D")), "s1": least(after("s1", "3", "D"), keep("s0", "s")),
+        "s2": least(after("s2", "3", "D"), *(f(s, r) for s in ("s0", "s1", "s3") for f, r in ((keep, "u"), (rerole, "user")))),
+        "s3": least(after("s3", "3", "D"), keep("s2", "a"), rerole("s2", "assistant")),
+    }
+    first = "{'c': 0::BIGINT, 'a': '', 'o': ''}"
+    none = f"CASE WHEN false THEN {first} END"
+    spaces = "' ' || " + " || ".join(f"chr({k})" for k in range(9, 14))
+    # Inserts behind a turn: a user's turn after any state, then an assistant's.
+    user = f"SELECT * REPLACE ({least('w.s2', *(insert(s, 'user') for s in ('s0', 's1', 's3')))} AS s2) FROM"
+    assistant = f"SELECT * REPLACE ({least('w.s3', insert('s2', 'assistant'))} AS s3) FROM"
+    return rf"""
+WITH RECURSIVE turns AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS n, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS code
+  FROM conversations
+), damaged AS (
+  SELECT n, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM turns WHERE code <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+    left(role, 1) AS i, rtrim(text, {spaces}) AS seen
+  FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN seen = '' THEN 1 WHEN row_number() OVER (PARTITION BY n, role, text ORDER BY k) > 1 THEN 2
+      WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(i) OVER (PARTITION BY n ORDER BY k) AS before
+  FROM ordered
+), marked AS (
+  SELECT n, k, role, text, i, (fault IN (1, 2))::INT AS must, (fault = 3)::INT AS late FROM faults
+), walk AS (
+  SELECT DISTINCT n, 0::BIGINT AS k, {first} AS s0, {none} AS s1, {{'c': 2::BIGINT, 'a': 'I', 'o': 'user:'}} AS s2,
+    {{'c': 4::BIGINT, 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:'}} AS s3 FROM turns
+  UNION ALL
+  {assistant} ({user} (
+    SELECT w.n, m.k, {", ".join(f"{sql} AS {name}" for name, sql in base.items())} FROM walk w JOIN marked m ON m.n = w.n AND m.k = w.k + 1
+  ) w) w
+), last AS (
+  SELECT n, list_min([arg_max(s0, k), arg_max(s3, k)]) AS best FROM walk GROUP BY n
+), counts AS (
+  SELECT n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY n
+)
+SELECT DISTINCT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(best.o) AS repaired_sha256
+FROM turns JOIN last USING (n) LEFT JOIN counts USING (n)
+"""
+
+
+SQL["op11_merkle"] = _manifest_sql()
+SQL["op13_conversations"] = _repair_sql()
