@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm import (
-    attention_lm, bpe, forest, merkle, packing, repeats, secret_scan, sharding, simhash, topk, toxicity, turns,
+    attention_lm, bpe, forest, licenses, merkle, packing, repeats, secret_scan, sharding, simhash, topk, toxicity, turns,
 )
 from surveyloom.llm.common import crc_fold, read
 
@@ -131,6 +131,20 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+    labels = lambda matches: F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Turns with planted faults, chosen by crc32 of ``conv_id:turn``; ``present`` is false where one is dropped."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
