@@ -1,4 +1,4 @@
-"""Near copies of the pipeline against brute force over five-word shingles."""
+"""The pipeline's near-copy stage against brute force over fingerprints."""
 
 import random
 from itertools import combinations
@@ -6,46 +6,41 @@ from itertools import combinations
 import pytest
 
 import corpus_pipeline
-from surveyloom.llm import minhash
+from surveyloom.llm import simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def edited(words: list[str], edits: int, draw: random.Random) -> list[str]:
-    words = list(words)
-    for at in draw.sample(range(len(words)), edits):
-        words[at] = f"new{draw.random()}"
-    return words
+def fresh(draw: random.Random, count: int) -> list[str]:
+    return [f"w{draw.randrange(100_000)}" for _ in range(count)]
 
 
 def planted() -> list[str | None]:
-    """Texts of 240 words with one to eight words changed, a large group, a shared passage and short texts."""
-    draw = random.Random(11)
-    fresh = lambda n: [f"w{draw.randrange(100_000)}" for _ in range(n)]
-    texts = []
-    for edits in (1, 2, 3, 4, 5, 6, 8, 12) * 3:
-        words = fresh(240)
-        texts += [" ".join(words), " ".join(edited(words, edits, draw))]
-    words = fresh(120)
-    texts += [" ".join(edited(words, draw.randrange(4), draw)) for _ in range(60)]
-    passage = fresh(100)
-    texts += [" ".join(passage + fresh(20 + k % 30)) for k in range(50)]
+    """Texts with one to eight words changed, a large group, a shared passage, short and empty texts."""
+    draw, texts = random.Random(11), []
+    for edits in (1, 2, 3, 4, 5, 6, 8) * 3:
+        words = fresh(draw, 240)
+        near = list(words)
+        for at in draw.sample(range(240), edits):
+            near[at] = f"new{draw.random()}"
+        texts += [" ".join(words), " ".join(near)]
+    words = fresh(draw, 400)
+    texts += [" ".join([*words[:k], "x", *words[k + 1:]]) for k in range(60)]
+    passage = fresh(draw, 100)
+    texts += [" ".join(passage + fresh(draw, 20 + k % 30)) for k in range(30)]
     return [*texts, None, "", " \n", "one two", "One  TWO", "one two three"]
 
 
-def brute(texts: list[str | None]) -> list[int]:
-    """Smallest place connected to each text by similarities of at least 0.8."""
-    sets = []
-    for text in texts:
-        words = (text or "").lower().split()
-        sets.append({tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
+def brute(texts: list[str | None], distance: int = 3) -> list[int]:
+    """Smallest place that links of fingerprints connect to each text."""
+    prints = [simhash.fingerprint(t) for t in texts]
     root = list(range(len(texts)))
 
     def find(k: int) -> int:
         return k if root[k] == k else find(root[k])
 
     for i, j in combinations(range(len(texts)), 2):
-        if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+        if ((prints[i] ^ prints[j]) & ((1 << 64) - 1)).bit_count() <= distance:
             low, high = sorted((find(i), find(j)))
             root[high] = low
     return [find(k) for k in range(len(texts))]
@@ -56,28 +51,35 @@ def docs(spark):
     return spark.createDataFrame([(k, t, "en", "web", None) for k, t in enumerate(planted())], SCHEMA)
 
 
-@pytest.mark.parametrize("crowded", [2, 32])
-def test_groups_equal_brute_force(docs, crowded):
-    groups, want = {}, {}
-    for row in minhash.near_copies(docs, crowded).collect():
-        groups.setdefault(row["component_id"], set()).add(row["doc_id"])
-    for k, root in enumerate(brute(planted())):
-        want.setdefault(root, set()).add(k)
-    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+def test_stage_keeps_one_of_each_group(spark, docs):
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(k, planted()[k], "en", "web", None) for k in sorted(set(brute(planted())))]
 
 
-def test_stage_keeps_one_of_each_group(spark, docs):
-    kept = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
-    assert kept == sorted(set(brute(planted())))
+@pytest.mark.parametrize(("distance", "crowded"), [(0, 256), (1, 2), (2, 256)])
+def test_smaller_distances(docs, distance, crowded):
+    kept = simhash.one_of_each(docs, crowded=crowded, distance=distance)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(brute(planted(), distance)))
+    assert simhash.near_duplicates(docs, crowded=crowded, distance=distance).select("component_id").distinct().count() == kept.count()
+
+
+def test_longer_distances_are_refused(docs):
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(docs, distance=4)
 
 
 def test_stage_keeps_one_of_each_group_of_repeated_and_missing_ids(spark):
     draw = random.Random(3)
-    texts = [[f"{name}{draw.randrange(100_000)}" for _ in range(240)] for name in "abcd"]
-    near = [" ".join(edited(words, 2, draw)) for words in texts]
-    a, b, c, d = (" ".join(words) for words in texts)
-    rows = [(1, a), (2, near[0]), (1, b), (3, near[1]), (4, c), (None, near[2]), (None, d), (None, near[3]), (None, d)]
+    a, b, c, d = (" ".join(fresh(draw, 240)) for _ in range(4))
+    rows = [(1, a), (2, a.upper()), (1, b), (3, b), (4, c), (None, c), (None, d), (None, d), (None, d + " ")]
     table = spark.createDataFrame([(k, t, "en", "web", None) for k, t in rows], SCHEMA)
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, table, "").collect()]
     assert sorted(r for r in kept if r[0] is not None) == sorted([(1, a), (1, b), (4, c)])
-    assert len(kept) == 4 and [r for r in kept if r[0] is None][0][1] in (d, near[3])
+    assert len(kept) == 4 and [r[1].strip() for r in kept if r[0] is None] == [d]
+
+
+def test_extra_columns_stay(spark):
+    table = spark.createDataFrame([(1, "a b c", 7, 8, 9), (2, "a b  c", 7, 8, 9)], "doc_id long, text string, fp int, row int, group int")
+    assert [tuple(r) for r in simhash.one_of_each(table).collect()] == [(1, "a b c", 7, 8, 9)]
+    assert simhash.one_of_each(table.limit(0)).count() == 0

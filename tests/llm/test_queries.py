@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generat
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(queries.SQL[name])
     got = queries.QUERIES[name](spark, SF)
@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_sharding_is_native(spark):
