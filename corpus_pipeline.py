@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import minhash, packing, repeats, secret_scan, toxicity
+from surveyloom.llm import packing, repeats, secret_scan, simhash, toxicity
 from surveyloom.llm.common import crc_fold, read, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,15 +26,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: five-word shingles, similarity 0.8.
+    """One document of every group of near copies: SimHash of three-word shingles, at most three bits apart.
 
     The row with the smallest id stays, of rows that repeat this id the one whose columns hash
     smallest. Rows without an id stay only where their group has no other.
     """
-    rows = minhash.near_copies(docs.select(*COLUMNS))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*COLUMNS).alias("hash"), "row")
-    first = rows.groupBy("component_id").agg(F.min(order)["row"].alias("row"))
-    return rows.join(first.select("row"), "row").select(*COLUMNS)
+    return simhash.one_of_each(docs.select(*COLUMNS), words=3, distance=3)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
