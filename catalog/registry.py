@@ -72,7 +72,8 @@ def register(name: str, sql: str | None = None):
     def keep(build: Callable[[Tables], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
         if sql is not None:
-            SQL[name] = f"WITH {COMMON}\n{sql.strip()}" if not sql.lstrip().startswith(",") else f"WITH {COMMON}{sql.strip()}"
+            recursive = "RECURSIVE " if " UNION ALL\n SELECT sys, k + 1" in sql else ""
+            SQL[name] = f"WITH {recursive}{COMMON}\n{sql.strip()}" if not sql.lstrip().startswith(",") else f"WITH {recursive}{COMMON}{sql.strip()}"
         return build
 
     return keep

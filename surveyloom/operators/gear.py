@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.missing import paste, row_sum, sum_na_rm
@@ -53,11 +53,21 @@ def log1p_block(df: DataFrame, columns: Iterable[str], suffix: str = "_l") -> Da
     return df.withColumns({f"{c}{suffix}": F.log1p(F.col(f"`{c}`")) for c in columns})
 
 
-def standardize(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add (x − mean) / sd for every ``{column: new name}``; the moments come from one aggregate."""
+def standardize(df: DataFrame, columns: dict[str, str], strict: Iterable[str] = ()) -> DataFrame:
+    """Add (x − mean) / sd for every ``{column: new name}``; the moments come from one aggregate.
+
+    Missing values are left out of the moments, except in ``strict`` columns: there one missing value
+    leaves the whole column without a result.
+    """
+    strict = set(strict)
+
+    def moment(function, column: str) -> Column:
+        value = function(f"`{column}`")
+        return F.when(F.count(f"`{column}`") == F.count(F.lit(1)), value) if column in strict else value
+
     moments = df.agg(F.struct(*[
         part for i, c in enumerate(columns)
-        for part in (F.avg(f"`{c}`").alias(f"m{i}"), F.stddev_samp(f"`{c}`").alias(f"s{i}"))
+        for part in (moment(F.avg, c).alias(f"m{i}"), moment(F.stddev_samp, c).alias(f"s{i}"))
     ]).alias("moments")).scalar()
     return df.withColumns({
         new: F.try_divide(F.col(f"`{c}`") - moments[f"m{i}"], moments[f"s{i}"])
@@ -81,7 +91,7 @@ def prepare_gear(
     if not standardized:
         return logged
     scaled = {f"{t}_{gear}_l": f"{t}_{gear}_l_s" for t in taxa}
-    return standardize(logged, scaled | ({total: f"{total}_s"} if total_of else {}))
+    return standardize(logged, scaled | ({total: f"{total}_s"} if total_of else {}), strict=scaled)
 
 
 def pair_gears(a: DataFrame, b: DataFrame, keys: Iterable[str]) -> DataFrame:

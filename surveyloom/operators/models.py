@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import RFormula
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions.missing import max_strict
 from surveyloom.functions.regress import adjusted_r2, regression, slope_p_value
-from surveyloom.session import stage
+from surveyloom.operators import grams
 
 
 def lm_global(df: DataFrame, y: str, x: str) -> DataFrame:
@@ -47,88 +39,33 @@ class Fit:
         return 2 * self.parameters - 2 * self.log_likelihood
 
 
-def model_frame(df: DataFrame, *formulas: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Rows without missing values in the columns the formulas name, written once.
-
-    Fitting passes over its data many times; the narrow written table keeps those passes short.
-    """
-    text = " ".join(formulas)
-    for mark in "~+-*^():":
-        text = text.replace(mark, " ")
-    named = [c for c in df.columns if c in set(text.split())]
-    added = [column.alias(name) for name, column in (extra or {}).items()]
-    return stage(df.select(*named, *added).dropna(subset=named), "model-frame")
-
-
-def term_names(transformed: DataFrame) -> list[str]:
-    attributes = transformed.schema["features"].metadata["ml_attr"]["attrs"]
-    return [a["name"] for a in sorted((a for kind in attributes.values() for a in kind), key=lambda a: a["idx"])]
+def _fit(row) -> Fit:
+    terms = {t["term"]: t["estimate"] for t in row["terms"]}
+    return Fit(row["formula"], terms, row["N"], row["parameters"] - row["AIC"] / 2, row["parameters"])
 
 
 def fit_gaussian(df: DataFrame, formula: str) -> Fit:
     """Least squares for a formula such as ``y ~ (a + b + c)^3 - a:b:c``."""
-    return fit_frame(model_frame(df, formula), formula)
-
-
-def fit_frame(data: DataFrame, formula: str) -> Fit:
-    """Least squares on a model frame."""
-    design = RFormula(formula=formula).fit(data).transform(data)
-    model = LinearRegression(solver="normal").fit(design)
-    names, n = term_names(design), model.summary.numInstances
-    variance = model.summary.meanSquaredError
-    likelihood = -n / 2 * (math.log(2 * math.pi * variance) + 1)
-    return Fit(
-        formula, {"(Intercept)": model.intercept} | dict(zip(names, map(float, model.coefficients))),
-        n, likelihood, len(names) + 2,
-    )
+    return _fit(grams.gaussian(df, [formula]).first())
 
 
 def fit_hurdle(df: DataFrame, formula: str) -> Fit:
     """Hurdle log-normal: a logistic model of presence and a linear model of log(y) where present."""
-    response, terms = (part.strip() for part in formula.split("~"))
-    y = F.col(f"`{response}`")
-    data = model_frame(df, formula, extra={
-        "hu_present": (y > 0).cast("double"), "log_response": F.log(F.when(y > 0, y)),
-    })
-    presence_formula = f"hu_present ~ {terms}"
-    design = RFormula(formula=presence_formula).fit(data).transform(data)
-    hurdle = LogisticRegression(maxIter=100, tol=1e-8).fit(design)
-    own = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
-    sums = hurdle.transform(design).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.log(own)).alias("presence"), F.sum("log_response").alias("jacobian")
-    ).first()
-    amount = fit_frame(data.filter("log_response IS NOT NULL"), f"log_response ~ {terms}")
-    estimates = {f"hu_{k}": v for k, v in zip(
-        ["(Intercept)", *term_names(design)], [hurdle.intercept, *map(float, hurdle.coefficients)]
-    )}
-    return Fit(
-        formula, amount.terms | estimates, sums["n"],
-        sums["presence"] + amount.log_likelihood - sums["jacobian"], amount.parameters + len(estimates),
-    )
+    row = grams.hurdle(df, [formula]).first()
+    if not row["converged"]:
+        raise ArithmeticError(f"the presence part of {formula} has no finite estimates")
+    return _fit(row)
 
 
 def compare(df: DataFrame, formulas: list[str], key: str, folds: int = 5) -> DataFrame:
-    """AIC and cross-validated RMSE of Gaussian candidates, best AIC first.
+    """AIC, R² and cross-validated RMSE of Gaussian candidates, best AIC first.
 
     Folds follow a hash of ``key``, so reruns and retries see the same folds. All candidates are
-    fitted to the rows complete for every one of them.
+    fitted to the rows complete for every one of them, in one pass.
     """
     fold = F.pmod(F.xxhash64(key), F.lit(folds)).cast("int")
-    data = model_frame(df, *formulas, extra={"fold": fold})
-    rows = []
-    for formula in formulas:
-        fit = fit_frame(data, formula)
-        pipeline = Pipeline(stages=[RFormula(formula=formula), LinearRegression(solver="normal")])
-        validator = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=RegressionEvaluator(metricName="rmse"), numFolds=folds, foldCol="fold", parallelism=folds,
-        )
-        rows.append((formula, fit.n, fit.parameters, fit.aic, float(validator.fit(data).avgMetrics[0])))
-    best = min(r[3] for r in rows)
-    return df.sparkSession.createDataFrame(
-        [(f, n, k, aic, aic - best, rmse) for f, n, k, aic, rmse in sorted(rows, key=lambda r: r[3])],
-        "formula string, N long, parameters int, AIC double, AIC_diff double, CV_RMSE double",
-    )
+    fits = grams.ranked(grams.gaussian(df, formulas, fold=fold))
+    return fits.select("formula", "N", "parameters", "AIC", "AIC_diff", "R2", "RMSE", "CV_RMSE").orderBy("AIC")
 
 
 def fit_table(df: DataFrame, fit: Fit) -> DataFrame:

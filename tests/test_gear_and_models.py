@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.operators import effort as E
 from surveyloom.operators import gear as A
+from surveyloom.operators import grams as G
 from surveyloom.operators import models as M
 from surveyloom.operators import order as O
 from tests.conftest import rows
@@ -100,3 +101,75 @@ def test_row_ids_and_levels(spark):
     assert out == {(k, i): n * 7 + i + 1 for n, k in enumerate(("a", "b", None)) for i in range(7)}
     levels = O.level_index(df.withColumn("j", -F.col("i")), "i", ["j"])
     assert rows(levels.orderBy("Level"), "Level", "i") == [(7 - i, i) for i in range(6, -1, -1)]
+
+
+def grouped(spark):
+    """Rows of three groups (one unnamed), one of them with a response that the term separates."""
+    rnd, data = random.Random(4), []
+    for group, slope in (("x", 0.8), (None, -0.5), ("sep", 0.0)):
+        for i in range(150):
+            a, b = rnd.gauss(0, 1), rnd.gauss(0, 1)
+            there = a > 0 if group == "sep" else rnd.random() < 1 / (1 + math.exp(-0.3 - slope * a))
+            data.append((group, i % 4, a, b, math.exp(1 + slope * b + rnd.gauss(0, 0.2)) if there else 0.0))
+    frame = spark.createDataFrame([*data, ("x", 1, None, 0.0, 1.0)], "g string, fold int, a double, b double, y double")
+    return frame, data
+
+
+def design(rows, *terms):
+    columns = {"a": np.array([r[2] for r in rows]), "b": np.array([r[3] for r in rows])}
+    return np.column_stack([np.ones(len(rows)), *[np.prod([columns[c] for c in t.split(":")], axis=0) for t in terms]])
+
+
+def test_grouped_comparison_equals_refits(spark):
+    frame, data = grouped(spark)
+    formulas = {"y ~ (a + b)^2": ("a", "b", "a:b"), "y ~ (a + b)^2 - a:b": ("a", "b"), "y ~ b": ("b",)}
+    table = G.ranked(G.gaussian(frame.repartition(7), list(formulas), "g", F.col("fold"))).collect()
+    assert len(table) == 9
+    for row in table:
+        own = [r for r in data if r[0] == row["group"]]
+        x, y, fold = design(own, *formulas[row["formula"]]), np.array([r[4] for r in own]), np.array([r[1] for r in own])
+        beta = np.linalg.lstsq(x, y, rcond=None)[0]
+        rss, error = np.sum((y - x @ beta) ** 2), 0.0
+        for f in range(4):
+            other = np.linalg.lstsq(x[fold != f], y[fold != f], rcond=None)[0]
+            error += np.sum((y - x @ other)[fold == f] ** 2)
+        assert np.allclose([t["estimate"] for t in row["terms"]], beta)
+        aic = 150 * (math.log(2 * math.pi * rss / 150) + 1) + 2 * (len(beta) + 1)
+        assert np.allclose([row["AIC"], row["R2"], row["RMSE"], row["CV_RMSE"]], [aic, 1 - rss / np.sum((y - y.mean()) ** 2), math.sqrt(rss / 150), math.sqrt(error / 150)])
+        assert row["AIC_diff"] >= 0 and (row["N"], row["parameters"]) == (150, len(beta) + 1)
+
+
+def test_hurdle_scores_are_zero_and_separation_is_reported(spark):
+    frame, data = grouped(spark)
+    table = {r["group"]: r for r in G.hurdle(frame, ["y ~ (a + b)^2"], "g").collect()}
+    assert not table["sep"]["converged"]
+    for group in ("x", None):
+        row, own = table[group], [r for r in data if r[0] == group]
+        x, present = design(own, "a", "b", "a:b"), np.array([r[4] > 0 for r in own], float)
+        estimates = np.array([t["estimate"] for t in row["terms"]])
+        assert row["converged"] and [t["term"] for t in row["terms"]][4:] == ["hu_(Intercept)", "hu_a", "hu_b", "hu_a:b"]
+        p = 1 / (1 + np.exp(-x @ estimates[4:]))
+        assert np.abs(x.T @ (present - p)).max() < 1e-8
+        here, log_y = x[present == 1], np.log([r[4] for r in own if r[4] > 0])
+        assert np.abs(here.T @ (log_y - here @ estimates[:4])).max() < 1e-8
+        variance = np.mean((log_y - here @ estimates[:4]) ** 2)
+        likelihood = np.sum(np.log(np.where(present == 1, p, 1 - p))) - len(log_y) / 2 * (math.log(2 * math.pi * variance) + 1) - log_y.sum()
+        assert abs(row["AIC"] - (2 * 9 - 2 * likelihood)) < 1e-6
+
+
+def test_models_of_no_rows_and_of_different_responses(spark):
+    frame, _ = grouped(spark)
+    assert G.gaussian(frame.limit(0), ["y ~ a"], "g").count() == 0
+    try:
+        G.gaussian(frame, ["y ~ a", "a ~ b"])
+    except ValueError:
+        return
+    raise AssertionError
+
+
+def test_moments_with_missing_values(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (3.0, None)], "a double, b double")
+    out = A.standardize(df, {"a": "a_s", "b": "b_s"}, strict=["a", "b"]).collect()
+    assert [r["b_s"] for r in out] == [None, None] and abs(out[1]["a_s"] - math.sqrt(0.5)) < 1e-9
+    three = spark.createDataFrame([(1.0,), (3.0,), (None,)], "b double")
+    assert [r["b_s"] is None for r in A.standardize(three, {"b": "b_s"}).orderBy("b").collect()] == [True, False, False]
