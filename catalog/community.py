@@ -57,7 +57,7 @@ def synth_base(t):
 
 @register("community", ROLL_UP + COM_SQL)
 def community(t):
-    return t.community(undersampled=t.under, env_columns=()).data.select(*SUMMED, *RANKS)
+    return t.community(undersampled=t.listed, env_columns=()).data.select(*SUMMED, *RANKS)
 
 
 FILTERED = """SELECT c.* FROM fx_catch c JOIN fx_env e ON e.SampleID = c.SampleID AND e.Source = c.Source
@@ -74,7 +74,7 @@ def community_filtered(t):
             dates=("1994-03-01", "1998-10-31"), months=(3, 4, 5, 6, 7, 8, 9, 10), sal_surf=(0, 25),
             latitude=(37.85, None), longitude=(-122.4, -121.4),
         ),
-        undersampled=t.under, env_columns=(),
+        undersampled=t.listed, env_columns=(),
     ).data.select(*SUMMED, *RANKS)
 
 
@@ -89,7 +89,7 @@ def community_removed(t):
 
 @register("taxa", ROLL_UP + f"SELECT Source, SampleID, SizeClass, Taxname, Lifestage, Taxlifestage, Taxatype, CPUE, Undersampled, {RANKS_SQL} FROM tax")
 def taxa(t):
-    return t.taxa(undersampled=t.under, env_columns=()).data.select(*SUMMED, "Taxatype", *RANKS)
+    return t.taxa(undersampled=t.listed, env_columns=()).data.select(*SUMMED, "Taxatype", *RANKS)
 
 
 TAXA_ONLY = "SELECT * FROM fx_catch WHERE 'Calanoida' IN (Taxname, \"Order\") OR Species = 'hot plate'"
@@ -124,7 +124,7 @@ YEARLY = "SELECT c.*, e.Year FROM fx_catch c LEFT JOIN fx_env e ON e.SampleID =
 @register("time_consistent", roll_up_sql(YEARLY, consistent=True) + COM_SQL)
 def time_consistent(t):
     return t.community(
-        time_consistency=True, undersampled=t.under, start_dates=t.start, introductions=t.intro, env_columns=()
+        time_consistency=True, undersampled=t.listed, start_dates=t.start, introductions=t.intro, env_columns=()
     ).data.select(*SUMMED, *RANKS)
 
 

@@ -33,7 +33,12 @@ class Tables:
 
     @cached_property
     def under(self) -> DataFrame:
-        return rolemap.undersampled(self.spark, self.sf_dir)
+        return rolemap.undersampled(self.catch)
+
+    @property
+    def listed(self) -> Callable[[DataFrame], DataFrame]:
+        """The same list from the lineages of a synthesis."""
+        return rolemap.undersampled
 
     @cached_property
     def start(self) -> DataFrame:

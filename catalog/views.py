@@ -22,7 +22,7 @@ RANKS_SQL = 'Phylum, Class, "Order", Family, Genus, Species'
 @register("taxa_map", VIEWS + """SELECT Taxlifestage, Year, Latitude, Longitude, round(avg(CPUE), 6) AS CPUE FROM taxv
  WHERE Latitude IS NOT NULL AND Longitude IS NOT NULL AND SizeClass IN ('Micro', 'Meso') AND NOT Undersampled GROUP BY 1, 2, 3, 4""")
 def taxa_map(t):
-    data = t.taxa(undersampled=t.under, env_columns=SPOT).data
+    data = t.taxa(undersampled=t.listed, env_columns=SPOT).data
     return V.taxa_map(data, ["Micro", "Meso"]).withColumn("CPUE", fixed("CPUE"))
 
 
@@ -34,7 +34,7 @@ cmap AS (SELECT Taxa, Year, Latitude, Longitude, round_even(avg(CPUE), 0) AS CPU
 
 
 def mapped_community(t):
-    return V.community_map(t.community(undersampled=t.under, env_columns=SPOT).data, ["Adult"])
+    return V.community_map(t.community(undersampled=t.listed, env_columns=SPOT).data, ["Adult"])
 
 
 @register("community_map", VIEWS + COM_MAP_SQL + "SELECT * FROM cmap")
@@ -65,14 +65,14 @@ def pivot_groups(t):
 @register("cpue_by_taxon_year", VIEWS + f"""SELECT Taxlifestage, Year, {ZONE_SQL} AS Salinity_zone, round(avg(CPUE), 6) AS CPUE FROM taxv
  WHERE SizeClass IN ('Meso') AND SalSurf IS NOT NULL GROUP BY 1, 2, 3""")
 def cpue_by_taxon_year(t):
-    data = t.taxa(undersampled=t.under, env_columns=SPOT).data
+    data = t.taxa(undersampled=t.listed, env_columns=SPOT).data
     return V.cpue_by_taxon_year(data, ["Meso"], (0.5, 6.0)).withColumn("CPUE", fixed("CPUE"))
 
 
 @register("cpue_by_lineage_year", VIEWS + f"""SELECT Year, {RANKS_SQL}, Lifestage, Taxlifestage, {ZONE_SQL} AS Salinity_zone, round(avg(CPUE), 6) AS CPUE FROM comv
  WHERE NOT Undersampled AND SalSurf IS NOT NULL GROUP BY ALL""")
 def cpue_by_lineage_year(t):
-    data = t.community(undersampled=t.under, env_columns=SPOT).data
+    data = t.community(undersampled=t.listed, env_columns=SPOT).data
     return V.cpue_by_lineage_year(data).withColumn("CPUE", fixed("CPUE"))
 
 
@@ -102,7 +102,7 @@ b AS (SELECT largest, round_even(x * power(10, 1 - floor(log10(x))), 0) / power(
  FROM (SELECT largest, largest * unnest([1/3, 2/3, 1.0]) AS x FROM m))
 SELECT br AS Break, round(sqrt(br) / sqrt(largest) * 22, 6) AS Radius FROM b""")
 def size_breaks(t):
-    mapped = V.taxa_map(t.taxa(undersampled=t.under, env_columns=SPOT).data)
+    mapped = V.taxa_map(t.taxa(undersampled=t.listed, env_columns=SPOT).data)
     return V.size_breaks(mapped).withColumn("Radius", fixed("Radius"))
 
 
@@ -227,7 +227,7 @@ def join_semi(t):
 @register("export_with_env", VIEWS + """SELECT c.Source, c.SampleID, c.SizeClass, c.Taxlifestage, c.CPUE, c.Undersampled, e.Date, e.Year, e.Month, e.Station, e.Latitude, e.Longitude, e.SalSurf, e.SalBott, e.Secchi, e.Temperature, e.Chl, e.Tide
  FROM comv c LEFT JOIN fx_env e ON e.SampleID = c.SampleID AND e.Source = c.Source""")
 def export_with_env(t):
-    data = t.community(undersampled=t.under, all_env=True).data
+    data = t.community(undersampled=t.listed, all_env=True).data
     return data.drop(*RANKS, "Taxname", "Lifestage")
 
 

@@ -118,5 +118,5 @@ def groups_with_data(df: DataFrame, keys: Iterable[str], value: str) -> DataFram
 def flag_undersampled(df: DataFrame, undersampled: DataFrame) -> DataFrame:
     """Add ``Undersampled`` from the list of size class, taxon and life stage."""
     listed = undersampled.distinct().withColumn("_listed", F.lit(True))
-    joined = join_lookup(df, listed, ["SizeClass", "Taxname", "Lifestage"], null_safe=["Lifestage"])
+    joined = join_lookup(df, listed, ["SizeClass", "Taxname", "Lifestage"], null_safe=["SizeClass", "Taxname", "Lifestage"])
     return joined.withColumn("Undersampled", F.coalesce("_listed", F.lit(False))).drop("_listed")

@@ -1,13 +1,14 @@
 """Least-common-denominator synthesis of surveys with unequal taxonomic resolution.
 
 All decisions are made on the table of distinct lineages, which one narrow pass over the catch
-rows yields and which is staged once. The catch rows then meet a row-bounded map from lineage to
-target and are summed in a single shuffle of narrow rows; sample columns join afterwards.
+rows yields (with their years as bits, merged before the shuffle) and which is staged once. The
+catch rows then meet a row-bounded map from lineage to targets and are summed in a single shuffle of
+narrow rows; sample columns join afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,12 +19,14 @@ from surveyloom.functions.classes import taxlifestage
 from surveyloom.functions.missing import paste
 from surveyloom.operators.filters import SampleFilter, select_catch
 from surveyloom.schemas import INTRO_LAG_YEARS, LINEAGE_KEY, RANKS, SAMPLE_KEY
-from surveyloom.session import join_lookup, stage
+from surveyloom.session import join_lookup, stage, stage_counted
 
 NULLABLE = LINEAGE_KEY
 # A rank value is the same taxon in two lineages if its rank, name and path agree (see ``with_paths``).
 VALUE_KEY = ("SizeClass", "Lifestage", "rank", "value", "path")
 TARGET_KEY = ("SizeClass", "Lifestage", "Target", "Target_rank", "Target_path")
+# Years of one block of bits, and the rank of a lineage that is its own target.
+YEARS, OWN = 64, 7
 BRIEF_ENV = ("Date", "Year", "Station", "Latitude", "Longitude", "SalSurf")
 
 
@@ -38,12 +41,21 @@ class Synth:
 
 @dataclass(frozen=True)
 class Lineages:
-    """Staged distinct lineages per survey (and year), with the number of distinct lineages."""
+    """Staged distinct lineages per survey (with their years), and a bound of their number."""
 
     table: DataFrame
     rows: int
 
 
+@dataclass(frozen=True)
+class Timing:
+    """What time consistency expects: first years of surveys, introductions of taxa and their lag."""
+
+    start_dates: DataFrame | None = None
+    introductions: DataFrame | None = None
+    intro_lag: int = INTRO_LAG_YEARS
+
+
 def filtered_base(catch: DataFrame, env: DataFrame, samples: SampleFilter, with_year: bool) -> DataFrame:
     """Catch rows of the selected samples; samples join early only if a filter or the year needs them."""
     if not samples.active and not with_year:
@@ -55,83 +67,103 @@ def filtered_base(catch: DataFrame, env: DataFrame, samples: SampleFilter, with_
 
 
 def stage_lineages(base: DataFrame, with_year: bool = False) -> Lineages:
-    columns = ["Source", *LINEAGE_KEY, *(["Year"] if with_year else [])]
-    table = stage(base.select(*columns).distinct(), "lineages")
-    return Lineages(with_paths(table), table.select(*LINEAGE_KEY).distinct().count())
+    """One pass over the catches: lineages by survey, their years as bits of 64-year blocks."""
+    keys = ["Source", *LINEAGE_KEY]
+    if with_year:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("Year", F.lit(YEARS)))
+        lines = base.groupBy(*keys, F.floor(F.col("Year") / YEARS).cast("int").alias("_block")).agg(F.bit_or(bit).alias("_years"))
+    else:
+        lines = base.select(*keys).distinct()
+    return Lineages(*stage_counted(lines, "lineages"))
 
 
-def with_paths(lines: DataFrame) -> DataFrame:
-    """Add ``_named``: the named ranks of a lineage as (rank, value, path); species is rank 6.
+def rank_values(lines: DataFrame, keep: Iterable[str], named_only: bool = True) -> DataFrame:
+    """One row per lineage and named rank: ``keep``, rank, value and path. Species is rank 6.
 
     A name stands for one taxon as long as no rank above it bears two names among its lineages, gaps
     aside; its path is then empty. A homonym, whose lineages disagree above, is kept apart by the
     path of names above it, where a gap makes a path of its own.
     """
-    def above(i: int) -> Column:
-        return F.concat_ws("\x1f", *[F.coalesce(F.col(r), F.lit("")) for r in RANKS[:i]])
-
     ranks = F.array(*[
-        F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), F.array(*map(F.col, RANKS[:i - 1])).alias("higher"))
-        for i, r in enumerate(RANKS, 1) if i > 1
+        F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), F.array(*map(F.col, RANKS[:i - 1])).cast("array<string>").alias("higher"))
+        for i, r in enumerate(RANKS, 1)
     ])
-    named = lines.select(*RANKS).distinct().select(F.explode(ranks).alias("n")).select("n.*").filter("value IS NOT NULL")
+    named = lines.select(*RANKS).distinct().select(F.explode(ranks).alias("n")).select("n.*").filter("value IS NOT NULL AND rank > 1")
     differ = [
         F.coalesce(F.min(F.get("higher", F.lit(i))) != F.max(F.get("higher", F.lit(i))), F.lit(False))
         for i in range(len(RANKS) - 1)
     ]
-    homonyms = named.groupBy("rank", "value").agg(reduce(lambda a, b: a | b, differ).alias("differ")).filter("differ")
-    homonyms = stage(homonyms.select("rank", "value"), "homonyms")
-    if not homonyms.take(1):
-        plain = [F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), F.lit("").alias("path")) for i, r in enumerate(RANKS, 1)]
-        return lines.withColumn("_named", F.array(*plain))
-    out, marks = lines, []
-    for i, r in enumerate(RANKS, 1):
-        path = F.lit("")
-        if i > 1:
-            mine = homonyms.filter(F.col("rank") == i).select(F.col("value").alias(f"_h{i}"))
-            out = out.join(mine, F.col(r) == F.col(f"_h{i}"), "left")
-            path = F.when(F.col(f"_h{i}").isNotNull(), above(i - 1)).otherwise("")
-        marks.append(F.struct(F.lit(i).alias("rank"), F.col(r).alias("value"), path.alias("path")))
-    return stage(out.withColumn("_named", F.array(*marks)).select(*lines.columns, "_named"), "paths")
+    homonyms = named.groupBy(F.col("rank").alias("_r"), F.col("value").alias("_v")).agg(
+        reduce(lambda a, b: a | b, differ).alias("_differ")
+    ).filter("_differ")
+    keep = list(keep)
+    values = lines.select(*keep, F.explode(ranks).alias("_n")).select(*keep, "_n.*")
+    if named_only:
+        values = values.filter("value IS NOT NULL")
+    above = F.concat_ws("\x1f", F.transform("higher", lambda r: F.coalesce(r, F.lit(""))))
+    return values.join(homonyms, (F.col("rank") == F.col("_r")) & (F.col("value") == F.col("_v")), "left").select(
+        *keep, "rank", "value", F.when(F.col("_differ"), above).otherwise("").alias("path")
+    )
 
 
-def rank_values(lines: DataFrame, keep: Iterable[str], named_only: bool = True) -> DataFrame:
-    """One row per lineage and named rank; unnamed ranks are skipped. Species is rank 6."""
-    values = lines.select(*keep, F.explode("_named").alias("_v")).select(*keep, "_v.rank", "_v.value", "_v.path")
-    return values.filter("value IS NOT NULL") if named_only else values
+def null_safe(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """Join where missing keys match each other; the keys of ``left`` stay."""
+    keys = list(keys)
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    joined = left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], how)
+    return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def inconsistent_values(
-    lines: DataFrame,
-    start_dates: DataFrame | None = None,
-    introductions: DataFrame | None = None,
-    intro_lag: int = INTRO_LAG_YEARS,
-) -> DataFrame:
-    """(Source, SizeClass, Lifestage, rank, value) not counted in every expected year.
+def survey_values(lines: DataFrame, timing: Timing | None = None) -> DataFrame:
+    """One row per survey and rank value it counted, with ``_steady``: in every year expected of it.
 
     Expected are the years the survey sampled the size class, from the survey's first year on and,
-    for introduced taxa, from introduction plus lag on. Arrays hold at most one entry per year.
+    for introduced taxa, from introduction plus lag on. Years are bits: those of all lineages of a
+    value are merged, and the expected ones are tested against them block by block.
     """
-    sampled = lines.groupBy("Source", "SizeClass").agg(F.collect_set("Year").alias("_sampled"))
-    if start_dates is None:
+    keys = ["Source", *VALUE_KEY]
+    if timing is None:
+        return rank_values(lines, ["Source", "SizeClass", "Lifestage"]).select(*keys).distinct().withColumn("_steady", F.lit(True))
+
+    def blocks(df: DataFrame, by: list[str]) -> DataFrame:
+        merged = df.groupBy(*by, "_block").agg(F.bit_or("_years").alias("_years"))
+        known = F.when(F.col("_block").isNotNull(), F.struct("_block", "_years"))
+        return merged.groupBy(*by).agg(F.collect_list(known).alias("_blocks"))
+
+    sampled = blocks(lines, ["Source", "SizeClass"]).withColumnRenamed("_blocks", "_sampled")
+    if timing.start_dates is None:
         sampled = sampled.withColumn("_start", F.lit(None).cast("int"))
     else:
-        first = start_dates.groupBy("Source").agg(F.year(F.min("Startdate")).alias("_start"))
-        sampled = sampled.join(first, "Source", "left")
-    counted = (
-        rank_values(lines, ["Source", "SizeClass", "Lifestage", "Year"])
-        .groupBy("Source", *VALUE_KEY).agg(F.collect_set("Year").alias("_counted"))
-        .join(sampled, ["Source", "SizeClass"])
+        first = timing.start_dates.groupBy("Source").agg(F.year(F.min("Startdate")).alias("_start"))
+        sampled = null_safe(sampled, first, ["Source"], "left")
+    counted = null_safe(
+        blocks(rank_values(lines, ["Source", "SizeClass", "Lifestage", "_block", "_years"]), keys), sampled, ["Source", "SizeClass"]
     )
-    if introductions is None:
+    if timing.introductions is None:
         counted = counted.withColumn("_intro", F.lit(None).cast("int"))
     else:
-        since = introductions.groupBy(F.col("Taxname").alias("value")).agg(F.min("Intro_year").alias("_intro"))
+        since = timing.introductions.groupBy(F.col("Taxname").alias("value")).agg(F.min("Intro_year").alias("_intro"))
         counted = counted.join(since, "value", "left")
-    floor = F.greatest(F.col("_start"), F.col("_intro") + intro_lag)
-    expected = F.filter("_sampled", lambda y: floor.isNull() | (y >= floor))
-    missing = F.size(F.array_except(expected, F.col("_counted")))
-    return counted.filter(missing > 0).select("Source", *VALUE_KEY)
+    floor = F.greatest(F.col("_start"), F.col("_intro") + timing.intro_lag)
+
+    def expected(block: Column) -> Column:
+        """Bits of a block's years from the floor on."""
+        skipped = floor - block * YEARS
+        return (
+            F.when(floor.isNull() | (skipped <= 0), F.lit(-1).cast("long")).when(skipped >= YEARS, F.lit(0).cast("long"))
+            .otherwise(F.call_function("shiftleft", F.lit(-1).cast("long"), skipped.cast("int")))
+        )
+
+    def missing(sample: Column) -> Column:
+        own = F.aggregate("_blocks", F.lit(0).cast("long"), lambda bits, b: F.when(b["_block"] == sample["_block"], b["_years"]).otherwise(bits))
+        return sample["_years"].bitwiseAND(expected(sample["_block"])).bitwiseAND(F.bitwise_not(own)) != 0
+
+    return counted.select(*keys, (~F.exists("_sampled", missing)).alias("_steady"))
+
+
+def inconsistent_values(lines: DataFrame, timing: Timing) -> DataFrame:
+    """(Source, SizeClass, Lifestage, rank, value, path) not counted in every expected year."""
+    return survey_values(lines, timing).filter("NOT _steady").drop("_steady")
 
 
 def n_surveys() -> Column:
@@ -139,38 +171,26 @@ def n_surveys() -> Column:
     return F.size(F.collect_set("Source"))
 
 
-def coverage(lines: DataFrame, inconsistent: DataFrame | None = None) -> DataFrame:
+def coverage(lines: DataFrame, timing: Timing | None = None) -> DataFrame:
     """Rank values counted by every survey that used the size class (zero catches count)."""
     surveys = lines.groupBy("SizeClass").agg(n_surveys().alias("_all"))
-    counted = rank_values(lines, ["Source", "SizeClass", "Lifestage"])
-    if inconsistent is not None:
-        gone = inconsistent.withColumnsRenamed({c: f"_g_{c}" for c in inconsistent.columns})
-        match = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in ("Source", *VALUE_KEY)]
-        counted = counted.join(gone, match, "left_anti")
-    return (
-        counted.groupBy(*VALUE_KEY).agg(n_surveys().alias("_n"))
-        .join(surveys.withColumnRenamed("SizeClass", "_s"), F.col("SizeClass").eqNullSafe(F.col("_s")))
-        .filter("_n = _all").select(*VALUE_KEY)
-    )
+    steady = survey_values(lines, timing).groupBy(*VALUE_KEY).agg(F.count_if("_steady").alias("_n"))
+    return null_safe(steady, surveys, ["SizeClass"]).filter("_n = _all").select(*VALUE_KEY)
 
 
-def covered_ranks(lines: DataFrame, cover: DataFrame) -> DataFrame:
-    """Distinct lineages with the array of (rank, value, path) they share with all surveys."""
-    keys = list(LINEAGE_KEY)
-    exploded = rank_values(lines, keys, named_only=False)
-    marked = cover.withColumnsRenamed({c: f"_c_{c}" for c in cover.columns})
-    match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in VALUE_KEY]
-    hit = F.when(F.col("_c_rank").isNotNull(), F.struct("rank", "value", "path"))
-    return exploded.join(marked, match, "left").groupBy(*keys).agg(
-        F.sort_array(F.collect_set(hit)).alias("_hits")
+def covered_values(lines: DataFrame, cover: DataFrame) -> DataFrame:
+    """Rank values of every lineage, ``_hit`` where the value is covered."""
+    values = rank_values(lines, LINEAGE_KEY, named_only=False).distinct()
+    return null_safe(values, cover.withColumn("_covered", F.lit(True)), VALUE_KEY, "left").withColumn(
+        "_hit", F.when(F.col("_covered"), F.struct("rank", "value", "path"))
     )
 
 
 def community_map(lines: DataFrame, cover: DataFrame) -> DataFrame:
     """Lineage → finest covered rank value; NULL target where no rank is covered."""
-    finest = F.try_element_at("_hits", F.lit(-1))
-    return covered_ranks(lines, cover).select(
-        *LINEAGE_KEY, finest["value"].alias("Target"), finest["rank"].alias("Target_rank"), finest["path"].alias("Target_path")
+    finest = covered_values(lines, cover).groupBy(*LINEAGE_KEY).agg(F.max("_hit").alias("_finest"))
+    return finest.select(
+        *LINEAGE_KEY, F.col("_finest.value").alias("Target"), F.col("_finest.rank").alias("Target_rank"), F.col("_finest.path").alias("Target_path")
     )
 
 
@@ -181,26 +201,33 @@ def group_map(lines: DataFrame, cover: DataFrame) -> DataFrame:
         .filter("rank < 6").groupBy(*VALUE_KEY)
         .agg(F.count_distinct("Taxname").alias("_n")).filter("_n >= 2").drop("_n")
     )
-    groups = null_safe_semi(cover, members, VALUE_KEY)
-    return covered_ranks(lines, groups).select(*LINEAGE_KEY, F.explode("_hits").alias("_h")).select(
-        *LINEAGE_KEY, F.col("_h.value").alias("Target"), F.col("_h.rank").alias("Target_rank"), F.col("_h.path").alias("Target_path")
+    groups = null_safe(cover, members, VALUE_KEY, "left_semi")
+    return covered_values(lines, groups).filter("_hit IS NOT NULL").select(
+        *LINEAGE_KEY, F.col("value").alias("Target"), F.col("rank").alias("Target_rank"), F.col("path").alias("Target_path")
     )
 
 
-def null_safe_semi(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> DataFrame:
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
-    return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], "left_semi")
+def own_map(lines: DataFrame) -> DataFrame:
+    """Lineage → itself, as one more target of rank ``OWN`` whose path is the whole lineage."""
+    whole = F.concat_ws("\x1f", *[F.coalesce(F.col(r), F.lit("\x1e")) for r in RANKS])
+    return lines.select(*LINEAGE_KEY).distinct().select(
+        *LINEAGE_KEY, F.col("Taxname").alias("Target"), F.lit(OWN).alias("Target_rank"), whole.alias("Target_path")
+    )
 
 
-def target_lineage(mapping: DataFrame) -> DataFrame:
-    """Ranks of every target, finer ranks blank; a gap of some members is filled from the others.
+def with_target_lineages(mapping: DataFrame) -> DataFrame:
+    """Add the ranks of every target, finer ranks blank; a gap of some members is filled from the others.
 
     The members of a target agree above it by its path, so the filled ranks are those of one taxon.
+    One member of each target is marked ``_lead``, so that the marked rows list every target once.
     """
     shown = {
-        r: F.max(F.when(F.col("Target_rank") >= i, F.col(r))).alias(r) for i, r in enumerate(RANKS, 1)
+        f"_t_{r}": F.max(F.when(F.col("Target_rank") >= i, F.col(r))).alias(f"_t_{r}") for i, r in enumerate(RANKS, 1)
     }
-    return mapping.filter("Target IS NOT NULL").groupBy(*TARGET_KEY).agg(*shown.values())
+    own = F.struct(*LINEAGE_KEY)
+    targets = mapping.filter("Target_rank IS NOT NULL").groupBy(*TARGET_KEY).agg(*shown.values(), F.min(own).alias("_first"))
+    joined = null_safe(mapping, targets, TARGET_KEY, "left")
+    return joined.withColumn("_lead", F.col("_first").eqNullSafe(own)).drop("_first")
 
 
 def flagged(taxa: DataFrame, undersampled: DataFrame | None) -> DataFrame:
@@ -208,26 +235,24 @@ def flagged(taxa: DataFrame, undersampled: DataFrame | None) -> DataFrame:
     if undersampled is None:
         return taxa.withColumn("Undersampled", F.lit(False))
     keys = ("SizeClass", "Taxname", "Lifestage")
-    listed = undersampled.select(*[F.col(k).alias(f"_u_{k}") for k in keys]).distinct()
-    match = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in keys]
-    return taxa.join(listed, match, "left").withColumn(
-        "Undersampled", F.col("_u_Taxname").isNotNull()
-    ).drop(*listed.columns)
+    listed = undersampled.select(*keys).distinct().withColumn("_listed", F.lit(True))
+    return null_safe(taxa, listed, keys, "left").withColumn("Undersampled", F.coalesce("_listed", F.lit(False))).drop("_listed")
 
 
-def roll_up(base: DataFrame, mapping: DataFrame, rows: int, undersampled: DataFrame | None) -> DataFrame:
-    """Sum every catch row into its targets, per sample, size class and life stage."""
-    known = mapping.filter("Target IS NOT NULL")
-    narrow = flagged(known, undersampled).select(*LINEAGE_KEY, "Target", "Target_rank", "Target_path", "Undersampled")
+def roll_up(base: DataFrame, mapping: DataFrame, rows: int) -> DataFrame:
+    """Sum every catch row into its targets, per sample, size class and life stage.
+
+    ``mapping`` is a written table of flagged lineages with their targets, of ``rows`` at most.
+    """
+    narrow = mapping.filter("Target_rank IS NOT NULL").select(*LINEAGE_KEY, "Target", "Target_rank", "Target_path", "Undersampled")
     mapped = join_lookup(
         base.select(*SAMPLE_KEY, *LINEAGE_KEY, "CPUE"), narrow, LINEAGE_KEY, "inner", NULLABLE, rows
     )
     summed = mapped.groupBy(*SAMPLE_KEY, *TARGET_KEY).agg(
         F.sum("CPUE").alias("CPUE"), F.bool_or("Undersampled").alias("Undersampled")
     )
-    return join_lookup(
-        summed, stage(target_lineage(known), "lineages"), TARGET_KEY, "left", ["SizeClass", "Lifestage"], rows
-    ).drop("Target_rank", "Target_path")
+    shown = mapping.filter("_lead").select(*TARGET_KEY, *[F.col(f"_t_{r}").alias(r) for r in RANKS])
+    return join_lookup(summed, shown, TARGET_KEY, "left", ["SizeClass", "Lifestage", "Target"], rows)
 
 
 def attach_env(data: DataFrame, env: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -248,7 +273,7 @@ def caveat_text(reason: str) -> Column:
 
 def removed_taxa(mapping: DataFrame) -> DataFrame:
     """Taxon and life stage pairs without any covered rank, per size class."""
-    return mapping.filter("Target IS NULL").select(
+    return mapping.filter("Target_rank IS NULL").select(
         taxlifestage().alias("Taxlifestage"), "SizeClass"
     ).distinct()
 
@@ -258,18 +283,17 @@ def comparable_taxa(lines: DataFrame) -> DataFrame:
     surveys = lines.groupBy("SizeClass").agg(n_surveys().alias("_all"))
     return (
         lines.groupBy("SizeClass", "Taxname", "Lifestage").agg(n_surveys().alias("N_sources"))
-        .join(surveys, "SizeClass")
+        .transform(lambda counted: null_safe(counted, surveys, ["SizeClass"]))
         .select("SizeClass", "Taxname", "Lifestage", "N_sources", (F.col("N_sources") == F.col("_all")).alias("Comparable"))
     )
 
 
-def timed_out(lines: DataFrame, inconsistent: DataFrame) -> DataFrame:
+def timed_out(lines: DataFrame, timing: Timing) -> DataFrame:
     """Taxon and life stage pairs whose own (finest) name misses an expected year in some survey."""
-    keys = ["Source", "SizeClass", "Lifestage", "Taxname"]
-    own = rank_values(lines, ["Source", *LINEAGE_KEY]).groupBy(
-        "Source", *LINEAGE_KEY
-    ).agg(F.max(F.struct("rank", "value", "path")).alias("_o")).select(*keys, "_o.rank", "_o.value", "_o.path")
-    return null_safe_semi(own, inconsistent, ("Source", *VALUE_KEY)).select(
+    own = rank_values(lines, ["Source", *LINEAGE_KEY]).groupBy("Source", *LINEAGE_KEY).agg(
+        F.max(F.struct("rank", "value", "path")).alias("_o")
+    ).select("Source", "SizeClass", "Lifestage", "Taxname", "_o.rank", "_o.value", "_o.path")
+    return null_safe(own, inconsistent_values(lines, timing), ("Source", *VALUE_KEY), "left_semi").select(
         taxlifestage().alias("Taxlifestage"), "SizeClass"
     ).distinct()
 
@@ -284,7 +308,7 @@ def synthesize(
     samples: SampleFilter = SampleFilter(),
     time_consistency: bool = False,
     intro_lag: int = INTRO_LAG_YEARS,
-    undersampled: DataFrame | None = None,
+    undersampled: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
     start_dates: DataFrame | None = None,
     introductions: DataFrame | None = None,
     all_env: bool = False,
@@ -294,6 +318,8 @@ def synthesize(
 
     ``taxa`` applies in Taxa mode and ``time_consistency`` in Community mode only. ``env_columns``
     are the sample columns joined to the result, all of them with ``all_env``, no join when empty.
+    ``undersampled`` lists size class, taxon and life stage, or makes such a list from the lineages.
+    The catches are read once for the lineages and once for the sums.
     """
     if mode not in ("Community", "Taxa"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -302,36 +328,33 @@ def synthesize(
     staged = stage_lineages(filtered_base(kept, env, samples, timed), timed)
     base = filtered_base(kept, env, samples, False)
     lines = staged.table
-    inconsistent = inconsistent_values(lines, start_dates, introductions, intro_lag) if timed else None
-    cover = coverage(lines, inconsistent)
+    timing = Timing(start_dates, introductions, intro_lag) if timed else None
+    cover = coverage(lines, timing)
     columns = [c for c in env.columns if c not in SAMPLE_KEY] if all_env else env_columns
+    listed = undersampled(lines) if callable(undersampled) else undersampled
 
     if mode == "Community":
-        mapping = stage(community_map(lines, cover), "targets")
-        summed = roll_up(base, mapping, staged.rows, undersampled).withColumnRenamed("Target", "Taxname")
+        mapping = stage(with_target_lineages(flagged(community_map(lines, cover), listed)), "targets")
+        summed = roll_up(base, mapping, staged.rows).drop("Target_rank", "Target_path").withColumnRenamed("Target", "Taxname")
         data = summed.withColumn("Taxlifestage", taxlifestage())
         notes = message("removed", caveat_text("Not shared by all surveys, removed"), removed_taxa(mapping))
         if timed:
             notes = notes.unionByName(message(
-                "time", caveat_text("Not counted every year, summed to a higher taxon"), timed_out(lines, inconsistent)
+                "time", caveat_text("Not counted every year, summed to a higher taxon"), timed_out(lines, timing)
             ))
         return Synth(attach_env(data, env, columns), notes, mode)
 
-    # A lineage maps to at most one group per rank above species, hence the factor 5.
-    groups = roll_up(base, stage(group_map(lines, cover), "targets"), staged.rows * 5, undersampled)
-    summed = groups.select(
-        *SAMPLE_KEY, "SizeClass", "Lifestage", "CPUE", "Undersampled", *RANKS,
-        F.concat("Target", F.lit("_all")).alias("Taxname"), F.lit("Summed group").alias("Taxatype"),
-    ).withColumn(
-        "Taxlifestage", F.concat(paste("Taxname", "Lifestage"), F.lit(" ("), F.col("SizeClass"), F.lit(")"))
-    )
-    single = base.select(*SAMPLE_KEY, *LINEAGE_KEY, "CPUE").groupBy(*SAMPLE_KEY, *LINEAGE_KEY).agg(
-        F.sum("CPUE").alias("CPUE")
+    # A lineage maps to itself and to at most one group per rank above species, hence the factor 6.
+    targets = stage(with_target_lineages(flagged(group_map(lines, cover).unionByName(own_map(lines)), listed)), "targets")
+    single = F.col("Target_rank") == OWN
+    summed = roll_up(base, targets, staged.rows * 6).withColumns({
+        "Taxname": F.when(single, F.col("Target")).otherwise(F.concat("Target", F.lit("_all"))),
+        "Taxatype": F.when(single, F.lit("Taxon")).otherwise(F.lit("Summed group")),
+    })
+    grouped = F.concat(paste("Taxname", "Lifestage"), F.lit(" ("), F.col("SizeClass"), F.lit(")"))
+    data = summed.withColumn("Taxlifestage", F.when(single, taxlifestage()).otherwise(grouped)).select(
+        *SAMPLE_KEY, "SizeClass", "Lifestage", "CPUE", "Undersampled", *RANKS, "Taxname", "Taxatype", "Taxlifestage"
     )
-    flags = flagged(lines.select("SizeClass", "Taxname", "Lifestage").distinct(), undersampled)
-    single = join_lookup(
-        single, flags, ["SizeClass", "Taxname", "Lifestage"], "left", ["SizeClass", "Taxname", "Lifestage"], staged.rows
-    ).withColumns({"Taxatype": F.lit("Taxon"), "Taxlifestage": taxlifestage()})
     alone = comparable_taxa(lines).filter("NOT Comparable").withColumn("Taxlifestage", taxlifestage())
     notes = message("not comparable", caveat_text("Not counted by all surveys"), alone)
-    return Synth(attach_env(summed.unionByName(single), env, columns), notes, mode)
+    return Synth(attach_env(data, env, columns), notes, mode)

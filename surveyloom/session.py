@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A lookup is broadcast only when its counted rows fit this bound (about 40 MB of names).
@@ -53,6 +53,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """A written table and its row count, which the write itself observes; retries may count rows twice."""
+    seen = Observation()
+    table = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return table, seen.get["n"]
+
+
 def sliced(df: DataFrame, slices: int, column: str = "_slice") -> DataFrame:
     """Number every row with a slice that depends on its content only, so retries agree."""
     hashable = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
@@ -70,12 +77,11 @@ def join_lookup(
     """Join a lookup table: broadcast within the row bound, sliced shuffle beyond it.
 
     ``rows`` is a known upper bound of the lookup's row count; without it the lookup is written
-    once and counted from the written table, so it is not derived twice. Keys in ``null_safe``
+    once and counted as it is written, so it is not derived twice. Keys in ``null_safe``
     match NULL to NULL.
     """
     if rows is None:
-        lookup = stage(lookup, "lookup")
-        rows = lookup.count()
+        lookup, rows = stage_counted(lookup, "lookup")
     keys, null_safe = list(keys), set(null_safe)
     right = lookup.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     condition = [

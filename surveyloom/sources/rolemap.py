@@ -92,8 +92,9 @@ def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def undersampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catch(spark, sf_dir).filter(
+def undersampled(lines: DataFrame) -> DataFrame:
+    """List of taxa their size class undersamples, from catches or from lineages."""
+    return lines.filter(
         "(SizeClass = 'Macro' AND Class <> 'Malacostraca') OR (SizeClass = 'Meso' AND Phylum = 'Rotifera')"
     ).select("SizeClass", "Taxname", "Lifestage").distinct()
 

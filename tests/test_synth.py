@@ -183,3 +183,44 @@ def test_one_shuffle_of_the_catches(spark, tmp_path):
     executed = plan(out).split("== Physical Plan ==")[1]
     assert executed.count("Exchange hashpartitioning") == 1
     assert "NestedLoop" not in executed and "Cartesian" not in executed
+
+
+def test_years_of_several_blocks_and_missing_size_classes(spark):
+    span = (1890, 1919, 1920, 1983, 1984, 2050)
+    years = {f"{a}{y}": y for a in "AB" for y in span}
+    def names(gap, size, **options):
+        catches = [catch_row(s[0], s, "P C O F g -", 1, size) for s in years]
+        catches += [catch_row(s[0], s, "P C O F g s", 1, size) for s, y in years.items() if (s[0], y) != ("B", gap)]
+        out = S.synthesize(*frames(spark, catches, years), time_consistency=True, env_columns=(), **options)
+        return {r[0] for r in rows(out.data, "Taxname")}
+    assert names(None, None) == {"g", "s"} and names(1890, None) == names(1984, "Meso") == names(2050, None) == {"g"}
+    intro = spark.createDataFrame([("s", 1919)], "Taxname string, Intro_year int")
+    assert names(1919, "Meso", introductions=intro, intro_lag=1) == {"g", "s"}
+    assert names(1920, "Meso", introductions=intro, intro_lag=1) == {"g"}
+    assert names(1983, "Meso", introductions=intro, intro_lag=65) == {"g", "s"}
+
+
+def test_lists_made_from_lineages_and_missing_keys_flag_alike(spark):
+    catches = [catch_row(s, s.lower(), "P C O F g s", 1, size, stage) for s in "AB" for size in ("Meso", None) for stage in ("Adult", None)]
+    catch, env = frames(spark, catches)
+    listed = catch.filter("SizeClass IS NULL").select("SizeClass", "Taxname", "Lifestage")
+    for mode in ("Community", "Taxa"):
+        run = lambda under: rows(S.synthesize(catch, env, mode, undersampled=under, env_columns=()).data, "SampleID", "SizeClass", "Taxlifestage", "Undersampled")
+        flags = run(listed)
+        assert flags == run(lambda lines: lines.filter("SizeClass IS NULL"))
+        assert {(r[1] is None) for r in flags if r[3]} == {True} and all(r[3] == (r[1] is None) for r in flags if "_all" not in r[2])
+
+
+def test_catches_are_read_once_before_the_sum(spark, tmp_path, monkeypatch):
+    catch, env = frames(spark, random_catches(4))
+    catch.write.parquet(str(tmp_path / "catch"))
+    stored = spark.read.parquet(str(tmp_path / "catch"))
+    plans = []
+    real = session.stage
+    monkeypatch.setattr(session, "stage", lambda df, label: plans.append(plan(df).split("== Physical Plan ==")[1]) or real(df, label))
+    monkeypatch.setattr(S, "stage", session.stage)
+    for mode in ("Community", "Taxa"):
+        plans.clear()
+        out = S.synthesize(stored, env, mode, env_columns=(), undersampled=lambda lines: lines, time_consistency=True).data
+        scans = lambda text: text.count(str(tmp_path / "catch"))
+        assert sum(map(scans, plans)) == 1 and scans(plan(out).split("== Physical Plan ==")[1]) == 1
