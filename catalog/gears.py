@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from catalog.registry import fixed, register
 from surveyloom.functions.text import thousands
 from surveyloom.operators import gear as A
-from surveyloom.operators.combine import shared_columns
 
 BOTH_SQL = """, g AS (SELECT * FROM fx_label WHERE SizeClass IN ('Micro', 'Meso')),
 tx AS (SELECT Taxlifestage FROM g GROUP BY 1 HAVING count(DISTINCT SizeClass) = 2),
@@ -55,15 +54,12 @@ def standardize(t):
     return scaled.select("SampleID", fixed("Secchi_s"), fixed("Temperature_s"))
 
 
-def matrices(t):
-    """Wide tow tables of both gears with the volume sampled."""
-    rows = t.catch.join(t.env, ["Source", "SampleID"])
+GEARS = {"CB": "Meso", "Pump": "Micro"}
 
-    def matrix(size):
-        sums = [F.coalesce(F.sum(F.when(F.col("Genus") == g, F.col("CPUE"))), F.lit(0.0)).alias(g) for g in GENERA]
-        return rows.filter(F.col("SizeClass") == size).groupBy(*IDS).agg(F.sum("Volume").alias("Volume"), *sums)
 
-    return matrix("Meso"), matrix("Micro")
+def tows(t):
+    """All tows with the catches of both gears, by genus."""
+    return A.tow_matrix(t.catch.join(t.env, ["Source", "SampleID"]), IDS, GEARS, "Genus", GENERA)
 
 
 @register("gear_matrix", f"SELECT SampleID, {', '.join(f'coalesce(sum(CPUE) FILTER (Genus = {chr(39)}{g}{chr(39)}), 0) AS {g}' for g in GENERA)} FROM fx_catch WHERE SizeClass = 'Meso' GROUP BY 1")
@@ -78,10 +74,8 @@ JOIN_KEYS = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in IDS)
 SELECT {', '.join(f'a.{c}' for c in IDS)}, concat(CAST(a.Date AS VARCHAR), ' ', a.Station) AS SampleID, {', '.join(f'a.{g} AS {g}_CB, b.{g} AS {g}_Pump, round(ln(1 + a.{g}), 6) AS {g}_CB_l' for g in GENERA)},
  a.ct AS Catch_total_CB, round((a.ct - (SELECT avg(ct) FROM a)) / (SELECT stddev_samp(ct) FROM a), 6) AS Catch_total_CB_s FROM a JOIN pump b ON {JOIN_KEYS}""")
 def join_paired_gear(t):
-    cb, pump = matrices(t)
-    a, b = A.prepare_gear(cb, GENERA, "CB", total_of=GENERA), A.prepare_gear(pump, GENERA, "Pump", standardized=False)
-    keys = shared_columns(a, b)
-    return A.pair_gears(a, b, keys).select(
+    both = A.paired_tows(tows(t), GEARS, GENERA, total_gear="CB")
+    return both.select(
         *IDS, "SampleID", *[f"{g}_CB" for g in GENERA], *[f"{g}_Pump" for g in GENERA],
         *[fixed(f"{g}_CB_l") for g in GENERA], "Catch_total_CB", fixed("Catch_total_CB_s"),
     )

@@ -6,11 +6,12 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from catalog.gears import BOTH_SQL, GENERA, IDS, JOIN_KEYS, MATRIX_SQL, matrices
+from catalog.gears import BOTH_SQL, GEARS, GENERA, IDS, JOIN_KEYS, MATRIX_SQL, tows
 from catalog.registry import fixed, register
 from surveyloom.operators import gear as A
 from surveyloom.operators import grams as G
 from surveyloom.operators import models as M
+from surveyloom.session import stage
 
 TOTALS_SQL = """, w AS (SELECT SampleID, ln(1 + sum(CPUE) FILTER (SizeClass = 'Meso')) AS x, ln(1 + sum(CPUE) FILTER (SizeClass = 'Micro')) AS y FROM fx_catch GROUP BY 1)
 """
@@ -54,10 +55,8 @@ def lm_p_values(t):
 
 def paired(t):
     """A row for each paired tow and genus: catches of both gears, logged, and standardised conditions."""
-    cb, pump = matrices(t)
-    a = A.prepare_gear(cb, GENERA, "CB", total_of=GENERA, standardized=False)
-    b = A.prepare_gear(pump, GENERA, "Pump", standardized=False)
-    both = A.standardize(A.pair_gears(a, b, [*IDS, "SampleID"]), {"Secchi": "Secchi_s", "Temperature": "Temperature_s"})
+    both = stage(A.paired_tows(tows(t), GEARS, GENERA), "paired")
+    both = A.standardize(both, {"Secchi": "Secchi_s", "Temperature": "Temperature_s"})
     genera = F.explode(F.array(*[
         F.struct(F.lit(g).alias("Genus"), *[F.col(f"{g}_{gear}{log}").alias(f"{gear}{log}") for gear in ("CB", "Pump") for log in ("", "_l")])
         for g in GENERA

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions.missing import paste, row_sum, sum_na_rm
 from surveyloom.functions.text import italic
-from surveyloom.operators.combine import null_safe_join, present_in_both
+from surveyloom.operators.combine import null_safe_join
 from surveyloom.schemas import SAMPLE_KEY
-from surveyloom.session import join_lookup
+from surveyloom.session import join_lookup, stage
 
 # Taxon names set in italics on the comparison labels.
 ITALIC_TAXA = (
@@ -22,11 +23,24 @@ ITALIC_TAXA = (
 )
 
 
+NARROW = (*SAMPLE_KEY, "SizeClass", "Taxname", "Lifestage", "Taxlifestage", "CPUE")
+
+
+def _in_both(rows: DataFrame, key: str, a: str) -> DataFrame:
+    """Values of ``key`` that both gears have: a bit for each gear, merged before the shuffle."""
+    bit = F.when(F.col("SizeClass") == a, F.lit(1)).otherwise(F.lit(2))
+    return rows.groupBy(key).agg(F.bit_or(bit).alias("_gears")).filter("_gears = 3").select(key)
+
+
 def comparable_rows(catch: DataFrame, a: str = "Micro", b: str = "Meso") -> DataFrame:
-    """Rows of two gears: first the taxa both caught, then the samples both took of those."""
-    both = catch.filter(F.col("SizeClass").isin(a, b))
-    taxa = join_lookup(both, present_in_both(both, "Taxlifestage", a, b), ["Taxlifestage"], "left_semi")
-    return taxa.join(present_in_both(taxa, "SampleID", a, b), "SampleID", "left_semi")
+    """Rows of two gears: first the taxa both caught, then the samples both took of those.
+
+    The catches are read once, into a written table of the two gears' rows on which both are decided.
+    """
+    both = catch.filter(F.col("SizeClass").isin(a, b)).select(*[c for c in NARROW if c in catch.columns])
+    both = stage(both, "gears")
+    taxa = join_lookup(both, _in_both(both, "Taxlifestage", a), ["Taxlifestage"], "left_semi")
+    return taxa.join(_in_both(taxa, "SampleID", a), "SampleID", "left_semi")
 
 
 def gear_proportion(rows: DataFrame) -> DataFrame:
@@ -99,6 +113,40 @@ def pair_gears(a: DataFrame, b: DataFrame, keys: Iterable[str]) -> DataFrame:
     return null_safe_join(a, b, keys, "inner")
 
 
+def tow_matrix(rows: DataFrame, ids: Iterable[str], gears: dict[str, str], name: str, values: list[str]) -> DataFrame:
+    """One row per tow for all gears together, written once: a column per gear and value of ``name``.
+
+    ``gears`` maps a suffix to a size class. Columns are ``{value}_{gear}`` (0 where not caught),
+    ``Volume_{gear}`` and ``_has_{gear}``, whether the gear was towed. Missing ids are ids too.
+    """
+    sums = []
+    for gear, size in gears.items():
+        own = F.col("SizeClass") == size
+        cells = [F.coalesce(F.sum(F.when(own & (F.col(name) == v), F.col("CPUE"))), F.lit(0.0)).alias(f"{v}_{gear}") for v in values]
+        sums += [*cells, F.sum(F.when(own, F.col("Volume"))).alias(f"Volume_{gear}"), F.coalesce(F.bool_or(own), F.lit(False)).alias(f"_has_{gear}")]
+    kept = rows.filter(F.col("SizeClass").isin(list(gears.values())))
+    return stage(kept.groupBy(*ids).agg(*sums), "tows")
+
+
+def paired_tows(tows: DataFrame, gears: Iterable[str], values: list[str], total_gear: str | None = None) -> DataFrame:
+    """Tows made with all gears, with ids, logged catches and the total catch of one gear, standardised.
+
+    As all gears of a tow are one row, pairing them is a filter. The moments of the total are those of
+    all tows of that gear, paired or not.
+    """
+    gears = list(gears)
+    wide = tows.withColumn("SampleID", paste("Date", "Station"))
+    if total_gear:
+        total = f"Catch_total_{total_gear}"
+        wide = wide.withColumn(total, row_sum([f"{v}_{total_gear}" for v in values]) * F.col(f"Volume_{total_gear}"))
+        towed = F.when(F.col(f"_has_{total_gear}"), F.col(total))
+        moments = wide.agg(F.struct(F.avg(towed).alias("m"), F.stddev_samp(towed).alias("s")).alias("moments")).scalar()
+        wide = wide.withColumn(f"{total}_s", F.try_divide(F.col(total) - moments["m"], moments["s"]))
+    both = reduce(lambda x, y: x & y, [F.col(f"_has_{g}") for g in gears])
+    logged = log1p_block(wide.filter(both), [f"{v}_{g}" for g in gears for v in values])
+    return logged.drop(*[f"{c}_{g}" for g in gears for c in ("Volume", "_has")])
+
+
 def gear_matrix(rows: DataFrame, name: str, values: list[str], ids: list[str]) -> DataFrame:
     """Wide tow table: a column per declared taxon, 0 where it was not caught."""
     wide = rows.groupBy(*ids).pivot(name, values).agg(F.sum("CPUE"))

@@ -9,7 +9,7 @@ from surveyloom.operators import gear as A
 from surveyloom.operators import grams as G
 from surveyloom.operators import models as M
 from surveyloom.operators import order as O
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def test_missing_conditions_pair_up(spark):
@@ -173,3 +173,36 @@ def test_moments_with_missing_values(spark):
     assert [r["b_s"] for r in out] == [None, None] and abs(out[1]["a_s"] - math.sqrt(0.5)) < 1e-9
     three = spark.createDataFrame([(1.0,), (3.0,), (None,)], "b double")
     assert [r["b_s"] is None for r in A.standardize(three, {"b": "b_s"}).orderBy("b").collect()] == [True, False, False]
+
+
+def test_tows_of_both_gears_in_one_pass_equal_the_joined_matrices(spark):
+    schema = "Date date, Station string, Secchi double, SizeClass string, Genus string, CPUE double, Volume double"
+    day = spark.sql("SELECT DATE '2010-01-01' AS d").first()["d"]
+    rnd = random.Random(6)
+    data = [(day, f"S{rnd.randrange(9)}", rnd.choice([None, 1.0, 2.0]), rnd.choice(["Meso", "Micro", "Macro"]), rnd.choice(["g", "h", "other", None]), float(rnd.randrange(5)), 2.0) for _ in range(90)]
+    rows_ = spark.createDataFrame(data, schema)
+    ids, values = ["Date", "Station", "Secchi"], ["g", "h"]
+    tows = A.tow_matrix(rows_, ids, {"CB": "Meso", "Pump": "Micro"}, "Genus", values)
+    found = A.paired_tows(tows, ["CB", "Pump"], values, total_gear="CB")
+
+    def matrix(size):
+        own = rows_.filter(F.col("SizeClass") == size)
+        sums = [F.coalesce(F.sum(F.when(F.col("Genus") == g, F.col("CPUE"))), F.lit(0.0)).alias(g) for g in values]
+        return own.groupBy(*ids).agg(F.sum("Volume").alias("Volume"), *sums)
+
+    a = A.prepare_gear(matrix("Meso"), values, "CB", total_of=values)
+    b = A.prepare_gear(matrix("Micro"), values, "Pump", standardized=False)
+    want = A.pair_gears(a, b, [*ids, "SampleID"])
+    shown = ["SampleID", "Secchi", *[f"{v}_{g}{x}" for v in values for g in ("CB", "Pump") for x in ("", "_l")], "Catch_total_CB", "Catch_total_CB_s"]
+    exact = lambda df: sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*shown).collect()], key=repr)
+    assert exact(found) == exact(want) and len(exact(found)) > 5
+
+
+def test_comparable_rows_read_the_catches_once(spark, tmp_path):
+    data = [("A", "1", "Micro", "x", 1.0), ("A", "1", "Meso", "x", 2.0), ("A", "2", "Micro", "x", 1.0), ("A", "3", "Meso", "y", 1.0),
+            ("A", "3", "Micro", "x", 1.0), ("A", "4", "Macro", "x", 1.0), ("A", None, "Micro", "x", 1.0), ("A", None, "Meso", "x", 1.0)]
+    frame = spark.createDataFrame(data, "Source string, SampleID string, SizeClass string, Taxlifestage string, CPUE double")
+    frame.write.parquet(str(tmp_path / "catch"))
+    out = A.comparable_rows(spark.read.parquet(str(tmp_path / "catch")))
+    assert rows(out, "SampleID", "SizeClass") == [("1", "Meso"), ("1", "Micro")]
+    assert str(tmp_path / "catch") not in plan(out)
