@@ -9,8 +9,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when its counted rows fit this bound (about 40 MB of names).
+# A lookup is broadcast only when its counted rows fit this bound (about 40 MB of names) and, where it
+# was written for the join, its file bytes fit theirs.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 8 << 20
 # Beyond it the lookup is shuffled, with every key cut into this many slices.
 LOOKUP_SLICES = 16
 
@@ -60,6 +62,11 @@ def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return table, seen.get["n"]
 
 
+def file_bytes(table: DataFrame) -> int:
+    """Size of the files of a written table."""
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def sliced(df: DataFrame, slices: int, column: str = "_slice") -> DataFrame:
     """Number every row with a slice that depends on its content only, so retries agree."""
     hashable = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
@@ -82,6 +89,8 @@ def join_lookup(
     """
     if rows is None:
         lookup, rows = stage_counted(lookup, "lookup")
+        if file_bytes(lookup) > BROADCAST_BYTES:
+            rows = max(rows, BROADCAST_ROWS + 1)
     keys, null_safe = list(keys), set(null_safe)
     right = lookup.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     condition = [

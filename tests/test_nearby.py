@@ -110,6 +110,56 @@ def test_hull_of_square_with_inner_and_collinear_points(spark):
     assert [r for r in out if r[0] != "a"] == [("b", 1.0, 1.0), (None, 2.0, 2.0)]
 
 
+def test_hull_keeps_flat_corners_and_only_corners(spark):
+    ring = [(math.cos(k * math.pi / 12) * 1e-5 + 3, math.sin(k * math.pi / 12) * 1e-5 + 4) for k in range(24)]
+    bent = [(float(x), x * x * 1e-13) for x in range(-9, 10)]
+    line = [(0.1 * k, 0.1 * k) for k in range(30)]
+    data = [("ring", *p) for p in ring * 3] + [("bent", *p) for p in bent] + [("line", *p) for p in line]
+    df = spark.createDataFrame(data, "g string, Longitude double, Latitude double").repartition(5)
+    out = rows(G.hull_by_group(df, "g"))
+    assert {r[1:] for r in out if r[0] == "ring"} == set(ring) and {r[1:] for r in out if r[0] == "bent"} == set(bent)
+    assert {r[1:] for r in out if r[0] == "line"} == {line[0], line[-1]}
+
+
+def even_odd(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                odd = not odd
+    return odd
+
+
+def test_parts_holes_and_islands_by_cells(spark):
+    rnd = random.Random(12)
+    star = lambda cx, cy, r, n: [(cx + r * (0.4 + rnd.random()) * math.cos(2 * math.pi * k / n), cy + r * (0.4 + rnd.random()) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    square = lambda x, y, r: [(x - r, y - r), (x + r, y - r), (x + r, y + r), (x - r, y + r)]
+    shapes = {"A": [star(0, 0, 2, 40), star(3.3, 1, 1, 9)], "B": [square(-3, -3, 1.0), square(-3, -3, 0.5), square(-3, -3, 0.25)], "C": [star(0.4, 3, 0.1, 7)]}
+    regions = spark.createDataFrame(list(shapes.items()), "Region string, rings array<array<struct<lon: double, lat: double>>>")
+    places = [(rnd.uniform(-5, 5), rnd.uniform(-5, 5)) for _ in range(3000)] + [(x / 4, y / 4) for x in range(-18, 19) for y in range(-18, 19)]
+    df = spark.createDataFrame([(y, x) for x, y in places], "Latitude double, Longitude double")
+    want = {(y, x): min((n for n, rings in shapes.items() if even_odd(rings, x, y)), default="none") for x, y in places}
+    for cell in (0.25, 0.3, 2.0):
+        got = {(r["Latitude"], r["Longitude"]): r["Region"] for r in G.region_of_places(df, regions, "none", cell).collect()}
+        assert got == want
+    cells = G.region_cells(regions, 0.05)
+    assert cells.filter("_edges IS NULL").count() > 1000
+    # Cells inside hold no edges, those on the boundary only the ones of their row.
+    assert cells.agg({"_odd": "count"}).first()[0] > 0 and cells.selectExpr("max(size(_edges))").first()[0] < 20
+
+
+def test_lookups_of_many_bytes_are_not_broadcast(spark, monkeypatch):
+    from surveyloom import session
+
+    left = spark.createDataFrame([(k % 5, k) for k in range(50)], "k int, v int")
+    right = spark.createDataFrame([(k, f"name {k}") for k in range(5)], "k int, name string")
+    within = rows(session.join_lookup(left, right, ["k"]))
+    assert "BroadcastHashJoin" in plan(session.join_lookup(left, right, ["k"]))
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 10)
+    wide = session.join_lookup(left, right, ["k"])
+    assert "_slice" in plan(wide) and rows(wide) == within
+
+
 def test_crop_to_box(spark):
     points = spark.createDataFrame([(1, 1.0, 1.0), (2, 5.0, 5.0)], "id int, Latitude double, Longitude double")
     frame = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0)], "Latitude double, Longitude double")
