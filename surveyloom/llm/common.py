@@ -33,8 +33,14 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds))
 
 
+# What modules remember during a task.
+CACHES: list[dict] = []
+
+
 def give_back_memory() -> None:
-    """Return a Python worker's freed memory to the system, as workers stay for later tasks."""
+    """Empty caches and return a Python worker's freed memory to the system, as workers stay for later tasks."""
+    for cache in CACHES:
+        cache.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library has it

@@ -23,18 +23,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.llm.common import map_batches, stage
+from surveyloom.llm.common import CACHES, map_batches, stage
 
 # Words of a window, and suffixes aimed at in a group.
 WINDOW = 13
-GROUP_SUFFIXES = 1_500_000
+GROUP_SUFFIXES = 600_000
 # Documents that show which prefixes are overfull (expected number), and their longest prefix.
 SAMPLE_DOCUMENTS = 2_000
 LONGEST_PREFIX = 4
 # Removal lists up to this many bytes are sent to all tasks; longer ones are joined by a shuffle.
 BROADCAST_BYTES = 24 << 20
-# Distinct words whose hash a Python worker remembers; beyond that it starts afresh.
-REMEMBERED = 400_000
+# Distinct words whose hash a Python worker remembers during a task; beyond that it starts afresh.
+REMEMBERED = 150_000
 
 
 class _Hashes(dict):
@@ -46,6 +46,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+CACHES.append(_hashes)
 
 
 def _odd(count: int, seed: int) -> np.ndarray:
