@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -50,6 +51,17 @@ class SampleFilter:
     def active(self) -> bool:
         return any(v is not None for v in (self.dates, self.months, self.sal_surf, self.latitude, self.longitude))
 
+    def bounded(self, stored: DataFrame) -> DataFrame:
+        """Two-sided limits on stored columns, before NaN is read as missing, so that a scan can skip by them.
+
+        NaN is above every number and so outside of any two limits.
+        """
+        for column, limits in (("SalSurf", self.sal_surf), ("Latitude", self.latitude), ("Longitude", self.longitude)):
+            if limits and any(limit is not None for limit in limits):
+                low, high = (limit if limit is not None else end for limit, end in zip(limits, (-math.inf, math.inf)))
+                stored = stored.filter((F.col(column) >= F.lit(float(low))) & (F.col(column) <= F.lit(float(high))))
+        return date_between(stored, "Date", *self.dates) if self.dates else stored
+
     def apply(self, env: DataFrame) -> DataFrame:
         if self.dates:
             env = date_between(env, "Date", *self.dates)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -16,6 +18,8 @@ BROADCAST_BYTES = 8 << 20
 # Beyond it the lookup is shuffled, with every key cut into this many slices.
 LOOKUP_SLICES = 16
 
+_FOLDERS: set[str] = set()
+
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -47,10 +51,25 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def staged_folder(spark: SparkSession) -> str:
+    """Folder of this application's staged tables; it goes when the driver's program ends."""
+    folder = f"{staging_root(spark).rstrip('/')}/surveyloom/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table."""
     spark = df.sparkSession
-    path = f"{staging_root(spark).rstrip('/')}/surveyloom/{label}-{uuid.uuid4().hex}"
+    path = f"{staged_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

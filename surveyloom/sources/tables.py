@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from surveyloom import schemas
 from surveyloom.functions.missing import nan_to_null
+from surveyloom.operators.filters import SampleFilter
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -24,8 +26,22 @@ def read_catch(spark: SparkSession, path: str, sources: Iterable[str] | None = N
     return catch if sources is None else catch.filter(F.col("Source").isin(list(sources)))
 
 
-def read_env(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, schemas.ENV)
+def read_env(spark: SparkSession, path: str, samples: SampleFilter | None = None) -> DataFrame:
+    """Samples; with ``samples``, only those it keeps, its limits reaching the scan."""
+    if samples is None:
+        return read_table(spark, path, schemas.ENV)
+    stored = spark.read.schema(schemas.ENV).parquet(path)
+    return samples.apply(nan_to_null(samples.bounded(stored)))
+
+
+def read_all_stations(spark: SparkSession, stations: Iterable[str], env: DataFrame) -> DataFrame:
+    """Station lists of the surveys, and the places of samples at stations that no list has."""
+    listed = reduce(DataFrame.unionByName, [read_stations(spark, path) for path in stations]).distinct()
+    columns = ["Source", "Station", "Latitude", "Longitude"]
+    sampled = env.select(*columns).dropna().groupBy("Source", "Station").agg(F.min(F.struct("Latitude", "Longitude")).alias("place"))
+    known = listed.select(F.col("Source").alias("_s"), F.col("Station").alias("_t")).distinct()
+    extra = sampled.join(known, F.col("Source").eqNullSafe(F.col("_s")) & (F.col("Station") == F.col("_t")), "left_anti")
+    return listed.select(*columns).unionByName(extra.select("Source", "Station", "place.*"))
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -64,6 +80,13 @@ def write_by_source(df: DataFrame, path: str, samples_per_file: int | None = Non
     spread.write.partitionBy("Source").parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Table bucketed and sorted by sample. Two tables of as many buckets join and sum per sample without a shuffle."""
+    keys = list(schemas.SAMPLE_KEY)
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def export_csv(df: DataFrame, folder: str, version: str, on: date) -> str:
     """Write the result as CSV part files under a name with version and date; returns the path."""
     path = f"{folder.rstrip('/')}/data-_V{version}_{on.isoformat()}.csv"

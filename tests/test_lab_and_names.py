@@ -72,3 +72,26 @@ def test_report_text_round_trip(spark):
     report = spark.createDataFrame([("Removed taxa: Annelida Adult (Meso), Hydra (x) Adult (Micro)",)], "message string")
     out = B.explode_report(report)
     assert rows(out)[0] == ("Annelida Adult", "Meso") and out.count() == 2
+
+
+def test_prefix_ranges_equal_brute_force(spark):
+    import random
+
+    rnd = random.Random(9)
+    word = lambda n: "".join(rnd.choice("abÉß😀") for _ in range(n))
+    records = [(f"i{k}", word(rnd.randrange(0, 6)), "", rnd.choice(["accepted", "unaccepted", None])) for k in range(400)]
+    records += [(f"same{k}", "Aaa hot", "", "accepted" if k == 7 else "unaccepted") for k in range(150)] + [("null", None, "", "accepted")]
+    queries = [word(rnd.randrange(0, 5)) for _ in range(150)] + ["a", "A", "aaa hot", "aaa", "zzz", None, "É", "\U0010ffff"]
+    frame = spark.createDataFrame(records, "id string, scientificname string, authority string, status string").repartition(5)
+    asked = spark.createDataFrame([(q,) for q in queries], "query string")
+    for accepted in (False, True):
+        want = []
+        for query in set(queries) - {None}:
+            hits = [r for r in records if r[1] and r[1].lower().startswith(query.lower())]
+            usable = [r for r in hits if not accepted or r[3] == "accepted"]
+            equal = [r for r in usable if r[1].lower() == query.lower()]
+            one = usable[0] if len(usable) == 1 else equal[0] if len(usable) > 1 and len(equal) == 1 else None
+            want.append((query, one and one[0], "found" if one else "not found", one and one[3], len(hits) > 1, len(usable) > 1 and len(equal) == 1))
+        assert rows(resolve_taxa(asked, frame, accepted)) == sorted(want, key=repr)
+    assert resolve_taxa(asked, frame.limit(0)).filter("match = 'found'").count() == 0
+    assert resolve_taxa(asked.limit(0), frame).count() == 0
