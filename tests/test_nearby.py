@@ -89,6 +89,24 @@ def test_fish_cleaning_and_output_shape(spark):
     assert len(row) == 1 and row[0]["smelt_survey"] == "STN" and row[0]["zoop_ID"] == "s1" and row[0]["zoop_sal_avg"] == 2.0
 
 
+def test_match_of_a_synthesis_has_all_columns_or_fails(spark):
+    import pytest
+
+    from surveyloom.plans.matching import FISH_COLUMNS, SAMPLE_COLUMNS, match_synthesis
+    from tests.test_synth import TWO, frames
+
+    catch, env = frames(spark, TWO, {"b1": 2005})
+    env = env.selectExpr("*", "1D AS SalBott")
+    fish = spark.createDataFrame([("f1", "TNS", "05/03/2000", "x", 1.5, 9.0, 8.0, 38.0, -122.0), ("f2", "A", "05/03/2005", "x", 1.5, 9.0, 8.0, 38.0, -122.0)],
+                                 "fishid string, survey string, date string, station string, sal double, secchi double, temp double, lat double, long double")
+    pairs, caught = match_synthesis(fish, catch, env, ("2000-01-01", "2001-01-01"))
+    assert pairs.columns == [*FISH_COLUMNS.values(), *SAMPLE_COLUMNS.values()] and len(pairs.columns) == 15
+    assert rows(pairs, "smelt_ID", "smelt_survey", "smelt_date", "zoop_ID") == [("f1", "STN", dt.date(2000, 5, 3), "a1")]
+    assert {r[0] for r in rows(caught, "SampleID")} == {"a1"} and caught.filter("Taxatype = 'Taxon'").count() == 3
+    with pytest.raises(ValueError, match="secchi"):
+        match_synthesis(fish.drop("secchi"), catch, env)
+
+
 def test_concave_region_default_and_missing(spark):
     ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 1.0), (0.0, 4.0)]
     regions = spark.createDataFrame([("U", ring)], G_SCHEMA)
