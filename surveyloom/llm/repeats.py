@@ -244,12 +244,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     compared by a 64-bit hash inside groups that are split by another hash of their first words.
     """
     docs = docs.drop("n_words", "n_removed", "kept")
-    own = f"_row_{uuid.uuid4().hex}"
+    own, found = f"_row_{uuid.uuid4().hex}", f"_cuts_{uuid.uuid4().hex}"
     numbered = docs.withColumn(own, F.monotonically_increasing_id())
     source = numbered.select(F.col(own).alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     cuts = repeated_words(source, "key", "text", window)
     held = cuts.agg(F.coalesce(F.sum(F.length("cuts") + 16), F.lit(0))).first()[0]
-    cuts = cuts.select(F.col("row").alias(own), F.col("cuts").alias("_cuts"))
+    cuts = cuts.select(F.col("row").alias(own), F.col("cuts").alias(found))
     joined = numbered.join(F.broadcast(cuts) if held <= BROADCAST_BYTES else cuts, own, "left").drop(own)
 
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -353,3 +353,19 @@ def test_scoring_pass_equals_the_plain_forward_pass():
     target, shares = draw.integers(0, 40, (9, attention_lm.STEP)), draw.random((9 * attention_lm.STEP, 5)).astype("f4") / 2
     plain = attention_lm.forward(w, seen, target, shares)[0]
     assert np.allclose(attention_lm.predict(w, seen, target, shares), plain, rtol=1e-5)
+
+
+def test_repeats_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{k}" for k in range(20))
+    frame = spark.createDataFrame([(1, text, b"c", 5), (2, text + " more", b"d", 6)], "doc_id long, text string, _cuts binary, row long")
+    found = {r["doc_id"]: r for r in collected(repeats.remove_repeats(frame))}
+    assert [(found[k]["n_removed"], found[k]["_cuts"], found[k]["row"]) for k in (1, 2)] == [(0, b"c", 5), (20, b"d", 6)]
+
+
+def test_texts_of_megabytes_and_without_spaces(spark):
+    long_word, many = "aB0/" * 600_000, prose(9, 300_000)
+    frame = spark.createDataFrame([(1, long_word), (2, many), (3, many + " tail")], "doc_id long, text string")
+    prints = {r["doc_id"]: r["fp"] % (1 << 64) for r in collected(simhash.near_duplicates(frame))}
+    assert prints == {k: brute_fingerprint(t) for k, t in ((1, long_word), (2, many), (3, many + " tail"))}
+    removed = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in collected(repeats.remove_repeats(frame))}
+    assert removed == {1: (1, 0), 2: (300_000, 0), 3: (300_001, 300_000)}
