@@ -19,6 +19,7 @@ BROADCAST_BYTES = 8 << 20
 LOOKUP_SLICES = 16
 
 _FOLDERS: set[str] = set()
+SPLITS = "spark.sql.files.minPartitionNum"
 
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,9 +31,15 @@ RUNTIME_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators are planned for."""
+    """Apply the runtime settings the operators are planned for.
+
+    Files are split alike for the whole session, also after executors are lost, so that row numbers
+    drawn from one table in several jobs agree.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, str(max(1, spark.sparkContext.defaultParallelism)))
     return spark
 
 
