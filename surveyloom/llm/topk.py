@@ -1,11 +1,12 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
-The components of the vectors are dealt into m groups; a score is the sum of its m partial scores.
-Phase one gathers, for every query and block of candidates, the best entries of each group's list of
-partial scores and resolves them; the k-th best of all is a cutoff that no answer lies below. Phase
-two sends the cutoff back: an entry with a total of at least the cutoff has a partial score of at
-least cutoff / m in some group, so those entries are sufficient. Phase three resolves their totals.
-Queries meet candidates block by block.
+The components of the vectors are dealt into m groups, and a task holds one group of a block of queries
+and a block of candidates; a score is the sum of its m partial scores. Phase one gathers the best entries
+of every group's own list of partial scores and resolves those few; the k-th best of them is a cutoff
+that no answer lies below. Phase two sends the cutoff to the groups: an entry with a total of at least
+the cutoff has a partial score of at least cutoff / m in some group, so the entries that reach this in
+their own group are sufficient. Phase three adds up the partial scores that came and computes only the
+missing ones, of these entries alone.
 """
 
 from __future__ import annotations
@@ -18,63 +19,160 @@ from pyspark.sql.window import Window
 
 from surveyloom.llm.common import stage
 
-# Groups of components, and rows of a block of queries and of candidates.
+# Groups of components (at most 8), and rows of a block of queries and of candidates.
 GROUPS = 4
-QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 8192
+QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+# Entries whose missing parts are computed at a time.
+RESOLVED_AT_ONCE = 1 << 16
+# Share of the summed absolute products that rounding may cost; far less than one for the usual integers.
+SLACK = 1e-9
 
+LISTED = "query long, class long, g int, part double"
+SUFFICIENT = "d int, qb int, cb int, query long, g int, classes array<long>, parts array<double>"
+TOTALS = "query long, class long, score long, named boolean, first long, first_row long"
 
-def _parts(queries: pd.DataFrame, candidates: pd.DataFrame) -> list[np.ndarray]:
-    """Partial scores (queries x candidates) of each group of components, exact in doubles."""
-    q, x = (np.array(f["vector"].tolist(), np.float64) for f in (queries, candidates))
-    return [a @ b.T for a, b in zip(np.array_split(q, GROUPS, axis=1), np.array_split(x, GROUPS, axis=1))]
 
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.array(vectors.tolist(), np.float64).reshape(len(vectors), -1)
 
-def _entries(i: np.ndarray, j: np.ndarray, total: np.ndarray, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({
-        "query": queries["class"].to_numpy()[i], "class": candidates["class"].to_numpy()[j],
-        "score": np.rint(total[i, j]).astype(np.int64),
-    })
 
+def _none(schema: str) -> pd.DataFrame:
+    return pd.DataFrame({field.split()[0]: pd.Series([], dtype=object) for field in schema.split(", ")})
 
-def _gather(k: int):
-    def gather(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+
+def _listed(k: int):
+    """Of one group and block, the entries with the k best partial scores of each query."""
+
+    def best(key: tuple, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(candidates):
-            return pd.DataFrame({"query": [], "class": [], "score": []}).astype("int64")
-        parts = _parts(queries, candidates)
-        total, top = sum(parts), min(k, len(candidates))
-        best = np.concatenate([np.argpartition(-p, top - 1, axis=1)[:, :top] for p in parts], axis=1)
-        chosen = np.zeros(total.shape, bool)
-        chosen[np.arange(len(best))[:, None], best] = True
-        # Of the resolved entries only the k best can set the cutoff.
-        ranked = np.where(chosen, total, -np.inf)
-        best = np.argpartition(-ranked, top - 1, axis=1)[:, :top]
-        return _entries(np.repeat(np.arange(len(best)), top), best.ravel(), total, queries, candidates)
+            return _none(LISTED)
+        partial, top = _matrix(queries["part"]) @ _matrix(candidates["part"]).T, min(k, len(candidates))
+        chosen = np.argpartition(-partial, top - 1, axis=1)[:, :top]
+        return pd.DataFrame({
+            "query": np.repeat(queries["class"].to_numpy(), top), "class": candidates["class"].to_numpy()[chosen.ravel()],
+            "g": key[1], "part": np.take_along_axis(partial, chosen, axis=1).ravel(),
+        })
 
-    return gather
+    return best
 
 
-def _resolve(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+def _reaching(key: tuple, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+    """Of one group and block, the entries with a partial score of at least cutoff / m, a list for each query."""
+    d, g, qb, cb = key
+    names = [f.split()[0] for f in SUFFICIENT.split(", ")]
     if not len(queries) or not len(candidates):
-        return pd.DataFrame({"query": [], "class": [], "score": []}).astype("int64")
-    parts, cutoff = _parts(queries, candidates), queries["cutoff"].to_numpy(np.float64)[:, None]
-    sufficient = np.logical_or.reduce([p >= cutoff / GROUPS for p in parts])
-    total = sum(parts)
-    i, j = np.nonzero(sufficient & (total >= cutoff))
-    return _entries(i, j, total, queries, candidates)
+        return _none(SUFFICIENT)
+    partial, classes = _matrix(queries["part"]) @ _matrix(candidates["part"]).T, candidates["class"].to_numpy()
+    least = queries["cutoff"].to_numpy(np.float64) / GROUPS
+    rows = []
+    for query, bound, own in zip(queries["class"], least, partial):
+        hit = np.flatnonzero(own >= bound)
+        if len(hit):
+            rows.append((d, qb, cb, query, g, classes[hit], own[hit]))
+    return pd.DataFrame(rows, columns=names) if rows else _none(SUFFICIENT)
 
 
-def _blocked(queries: DataFrame, candidates: DataFrame, work) -> DataFrame:
-    """Every block of queries with every block of candidates of the same vector length."""
-    counts = queries.count(), candidates.count()
-    n_q, n_c = (max(1, -(-n // size)) for n, size in zip(counts, (QUERY_BLOCK, CANDIDATE_BLOCK)))
+def _resolved(k: int):
+    """Totals of the entries of one block that reach the cutoff, the k best of each query.
 
-    def spread(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("class"), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    Equal scores are taken by the smallest row of the class, as the answers are.
+    """
 
-    left = spread(queries, "qb", n_q, "cb", n_c)
-    right = spread(candidates, "cb", n_c, "qb", n_q)
+    def resolve(vectors: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        if not len(entries):
+            return _none(TOTALS)
+        queries = vectors[vectors["asked"]].sort_values("class", ignore_index=True)
+        candidates = vectors[~vectors["asked"]].sort_values("class", ignore_index=True)
+        at, of = queries["class"].to_numpy(), candidates["class"].to_numpy()
+        known = np.zeros((len(at), len(of)))
+        came = np.zeros(known.shape, np.uint8)
+        for query, g, classes, parts in zip(entries["query"], entries["g"], entries["classes"], entries["parts"]):
+            i, j = np.searchsorted(at, query), np.searchsorted(of, classes)
+            known[i, j] += parts
+            came[i, j] |= 1 << g
+        i, j = np.nonzero(came)
+        total, came = known[i, j], came[i, j]
+        del known
+        q, x = _matrix(queries["vector"]), _matrix(candidates["vector"])
+        ends = [q.shape[1] * g // GROUPS for g in range(GROUPS + 1)]
+        for g, (start, end) in enumerate(zip(ends, ends[1:])):
+            missing = np.flatnonzero((came & (1 << g)) == 0)
+            for part in np.array_split(missing, -(-len(missing) // RESOLVED_AT_ONCE) or 1):
+                total[part] += np.einsum("ij,ij->i", q[i[part], start:end], x[j[part], start:end])
+        reach = total >= queries["cutoff"].to_numpy(np.float64)[i]
+        found = candidates.loc[j[reach], ["class", "named", "first", "first_row"]].reset_index(drop=True)
+        found.insert(0, "query", at[i[reach]])
+        found.insert(2, "score", np.rint(total[reach]).astype(np.int64))
+        ranked = found.sort_values(["query", "score", "named", "first", "first_row"], ascending=[True, False, True, True, True])
+        return ranked[ranked.groupby("query").cumcount() < k]
+
+    return resolve
+
+
+class Blocks:
+    """Queries and candidates in blocks: every block of the one meets every block of the other of equal length."""
+
+    def __init__(self, queries: DataFrame, candidates: DataFrame):
+        self.queries = max(1, -(-queries.count() // QUERY_BLOCK))
+        self.candidates = max(1, -(-candidates.count() // CANDIDATE_BLOCK))
+
+    def _spread(self, df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        block = F.pmod(F.xxhash64("class"), F.lit(n)).cast("int")
+        return df.withColumn(own, block).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+
+    def of_queries(self, df: DataFrame) -> DataFrame:
+        return self._spread(df, "qb", self.queries, "cb", self.candidates)
+
+    def of_candidates(self, df: DataFrame) -> DataFrame:
+        return self._spread(df, "cb", self.candidates, "qb", self.queries)
+
+    def by_group(self, queries: DataFrame, candidates: DataFrame, work, schema: str) -> DataFrame:
+        """Each group of components of each pair of blocks in a task of its own, which sees no other group."""
+        keys = "d", "g", "qb", "cb"
+        left, right = self.of_queries(_grouped(queries)), self.of_candidates(_grouped(candidates))
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(work, schema)
+
+
+def _grouped(df: DataFrame) -> DataFrame:
+    """A row for each group of components, with this group's part of the vector only."""
+    start, end = (F.floor(F.col("d") * g / GROUPS).cast("int") for g in (F.col("g"), F.col("g") + 1))
+    dealt = df.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
+    return dealt.withColumn("part", F.slice("vector", start + 1, end - start)).drop("vector")
+
+
+def cutoffs(blocks: Blocks, queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """Phase one: the queries with a ``cutoff`` that their k-th best score reaches; very low where there are fewer.
+
+    Each group's list gives its k best entries of a query; the exact scores of these are summed here,
+    and the k-th best of any k entries is safe.
+    """
+    best = Window.partitionBy("query", "g").orderBy(F.desc("part"), "class")
+    listed = blocks.by_group(queries, candidates, _listed(k), LISTED).withColumn("_n", F.row_number().over(best))
+    pairs = listed.where(F.col("_n") <= k).select("query", "class").distinct()
+    own = queries.select(F.col("class").alias("query"), F.col("vector").alias("q"))
+    met = pairs.join(own, "query").join(candidates.select("class", F.col("vector").alias("x")), "class")
+    products = F.zip_with("q", "x", lambda a, b: a.cast("double") * b.cast("double"))
+    summed = lambda values: F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    least = met.select("query", (summed(products) - SLACK * summed(F.transform(products, F.abs))).alias("least"))
+    ranked = Window.partitionBy("query").orderBy(F.desc("least"))
+    kth = least.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") == k)
+    found = kth.select(F.col("query").alias("class"), F.col("least").alias("cutoff"))
+    return queries.join(found, "class", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(float(-(1 << 100)))))
+
+
+def sufficient(blocks: Blocks, asked: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Phase two: for every query and group, the candidates with a partial score of at least cutoff / m, by block."""
+    return blocks.by_group(asked, candidates, _reaching, SUFFICIENT)
+
+
+def resolved(blocks: Blocks, asked: DataFrame, candidates: DataFrame, entries: DataFrame, k: int) -> DataFrame:
+    """Phase three: exact scores of the sufficient entries that reach the cutoff, of each block the k best of a query."""
+    columns = "class", "d", "vector", "named", "first", "first_row"
+    left = blocks.of_queries(asked.select(*columns, "cutoff", F.lit(True).alias("asked"))).unionByName(
+        blocks.of_candidates(candidates.select(*columns, F.lit(0.0).alias("cutoff"), F.lit(False).alias("asked")))
+    )
     keys = "d", "qb", "cb"
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(work, "query long, class long, score long")
+    return left.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInPandas(_resolved(k), TOTALS)
 
 
 def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, scale: int = 64) -> DataFrame:
@@ -95,25 +193,26 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
         "key", "row", "asked", F.transform("x", lambda v: F.floor(v * scale)).alias("vector")
     ).withColumn("hash", F.xxhash64("vector"))
     rows = stage(rows, "rows")
+    # The smallest row of a class decides between equal scores.
+    first = F.min(F.struct(F.col("key").isNotNull().alias("named"), F.coalesce("key", F.lit(0)).alias("first"), F.col("row").alias("first_row")))
     classes = stage(
-        rows.groupBy("hash", "vector").agg(F.max("asked").alias("asked")).withColumn("class", F.monotonically_increasing_id())
-        .withColumn("d", F.size("vector")), "classes",
+        rows.groupBy("hash", "vector").agg(F.max("asked").alias("asked"), first.alias("_first"))
+        .select("hash", "vector", "asked", "_first.*", F.size("vector").alias("d"), F.monotonically_increasing_id().alias("class")), "classes",
     )
     members = stage(rows.join(classes.select("hash", "vector", "class"), ["hash", "vector"]).select("class", "key", "row", "asked"), "members")
     order = Window.partitionBy("class").orderBy("key", "row")
     few = members.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1).select("class", "key", "row")
     few = stage(few, "few")
 
-    queries = classes.where("asked").select("class", "d", "vector")
-    candidates = classes.select("class", "d", "vector")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "class")
+    columns = "class", "d", "vector", "named", "first", "first_row"
+    queries, candidates = classes.where("asked").select(*columns), classes.select(*columns)
+    blocks = Blocks(queries, candidates)
     # The query's class counts too but for the query itself, so one entry more is taken.
-    lists = _blocked(queries, candidates, _gather(k + 1)).withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1)
-    cutoffs = lists.groupBy(F.col("query").alias("class")).agg(
-        F.when(F.count("*") == k + 1, F.min("score")).otherwise(F.lit(-(1 << 62))).alias("cutoff")
-    )
-    asked = stage(queries.join(cutoffs, "class"), "asked")
-    entries = stage(_blocked(asked, candidates, _resolve), "entries")
+    asked = stage(cutoffs(blocks, queries, candidates, k + 1), "asked")
+    totals = resolved(blocks, asked, candidates, sufficient(blocks, asked, candidates), k + 1)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "named", "first", "first_row")
+    entries = totals.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).select("query", "class", "score")
+    entries = stage(entries, "entries")
 
     # Answers per class of queries: the k + 1 best rows, then each query without its own row.
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "key", "row")

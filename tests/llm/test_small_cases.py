@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from surveyloom.llm import attention_lm, bpe, forest, packing, repeats, secret_scan, sharding, simhash, topk, toxicity
-from surveyloom.llm.common import components, union_find
+from surveyloom.llm.common import components, stage, union_find
 from surveyloom.llm.tokens import WordCoder
 
 BYTES, WORDS = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
@@ -139,6 +139,43 @@ def test_topk(spark):
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_resolves_only_sufficient_entries(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    x = np.floor(64 * draw.normal(size=(300, 18))).astype(int)
+    x[7, :], x[8, :16] = 0, 0
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 64)
+    fields = "class long, d int, vector array<long>, named boolean, first long, first_row long"
+    candidates = spark.createDataFrame([(i, 18, v.tolist(), True, i, i) for i, v in enumerate(x)], fields)
+    candidates, queries, k = stage(candidates, "candidates"), stage(candidates.where("class % 10 = 0"), "queries"), 6
+    scores = x[::10] @ x.T
+    blocks = topk.Blocks(queries, candidates)
+    asked = stage(topk.cutoffs(blocks, queries, candidates, k), "asked")
+    cutoff = {r["class"]: r["cutoff"] for r in asked.collect()}
+    for i, own in enumerate(scores):
+        assert min(own) < cutoff[10 * i] <= sorted(own)[-k]
+    entries = topk.sufficient(blocks, asked, candidates)
+    met, groups = set(), np.array([18 * g // topk.GROUPS for g in range(topk.GROUPS + 1)])
+    for r in entries.collect():
+        start, end = groups[r["g"]], groups[r["g"] + 1]
+        for c, part in zip(r["classes"], r["parts"]):
+            assert part == x[r["query"], start:end] @ x[c, start:end] >= cutoff[r["query"]] / topk.GROUPS
+            met.add((r["query"], c))
+    assert {(10 * i, c) for i, own in enumerate(scores) for c in np.flatnonzero(own >= cutoff[10 * i])} <= met
+    assert len(met) < 0.6 * scores.size
+
+    def answers(asked):
+        found = topk.resolved(blocks, asked, candidates, topk.sufficient(blocks, asked, candidates), k)
+        best = {}
+        for r in found.collect():
+            best.setdefault(r["query"], []).append((-r["score"], r["class"]))
+        return {q: sorted(v)[:k] for q, v in best.items()}
+
+    want = {10 * i: sorted((-int(s), c) for c, s in enumerate(own))[:k] for i, own in enumerate(scores)}
+    assert answers(asked) == want
+    assert answers(stage(asked.withColumn("cutoff", F.col("cutoff") * 3 + 1), "wrong")) != want
+
+
 def test_sharding(spark, docs, none):
     got = collected(sharding.shard(docs, shards=3))
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter(
