@@ -3,7 +3,7 @@
 The components of the vectors are dealt into m groups, and a task holds one group of a block of queries
 and a block of candidates; a score is the sum of its m partial scores. Phase one gathers the best entries
 of every group's own list of partial scores and resolves those few; the k-th best of them is a cutoff
-that no answer lies below. Phase two sends the cutoff to the groups: an entry with a total of at least
+that no answer lies below (longer lists only raise it). Phase two sends the cutoff to the groups: an entry with a total of at least
 the cutoff has a partial score of at least cutoff / m in some group, so the entries that reach this in
 their own group are sufficient. Phase three adds up the partial scores that came and computes only the
 missing ones, of these entries alone.
@@ -20,20 +20,20 @@ from pyspark.sql.window import Window
 from surveyloom.llm.common import stage
 
 # Groups of components (at most 8), and rows of a block of queries and of candidates.
-GROUPS = 4
-QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+GROUPS = 2
+QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 4096
+# A list holds this many times k entries of a query, of each block k at most.
+LISTS = 4
 # Entries whose missing parts are computed at a time.
 RESOLVED_AT_ONCE = 1 << 16
-# Share of the summed absolute products that rounding may cost; far less than one for the usual integers.
-SLACK = 1e-9
 
-LISTED = "query long, class long, g int, part double"
+LISTED = "d int, qb int, cb int, query long, g int, class long, part double"
 SUFFICIENT = "d int, qb int, cb int, query long, g int, classes array<long>, parts array<double>"
 TOTALS = "query long, class long, score long, named boolean, first long, first_row long"
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.array(vectors.tolist(), np.float64).reshape(len(vectors), -1)
+    return np.concatenate(vectors.tolist()).astype(np.float64).reshape(len(vectors), -1)
 
 
 def _none(schema: str) -> pd.DataFrame:
@@ -49,8 +49,8 @@ def _listed(k: int):
         partial, top = _matrix(queries["part"]) @ _matrix(candidates["part"]).T, min(k, len(candidates))
         chosen = np.argpartition(-partial, top - 1, axis=1)[:, :top]
         return pd.DataFrame({
-            "query": np.repeat(queries["class"].to_numpy(), top), "class": candidates["class"].to_numpy()[chosen.ravel()],
-            "g": key[1], "part": np.take_along_axis(partial, chosen, axis=1).ravel(),
+            "d": key[0], "qb": key[2], "cb": key[3], "query": np.repeat(queries["class"].to_numpy(), top), "g": key[1],
+            "class": candidates["class"].to_numpy()[chosen.ravel()], "part": np.take_along_axis(partial, chosen, axis=1).ravel(),
         })
 
     return best
@@ -84,12 +84,16 @@ def _resolved(k: int):
         queries = vectors[vectors["asked"]].sort_values("class", ignore_index=True)
         candidates = vectors[~vectors["asked"]].sort_values("class", ignore_index=True)
         at, of = queries["class"].to_numpy(), candidates["class"].to_numpy()
+        sizes = entries["classes"].map(len).to_numpy()
+        i = np.searchsorted(at, np.repeat(entries["query"].to_numpy(), sizes))
+        j = np.searchsorted(of, np.concatenate(entries["classes"].tolist()))
+        parts, group = np.concatenate(entries["parts"].tolist()), np.repeat(entries["g"].to_numpy(), sizes)
         known = np.zeros((len(at), len(of)))
         came = np.zeros(known.shape, np.uint8)
-        for query, g, classes, parts in zip(entries["query"], entries["g"], entries["classes"], entries["parts"]):
-            i, j = np.searchsorted(at, query), np.searchsorted(of, classes)
-            known[i, j] += parts
-            came[i, j] |= 1 << g
+        for g in range(GROUPS):  # a group names an entry once
+            own = group == g
+            known[i[own], j[own]] += parts[own]
+            came[i[own], j[own]] |= 1 << g
         i, j = np.nonzero(came)
         total, came = known[i, j], came[i, j]
         del known
@@ -143,21 +147,20 @@ def _grouped(df: DataFrame) -> DataFrame:
 def cutoffs(blocks: Blocks, queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """Phase one: the queries with a ``cutoff`` that their k-th best score reaches; very low where there are fewer.
 
-    Each group's list gives its k best entries of a query; the exact scores of these are summed here,
-    and the k-th best of any k entries is safe.
+    The best entries of each group's list are resolved as in phase three, and the k-th best of any
+    entries is safe.
     """
+    lowest = F.lit(float(-(1 << 100)))
     best = Window.partitionBy("query", "g").orderBy(F.desc("part"), "class")
-    listed = blocks.by_group(queries, candidates, _listed(k), LISTED).withColumn("_n", F.row_number().over(best))
-    pairs = listed.where(F.col("_n") <= k).select("query", "class").distinct()
-    own = queries.select(F.col("class").alias("query"), F.col("vector").alias("q"))
-    met = pairs.join(own, "query").join(candidates.select("class", F.col("vector").alias("x")), "class")
-    products = F.zip_with("q", "x", lambda a, b: a.cast("double") * b.cast("double"))
-    summed = lambda values: F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-    least = met.select("query", (summed(products) - SLACK * summed(F.transform(products, F.abs))).alias("least"))
-    ranked = Window.partitionBy("query").orderBy(F.desc("least"))
-    kth = least.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") == k)
-    found = kth.select(F.col("query").alias("class"), F.col("least").alias("cutoff"))
-    return queries.join(found, "class", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(float(-(1 << 100)))))
+    listed = blocks.by_group(queries, candidates, _listed(k), LISTED).withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= LISTS * k)
+    entries = listed.groupBy("d", "qb", "cb", "query", "g").agg(F.collect_list(F.struct("class", "part")).alias("_e")).select(
+        "d", "qb", "cb", "query", "g", F.col("_e.class").alias("classes"), F.col("_e.part").alias("parts")
+    )
+    known = resolved(blocks, queries.withColumn("cutoff", lowest), candidates, stage(entries, "lists"), k)
+    ranked = Window.partitionBy("query").orderBy(F.desc("score"))
+    kth = known.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") == k)
+    found = stage(kth.select(F.col("query").alias("class"), F.col("score").cast("double").alias("cutoff")), "cutoffs")
+    return queries.join(found, "class", "left").withColumn("cutoff", F.coalesce("cutoff", lowest))
 
 
 def sufficient(blocks: Blocks, asked: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -179,7 +182,7 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     """Columns ``query_id``, ``rank`` (from 1), ``key`` and ``score``: each query's k best other rows.
 
     Components become ``floor(scale * x)``, x as a double, and the score is the integer inner
-    product; ties go to the smaller key. Only vectors of equal length are compared. Null vectors and
+    product, exact while sums stay below 2^53; ties go to the smaller key. Only vectors of equal length are compared. Null vectors and
     those with null or non-finite components take no part. A query's own row is left out, other rows
     of the same key are not. Equal integer vectors are scored once: the k + 1 smallest rows of such a
     class are enough to fill any answer. An empty table gives no rows.
