@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.operators.order import row_ids
 from surveyloom.schemas import RANKS, SAMPLE_KEY
-from surveyloom.session import join_lookup
+from surveyloom.session import join_lookup, stage
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
@@ -77,6 +78,22 @@ def rank_table(lineage: DataFrame, skip: Iterable[str] = ("Gnathostomata",)) ->
     return named.groupBy("query").pivot("rank", list(RANKS)).agg(F.min("name"))
 
 
+def list_chunks(df: DataFrame, group: str, values: Iterable[str], size: int = 1024) -> DataFrame:
+    """Sorted distinct values per group as lists of at most ``size``: ``group``, ``Chunk`` from 0, ``Items``.
+
+    Rows are numbered by ranges of group and values, so neither a task nor a row holds a whole group.
+    ``Items`` are structs of the values in order; missing groups and values come last.
+    """
+    values = list(values)
+    numbered = row_ids(df.select(group, *values).distinct(), [group, *values], "_id")
+    numbered = stage(numbered, "numbered")
+    first = numbered.groupBy(group).agg(F.min("_id").alias("_first"))
+    placed = join_lookup(numbered, first, [group], "left", [group])
+    chunk = F.floor((F.col("_id") - F.col("_first")) / size).cast("long").alias("Chunk")
+    listed = placed.groupBy(group, chunk).agg(F.sort_array(F.collect_list(F.struct("_id", *values))).alias("_items"))
+    return listed.select(group, "Chunk", F.transform("_items", lambda i: F.struct(*[i[v].alias(v) for v in values])).alias("Items"))
+
+
 def set_per_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """Sorted distinct values per group as a list; for values from a bounded vocabulary."""
     return df.select(group, value).distinct().groupBy(group).agg(

@@ -100,15 +100,16 @@ def drop_undersampled(df: DataFrame, on: bool = True) -> DataFrame:
     return df.filter(~F.col("Undersampled")) if on else df
 
 
-def select_or_all(df: DataFrame, column: str, wanted: Iterable[str]) -> DataFrame:
+def select_or_all(df: DataFrame, column: str, wanted: Iterable[str], values: DataFrame | None = None) -> DataFrame:
     """Rows with the wanted values, or every row when a wanted value does not occur in the data.
 
-    The test is a scalar subquery: at most one row per wanted value is counted.
+    The test is a scalar subquery: at most one row per wanted value is counted. It reads ``values``, a
+    table of all values such as the labels of a summary, where there is one.
     """
     wanted = sorted(set(wanted))
     if not wanted:
         return df
-    found = df.filter(F.col(column).isin(wanted)).agg(F.count_distinct(column)).scalar()
+    found = (df if values is None else values).filter(F.col(column).isin(wanted)).agg(F.count_distinct(column)).scalar()
     return df.filter((found < len(wanted)) | F.col(column).isin(wanted))
 
 

@@ -298,6 +298,33 @@ def timed_out(lines: DataFrame, timing: Timing) -> DataFrame:
     ).distinct()
 
 
+def community_caveats(lines: DataFrame, mapping: DataFrame, timing: Timing | None = None) -> DataFrame:
+    """Taxa that Community mode removes and, with ``timing``, those it sums up for missing years."""
+    notes = message("removed", caveat_text("Not shared by all surveys, removed"), removed_taxa(mapping))
+    if timing is None:
+        return notes
+    return notes.unionByName(message(
+        "time", caveat_text("Not counted every year, summed to a higher taxon"), timed_out(lines, timing)
+    ))
+
+
+def taxa_caveats(lines: DataFrame) -> DataFrame:
+    """Taxa of Taxa mode that some survey does not count."""
+    alone = comparable_taxa(lines).filter("NOT Comparable").withColumn("Taxlifestage", taxlifestage())
+    return message("not comparable", caveat_text("Not counted by all surveys"), alone)
+
+
+def named_targets(df: DataFrame) -> DataFrame:
+    """Add name, type and label to targets of Taxa mode: single taxa and summed groups."""
+    single = F.col("Target_rank") == OWN
+    named = df.withColumns({
+        "Taxname": F.when(single, F.col("Target")).otherwise(F.concat("Target", F.lit("_all"))),
+        "Taxatype": F.when(single, F.lit("Taxon")).otherwise(F.lit("Summed group")),
+    })
+    grouped = F.concat(paste("Taxname", "Lifestage"), F.lit(" ("), F.col("SizeClass"), F.lit(")"))
+    return named.withColumn("Taxlifestage", F.when(single, taxlifestage()).otherwise(grouped))
+
+
 def synthesize(
     catch: DataFrame,
     env: DataFrame,
@@ -337,24 +364,11 @@ def synthesize(
         mapping = stage(with_target_lineages(flagged(community_map(lines, cover), listed)), "targets")
         summed = roll_up(base, mapping, staged.rows).drop("Target_rank", "Target_path").withColumnRenamed("Target", "Taxname")
         data = summed.withColumn("Taxlifestage", taxlifestage())
-        notes = message("removed", caveat_text("Not shared by all surveys, removed"), removed_taxa(mapping))
-        if timed:
-            notes = notes.unionByName(message(
-                "time", caveat_text("Not counted every year, summed to a higher taxon"), timed_out(lines, timing)
-            ))
-        return Synth(attach_env(data, env, columns), notes, mode)
+        return Synth(attach_env(data, env, columns), community_caveats(lines, mapping, timing), mode)
 
     # A lineage maps to itself and to at most one group per rank above species, hence the factor 6.
     targets = stage(with_target_lineages(flagged(group_map(lines, cover).unionByName(own_map(lines)), listed)), "targets")
-    single = F.col("Target_rank") == OWN
-    summed = roll_up(base, targets, staged.rows * 6).withColumns({
-        "Taxname": F.when(single, F.col("Target")).otherwise(F.concat("Target", F.lit("_all"))),
-        "Taxatype": F.when(single, F.lit("Taxon")).otherwise(F.lit("Summed group")),
-    })
-    grouped = F.concat(paste("Taxname", "Lifestage"), F.lit(" ("), F.col("SizeClass"), F.lit(")"))
-    data = summed.withColumn("Taxlifestage", F.when(single, taxlifestage()).otherwise(grouped)).select(
+    data = named_targets(roll_up(base, targets, staged.rows * 6)).select(
         *SAMPLE_KEY, "SizeClass", "Lifestage", "CPUE", "Undersampled", *RANKS, "Taxname", "Taxatype", "Taxlifestage"
     )
-    alone = comparable_taxa(lines).filter("NOT Comparable").withColumn("Taxlifestage", taxlifestage())
-    notes = message("not comparable", caveat_text("Not counted by all surveys"), alone)
-    return Synth(attach_env(data, env, columns), notes, mode)
+    return Synth(attach_env(data, env, columns), taxa_caveats(lines), mode)
