@@ -6,13 +6,13 @@ import re
 
 from pyspark.sql import functions as F
 
-from catalog.registry import ROLL_UP, register, roll_up_sql
+from catalog.registry import ROLL_UP, fixed, register, roll_up_sql
 from surveyloom.functions.missing import paste
 from surveyloom.operators import effort
 from surveyloom.operators import synth as S
 from surveyloom.operators.combine import with_samples
 from surveyloom.operators.filters import SampleFilter, flag_undersampled, select_catch
-from surveyloom.operators.validate import verdict
+from surveyloom.operators.validate import totals_fit, verdict
 from surveyloom.plans.conservation import check_filtered, check_unfiltered
 from surveyloom.schemas import RANKS
 from surveyloom.session import join_lookup
@@ -186,6 +186,31 @@ def conservation_filtered(t):
     return check_filtered(t.catch, t.env)
 
 
+FIT_SQL = """SELECT regr_count(CPUE_com, CPUE_base) AS N, round(regr_intercept(CPUE_com, CPUE_base), 6) + 0.0 AS Intercept,
+ round(regr_slope(CPUE_com, CPUE_base), 6) AS Slope, round(regr_r2(CPUE_com, CPUE_base), 6) AS R2 FROM after FULL JOIN before ON after.SampleID = before.SampleID"""
+
+
+def fitted(totals):
+    return totals_fit(totals).select("N", (F.round("Intercept", 6) + 0.0).alias("Intercept"), fixed("Slope"), fixed("R2"))
+
+
+@register("conservation_fit", ROLL_UP + """,
+after AS (SELECT SampleID, sum(CPUE) AS CPUE_com FROM com GROUP BY SampleID),
+before AS (SELECT SampleID, sum(CPUE) AS CPUE_base FROM fx_catch GROUP BY SampleID)
+""" + FIT_SQL)
+def conservation_fit(t):
+    return fitted(check_unfiltered(t.catch, t.env))
+
+
+@register("conservation_filtered_fit", nested_roll_up() + f""",
+kept AS ({KEPT}),
+after AS (SELECT SampleID, sum(CPUE) AS CPUE_com FROM com GROUP BY SampleID),
+before AS (SELECT SampleID, sum(CPUE) AS CPUE_base FROM kept GROUP BY SampleID)
+""" + FIT_SQL)
+def conservation_filtered_fit(t):
+    return fitted(check_filtered(t.catch, t.env))
+
+
 @register("join_left", """SELECT c.Source, c.SampleID, SizeClass, Taxname, CPUE, Date, Station, Secchi, Tide
  FROM fx_catch c LEFT JOIN fx_env e ON c.SampleID = e.SampleID AND c.Source = e.Source""")
 def join_left(t):

@@ -106,6 +106,35 @@ def size_breaks(t):
     return V.size_breaks(mapped).withColumn("Radius", fixed("Radius"))
 
 
+@register("legend_labels", VIEWS + """,
+m AS (SELECT max(a) AS largest FROM (SELECT avg(CPUE) AS a FROM taxv WHERE Latitude IS NOT NULL AND Longitude IS NOT NULL AND NOT Undersampled GROUP BY Taxlifestage, Year, Latitude, Longitude)),
+b AS (SELECT round_even(x * power(10, 1 - floor(log10(x))), 0) / power(10, 1 - floor(log10(x))) AS br
+ FROM (SELECT largest * unnest([1/3, 2/3, 1.0]) * 1000 AS x FROM m))
+SELECT br AS Break, CASE WHEN br = floor(br) THEN format('{:,}', CAST(br AS BIGINT)) ELSE CAST(br AS VARCHAR) END AS Label FROM b""")
+def legend_labels(t):
+    mapped = V.taxa_map(t.taxa(undersampled=t.listed, env_columns=SPOT).data)
+    return V.legend_labels(V.size_breaks(mapped.withColumn("CPUE", F.col("CPUE") * 1000))).select("Break", "Label")
+
+
+@register("cpue_tooltips", VIEWS + f""",
+v AS (SELECT Taxlifestage, Year, {ZONE_SQL} AS Salinity_zone, avg(CPUE) AS CPUE FROM taxv WHERE SizeClass IN ('Meso') AND SalSurf IS NOT NULL GROUP BY 1, 2, 3)
+SELECT Taxlifestage, Year, Salinity_zone, CAST(row_number() OVER (ORDER BY Taxlifestage NULLS LAST, Year NULLS LAST, Salinity_zone NULLS LAST) AS VARCHAR) AS ID,
+ concat('<table><tr><td>Year &nbsp</td><td>', coalesce(CAST(Year AS VARCHAR), 'NA'), '</td></tr><tr><td>Taxa &nbsp</td><td>', coalesce(Taxlifestage, 'NA'),
+  '</td></tr><tr><td>Salinity &nbsp</td><td>', coalesce(Salinity_zone, 'NA'), '</td></tr><tr><td>CPUE &nbsp</td><td>', CAST(CAST(round_even(CPUE, 0) AS BIGINT) AS VARCHAR), '</td></tr></table>') AS tooltip FROM v""")
+def cpue_tooltips(t):
+    view = V.cpue_by_taxon_year(t.taxa(undersampled=t.listed, env_columns=SPOT).data, ["Meso"], (0.5, 6.0))
+    shown = {"Year": "Year", "Taxa": "Taxlifestage", "Salinity": "Salinity_zone", "CPUE": F.bround("CPUE", 0).cast("long")}
+    return V.with_tooltips(view, shown, ["Taxlifestage", "Year", "Salinity_zone"]).drop("CPUE")
+
+
+@register("sample_count_tooltips", f"""SELECT *, CAST(row_number() OVER (ORDER BY Source, Year, Month) AS VARCHAR) AS ID,
+ concat('<table><tr><td>Year &nbsp</td><td>', Year, '</td></tr><tr><td>Source &nbsp</td><td>', Source, '</td></tr><tr><td>N &nbsp</td><td>', N_samples, '</td></tr></table>') AS tooltip
+ FROM ({COUNTS_SQL})""")
+def sample_count_tooltips(t):
+    counts = V.sample_counts(B.with_samples(t.catch, t.env))
+    return V.with_tooltips(counts, {"Year": "Year", "Source": "Source", "N": "N_samples"}, ["Source", "Year", "Month"])
+
+
 @register("menu_tree", VIEWS + """,
 e AS (SELECT "Group", Taxlifestage, min(Taxatype) AS ty, min(Taxname) AS tn, min(Lifestage) AS ls FROM (
  SELECT CASE WHEN Class = 'Insecta' THEN 'Insecta' WHEN Phylum = 'Arthropoda' AND "Order" IS NOT NULL THEN "Order" ELSE Phylum END AS "Group",

@@ -33,6 +33,16 @@ def tooltip(template: str, *values: Column | str) -> Column:
     return F.format_string(template, *[col(v).cast("string") for v in values])
 
 
+# Fixed value: a row of the tables shown over the charts, as label and value.
+TABLE_ROW = "<tr><td>%s &nbsp</td><td>%s</td></tr>"
+
+
+def tooltip_table(shown: dict[str, Column | str]) -> Column:
+    """Table of labelled values as text; missing ones read NA."""
+    cells = [F.format_string(TABLE_ROW, F.lit(label), F.coalesce(col(v).cast("string"), F.lit("NA"))) for label, v in shown.items()]
+    return F.concat(F.lit("<table>"), *cells, F.lit("</table>"))
+
+
 def italic(c: Column | str, names: Iterable[str]) -> Column:
     """Mark listed names for italic rendering."""
     return F.when(in_set(c, names), F.concat(F.lit("italic('"), col(c), F.lit("')"))).otherwise(col(c))

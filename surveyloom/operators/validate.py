@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.missing import near, not_in, sum_strict
 from surveyloom.operators.combine import totals_before_after, without_listed
+from surveyloom.operators.models import lm_global
 
 
 def sample_totals(df: DataFrame, name: str) -> DataFrame:
@@ -32,6 +33,14 @@ def verdict(totals: DataFrame) -> DataFrame:
     )
 
 
+def totals_fit(totals: DataFrame) -> DataFrame:
+    """Least squares of the totals after on those before: slope 1 and intercept 0 where nothing is lost.
+
+    Samples without one of the totals are left out.
+    """
+    return lm_global(totals, "CPUE_com", "CPUE_base")
+
+
 def offending(totals: DataFrame) -> DataFrame:
     return totals.filter(~F.coalesce(near("CPUE_com", "CPUE_base"), F.lit(False)))
 

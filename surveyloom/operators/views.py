@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions.classes import group_or_name, lump_other, major_group, menu_group, salinity_zone
 from surveyloom.functions.missing import round_even, signif, sum_na_rm
+from surveyloom.functions.text import thousands, tooltip_table
 from surveyloom.operators.filters import drop_undersampled, with_coordinates
 from surveyloom.operators.order import row_ids
 from surveyloom.schemas import LOW_SALINITY_ZONE, MAJOR_GROUPS, RANKS
@@ -124,6 +125,18 @@ def size_breaks(mapped: DataFrame) -> DataFrame:
     )
 
 
+def legend_labels(breaks: DataFrame) -> DataFrame:
+    """Text of every legend entry: whole numbers get thousands separators."""
+    whole = F.col("Break") == F.floor("Break")
+    return breaks.withColumn("Label", F.when(whole, thousands("Break")).otherwise(F.col("Break").cast("string")))
+
+
+def with_tooltips(view: DataFrame, shown: dict[str, Column | str], keys: Iterable[str]) -> DataFrame:
+    """Add ``ID``, the row's number in the order of ``keys`` as text, and ``tooltip``, a table of labelled values."""
+    numbered = row_ids(view.withColumn("tooltip", tooltip_table(shown)), keys)
+    return numbered.withColumn("ID", F.col("ID").cast("string"))
+
+
 def marker_radius(mapped: DataFrame) -> DataFrame:
     """Marker radius of every map point, square-root scaled to the largest CPUE."""
     largest = mapped.agg(F.max("CPUE")).scalar()

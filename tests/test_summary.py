@@ -7,6 +7,7 @@ from surveyloom.operators import filters as R
 from surveyloom.operators import summary as M
 from surveyloom.operators import views as V
 from surveyloom.operators.synth import synthesize
+from surveyloom.operators.validate import totals_fit
 from surveyloom.schemas import ENV
 from tests.conftest import plan, rows
 
@@ -78,3 +79,19 @@ def test_chunks_bound_lists_and_keep_their_order(spark):
         assert [v for c in sorted(chunks) for v in chunks[c]] == want
     assert set(got) == {g for g, _ in pairs}
     assert B.list_chunks(df.limit(0), "g", ["v"]).count() == 0
+
+
+def test_tooltips_and_legends(spark):
+    view = spark.createDataFrame([("b", 2000, 2.5), ("a", None, 3.5), (None, 1999, None)], "t string, y int, c double")
+    out = V.with_tooltips(view, {"Year": "y", "CPUE": F.bround("c", 0).cast("long")}, ["t", "y"])
+    cell = "<tr><td>{} &nbsp</td><td>{}</td></tr>".format
+    table = lambda year, n: "<table>" + cell("Year", year) + cell("CPUE", n) + "</table>"
+    assert rows(out, "t", "ID", "tooltip") == sorted([("a", "1", table("NA", 4)), ("b", "2", table(2000, 2)), (None, "3", table(1999, "NA"))], key=repr)
+    breaks = spark.createDataFrame([(1200000.0, 22.0), (0.33, 7.0), (None, None)], "Break double, Radius double")
+    assert rows(V.legend_labels(breaks), "Label") == sorted([("1,200,000",), ("0.33",), (None,)], key=repr)
+
+
+def test_fit_of_totals(spark):
+    totals = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (5.0, 5.0), (None, 3.0)], "CPUE_com double, CPUE_base double")
+    fit = totals_fit(totals).first()
+    assert (fit["N"], round(fit["Slope"], 9), abs(round(fit["Intercept"], 9)), round(fit["R2"], 9)) == (3, 1, 0, 1)
