@@ -182,3 +182,9 @@ def test_crop_to_box(spark):
     points = spark.createDataFrame([(1, 1.0, 1.0), (2, 5.0, 5.0)], "id int, Latitude double, Longitude double")
     frame = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0)], "Latitude double, Longitude double")
     assert rows(N.crop_to(points, frame), "id") == [(1,)]
+
+
+def test_unrolled_side_is_not_broadcast(spark):
+    frames = make(spark, cloud(1, 30, 38, -122, 0.01), cloud(2, 120, 38, -122, 0.005))
+    executed = plan(N.pairs_within(*frames, N.Limits(2, 15, 1))).split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" in executed and "Broadcast" not in executed
