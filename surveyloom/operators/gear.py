@@ -59,7 +59,8 @@ def gear_proportion(rows: DataFrame) -> DataFrame:
 
 def pivot_gear(rows: DataFrame, a: str = "Meso", b: str = "Micro") -> DataFrame:
     """Log CPUE of both gears side by side per sample and taxon."""
-    wide = rows.groupBy(*SAMPLE_KEY, "Taxlifestage").pivot("SizeClass", [a, b]).agg(F.sum("CPUE"))
+    # One aggregate of two sums; a pivot would aggregate by size class first and hold both.
+    wide = rows.groupBy(*SAMPLE_KEY, "Taxlifestage").agg(*[F.sum(F.when(F.col("SizeClass") == g, F.col("CPUE"))).alias(g) for g in (a, b)])
     return wide.select(*SAMPLE_KEY, "Taxlifestage", F.log1p(a).alias(f"{a}_l"), F.log1p(b).alias(f"{b}_l"))
 
 

@@ -206,3 +206,10 @@ def test_comparable_rows_read_the_catches_once(spark, tmp_path):
     out = A.comparable_rows(spark.read.parquet(str(tmp_path / "catch")))
     assert rows(out, "SampleID", "SizeClass") == [("1", "Meso"), ("1", "Micro")]
     assert str(tmp_path / "catch") not in plan(out)
+
+
+def test_pivot_of_gears_is_one_aggregate(spark):
+    data = [("A", "a", "t", "Meso", 1.0), ("A", "a", "t", "Meso", 2.0), ("A", "a", "t", "Micro", None), (None, "b", "t", "Macro", 1.0)]
+    wide = A.pivot_gear(spark.createDataFrame(data, "Source string, SampleID string, Taxlifestage string, SizeClass string, CPUE double"))
+    assert "pivotfirst" not in plan(wide)
+    assert {r["SampleID"]: (r["Meso_l"], r["Micro_l"]) for r in wide.collect()} == {"a": (math.log1p(3.0), None), "b": (None, None)}
