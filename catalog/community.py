@@ -163,7 +163,7 @@ both_ AS (SELECT coalesce(abs(CPUE_com - CPUE_base) < greatest(1.5e-8, 1e-9 * gr
  FROM after FULL JOIN before ON after.SampleID = before.SampleID)
 SELECT count(*) AS N_samples, count(*) FILTER (NOT same) AS N_differ, bool_and(same) AS Conserved FROM both_""")
 def conservation(t):
-    return verdict(check_unfiltered(t.catch, t.env))
+    return verdict(check_unfiltered(t.written_catch(), t.env))
 
 
 KEPT = """SELECT c.* FROM fx_catch c ANTI JOIN (SELECT DISTINCT SizeClass, Taxname, Lifestage FROM tgt0 WHERE target IS NULL) g
@@ -183,7 +183,7 @@ before AS (SELECT SampleID, sum(CPUE) AS CPUE_base FROM kept GROUP BY SampleID)
 SELECT coalesce(after.SampleID, before.SampleID) AS SampleID, CPUE_com, CPUE_base
  FROM after FULL JOIN before ON after.SampleID = before.SampleID""")
 def conservation_filtered(t):
-    return check_filtered(t.catch, t.env)
+    return check_filtered(t.written_catch(), t.env)
 
 
 FIT_SQL = """SELECT regr_count(CPUE_com, CPUE_base) AS N, round(regr_intercept(CPUE_com, CPUE_base), 6) + 0.0 AS Intercept,
@@ -199,7 +199,7 @@ after AS (SELECT SampleID, sum(CPUE) AS CPUE_com FROM com GROUP BY SampleID),
 before AS (SELECT SampleID, sum(CPUE) AS CPUE_base FROM fx_catch GROUP BY SampleID)
 """ + FIT_SQL)
 def conservation_fit(t):
-    return fitted(check_unfiltered(t.catch, t.env))
+    return fitted(check_unfiltered(t.written_catch(), t.env))
 
 
 @register("conservation_filtered_fit", nested_roll_up() + f""",
@@ -208,7 +208,7 @@ after AS (SELECT SampleID, sum(CPUE) AS CPUE_com FROM com GROUP BY SampleID),
 before AS (SELECT SampleID, sum(CPUE) AS CPUE_base FROM kept GROUP BY SampleID)
 """ + FIT_SQL)
 def conservation_filtered_fit(t):
-    return fitted(check_filtered(t.catch, t.env))
+    return fitted(check_filtered(t.written_catch(), t.env))
 
 
 @register("join_left", """SELECT c.Source, c.SampleID, SizeClass, Taxname, CPUE, Date, Station, Secchi, Tide

@@ -224,3 +224,17 @@ def test_catches_are_read_once_before_the_sum(spark, tmp_path, monkeypatch):
         out = S.synthesize(stored, env, mode, env_columns=(), undersampled=lambda lines: lines, time_consistency=True).data
         scans = lambda text: text.count(str(tmp_path / "catch"))
         assert sum(map(scans, plans)) == 1 and scans(plan(out).split("== Physical Plan ==")[1]) == 1
+
+
+def test_catches_move_once_for_sums_and_sample_columns(spark, monkeypatch):
+    catch, env = frames(spark, TWO)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = S.synthesize(catch, env, "Taxa", env_columns=["Year", "CPUE", "Taxname"]).data
+        # One exchange of the catches and one of the samples, neither with a name of a taxon.
+        executed = plan(out).split("== Physical Plan ==")[1]
+        assert executed.count("Exchange hashpartitioning") == 2
+        assert rows(out, "SampleID", "Taxname", "CPUE", "Year")[:3] == [("a1", "C_all", 12.0, 2000), ("a1", "F_all", 12.0, 2000), ("a1", "O_all", 12.0, 2000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
