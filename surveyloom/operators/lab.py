@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,11 +73,8 @@ def fill_down(df: DataFrame, keys: Iterable[str], order: str, column: str, name:
     )
 
 
-def block_rows(cells: DataFrame, layout: SheetLayout) -> DataFrame:
-    """Rows (line, taxon, count, subsample) of all blocks, one below the other, blank rows dropped.
-
-    A sheet yields at most the rows its layout declares, whatever the table's size.
-    """
+def block_lines(cells: DataFrame, layout: SheetLayout) -> DataFrame:
+    """Cells of all blocks with their line, blocks one below the other, and the column their value is of."""
     row, column = F.col("row"), F.col("col")
     line, picked = F.lit(None), {"taxon": F.lit(None), "count": F.lit(None), "subsample": F.lit(None)}
     for i, block in enumerate(layout.blocks):
@@ -86,8 +84,15 @@ def block_rows(cells: DataFrame, layout: SheetLayout) -> DataFrame:
         picked = {
             name: F.when(inside & (column == at[name]), F.col("value")).otherwise(rest) for name, rest in picked.items()
         }
-    rows = cells.select(*SHEET, line.alias("line"), *[c.alias(n) for n, c in picked.items()]).filter("line IS NOT NULL")
-    return drop_blank(rows.groupBy(*SHEET, "line").agg(
+    return cells.select(*SHEET, line.alias("line"), *[c.alias(n) for n, c in picked.items()]).filter("line IS NOT NULL")
+
+
+def block_rows(cells: DataFrame, layout: SheetLayout) -> DataFrame:
+    """Rows (line, taxon, count, subsample) of all blocks, one below the other, blank rows dropped.
+
+    A sheet yields at most the rows its layout declares, whatever the table's size.
+    """
+    return drop_blank(block_lines(cells, layout).groupBy(*SHEET, "line").agg(
         F.max("taxon").alias("taxon"), number(F.max("count")).alias("count"), number(F.max("subsample")).alias("subsample")
     ), ["taxon", "count", "subsample"])
 
@@ -126,8 +131,16 @@ def first_usable(row: int, first: int, last: int) -> Column:
     return F.when(F.coalesce(F.sum(value), F.lit(0.0)) != 0, leading)
 
 
+def header_cells(cells: DataFrame, layout: SheetLayout) -> DataFrame:
+    """The cells that a header is read from, so that those of the blocks are not moved for it."""
+    spans = [layout.date, *layout.amounts.values(), *[(row, col, col) for row, col in (layout.sample, layout.time)]]
+    return cells.filter(reduce(lambda a, b: a | b, [
+        (F.col("row") == row) & F.col("col").between(first, last) for row, first, last in dict.fromkeys(spans)
+    ]))
+
+
 def sheet_headers(cells: DataFrame, layout: SheetLayout) -> DataFrame:
-    """Sample, date, time and amounts of every sheet, from one aggregate over its cells."""
+    """Sample, date, time and amounts of every sheet with header cells, from one aggregate over them."""
     def cell(row: int, column: int) -> Column:
         return F.max(F.when((F.col("row") == row) & (F.col("col") == column), F.col("value")))
 
@@ -135,7 +148,7 @@ def sheet_headers(cells: DataFrame, layout: SheetLayout) -> DataFrame:
     digits = F.concat(*[
         F.coalesce(number(cell(row, c)).cast("int").cast("string"), F.lit("NA")) for c in range(first, last + 1)
     ])
-    return cells.groupBy(*SHEET).agg(
+    return header_cells(cells, layout).groupBy(*SHEET).agg(
         underscored(cell(*layout.sample)).alias("sample"),
         parse_date(digits, "MMddyyyy").alias("date"),
         F.date_format(F.try_to_timestamp(cell(*layout.time)), "HH:mm").alias("time"),
@@ -144,7 +157,7 @@ def sheet_headers(cells: DataFrame, layout: SheetLayout) -> DataFrame:
 
 
 def lab_rows(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame:
-    """Tidy rows of every sheet that has counts; the cells of a sheet are brought together once."""
+    """Tidy rows of every sheet that has counts; every cell of a block or a header is moved once."""
     cells = cells.repartition(*SHEET)
     tidy = categorised(counted_rows(cells, layout)).join(sheet_headers(cells, layout), list(SHEET), "left")
     return tidy.fillna(0.0, ["count", "subsample"]).select(
@@ -156,8 +169,9 @@ def lab_rows(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame
 def lab_warnings(cells: DataFrame, layout: SheetLayout = SheetLayout()) -> DataFrame:
     """(workbook, sheet, field) of amounts that are blank or zero on sheets with counts."""
     cells = cells.repartition(*SHEET)
-    totals = block_rows(cells, layout).groupBy(*SHEET).agg(F.sum("count").alias("_total"))
-    with_counts = totals.filter("_total <> 0").select(*SHEET)
-    headers = sheet_headers(cells, layout).join(with_counts, list(SHEET), "left_semi")
+    # The counts alone tell which sheets have some; a sheet without a header cell lacks every amount.
+    counts = block_lines(cells, layout).filter("count IS NOT NULL").groupBy(*SHEET, "line").agg(number(F.max("count")).alias("count"))
+    with_counts = counts.groupBy(*SHEET).agg(F.sum("count").alias("_total")).filter("_total <> 0").select(*SHEET)
+    headers = with_counts.dropna().join(sheet_headers(cells, layout), list(SHEET), "left")
     blank = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in layout.amounts]))
     return headers.select(*SHEET, F.explode(blank).alias("field"))

@@ -95,3 +95,17 @@ def test_prefix_ranges_equal_brute_force(spark):
         assert rows(resolve_taxa(asked, frame, accepted)) == sorted(want, key=repr)
     assert resolve_taxa(asked, frame.limit(0)).filter("match = 'found'").count() == 0
     assert resolve_taxa(asked.limit(0), frame).count() == 0
+
+
+def test_headers_are_read_from_header_cells_only(spark):
+    at = lambda sheet, row, col, value: ("w.xlsx", sheet, row, col, value)
+    bare = [at("s3", 20, 1, "Acartia"), at("s3", 20, 9, "4"), at(None, 20, 1, "Acartia"), at(None, 20, 9, "4"), at(None, 9, 14, "0")]
+    both = cells(spark).union(spark.createDataFrame(bare, LAB_CELLS))
+    assert L.header_cells(both, L.SheetLayout()).filter("sheet = 's1'").count() == 14
+    assert L.header_cells(both, L.SheetLayout()).filter("row >= 18").count() == 0
+    assert rows(L.lab_warnings(both), "sheet", "field") == [
+        ("s1", "sub1_ml"), ("s3", "sub1_ml"), ("s3", "sub2_ml"), ("s3", "v1_ml"), ("s3", "v2_ml")
+    ]
+    assert rows(L.lab_rows(both).filter("sheet IS NULL OR sheet = 's3'"), "sheet", "taxon", "sample", "v1_ml") == [
+        ("s3", "Acartia", None, None), (None, "Acartia", None, None)
+    ]
