@@ -238,3 +238,14 @@ def test_catches_move_once_for_sums_and_sample_columns(spark, monkeypatch):
         assert rows(out, "SampleID", "Taxname", "CPUE", "Year")[:3] == [("a1", "C_all", 12.0, 2000), ("a1", "F_all", 12.0, 2000), ("a1", "O_all", 12.0, 2000)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sums_are_spread_by_their_rows(spark, monkeypatch):
+    catch, env = frames(spark, random_catches(6))
+    assert S.stage_lineages(catch).catches == S.stage_lineages(catch, False).catches == 250
+    want = {m: rows(S.synthesize(catch, env, m, env_columns=()).data) for m in ("Community", "Taxa")}
+    monkeypatch.setattr(S, "SUM_ROWS", 10)
+    for mode, tasks in (("Community", 25), ("Taxa", 150)):
+        data = S.synthesize(catch, env, mode, env_columns=()).data
+        # Few bytes move, yet the tasks of the sums are not merged.
+        assert data.rdd.getNumPartitions() == tasks and rows(data) == want[mode]
