@@ -1,17 +1,17 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field that adds spans.
 
-The field tags the pieces of words as begin, inside or outside of a secret from their shape, the
-neighbouring pieces and words, and features of the whole file, and is decoded by Viterbi. Words
-without a digit and without any of ``=_+/`` are outside by definition (a constraint of the model),
-so the tags on both sides of them do not depend on each other and only the words between need to be
-tagged: that is the exact decoding of the whole text. The field learns from the spans of the fixed
-patterns in a sample of documents whose bound is a parameter.
+The field tags every piece of a text, words of plain letters included, as begin, inside or outside of a
+secret from its shape, the neighbouring pieces and features of the whole file. A text is one sequence
+and is decoded exactly by Viterbi: many blocks of a slice of texts at once, each from every tag that may
+stand before it, then joined in order. The field learns from the spans of the fixed patterns in a sample
+of documents whose bound is a parameter.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from surveyloom.llm.common import map_batches
+from surveyloom.llm.common import CACHES, map_batches
 
 # The kinds of the base patterns in their order, and the least length of each.
 KINDS = ("assign", "access", "hex")
@@ -32,17 +32,20 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Kind of the spans that the field adds.
 ADDED = "model"
 
-# Documents the field learns from (expected number), and the sequences taken of each sort.
+# Documents the field learns from (expected number), and the tiles taken of each sort.
 SAMPLE_DOCUMENTS = 20_000
 SEQUENCES = 6_000
 STEPS, RATE, PENALTY = 150, 0.1, 1e-3
 
 BEGIN, INSIDE, OUTSIDE = range(3)
 MARK = re.compile(r"[0-9=_+/]")
-SPACE = " \t\n\v\f\r"
-PIECE = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
-# A word's pieces beyond this many are tagged in runs of this length.
-LONGEST = 400
+# A piece is a run of letters and digits or another single character; white space parts words only.
+PIECE = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9 \t\n\v\f\r]")
+TOKEN = re.compile(r"[A-Za-z0-9]+|[ \t\n\v\f\r]+|[^A-Za-z0-9]")
+# The field learns from tiles of this many pieces, longer only so as not to cut a span, and at most ``LONGEST``.
+TILE, LONGEST = 32, 64
+# Pieces of a block that is decoded beside the others, and the score of what cannot be.
+BLOCK, NEVER = 256, -1e12
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -57,22 +60,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def sequences(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of adjacent marked words, each a list of piece bounds."""
-    runs, end, at = [], -1, MARK.search(text)
-    while at:
-        start = at.start()
-        while start and text[start - 1] not in SPACE:
-            start -= 1
-        stop = at.end()
-        while stop < len(text) and text[stop] not in SPACE:
-            stop += 1
-        pieces = [(start + m.start(), start + m.end()) for m in PIECE.finditer(text[start:stop])]
-        if end >= 0 and len(runs[-1]) + len(pieces) <= LONGEST and not text[end:start].strip(SPACE):
-            runs[-1] += pieces
-        else:
-            runs += [pieces[k:k + LONGEST] for k in range(0, len(pieces), LONGEST)]
-        end, at = stop, MARK.search(text, stop)
-    return runs
+    """The bounds of all pieces of a text, as its one sequence; none of a text without pieces."""
+    pieces = [m.span() for m in PIECE.finditer(text)]
+    return [pieces] if pieces else []
 
 
 def shape(piece: str) -> str:
@@ -84,47 +74,90 @@ def shape(piece: str) -> str:
     return f"{'9' * digit}{'a' * lower}{'A' * upper}:{min(5, int(math.log2(len(piece))))}:{min(3, turns)}"
 
 
-def features(text: str, run: list[tuple[int, int]], file: list[str]) -> list[list[str]]:
-    """Names of the features that hold for each piece of a run."""
-    shapes = [shape(text[a:b]) for a, b in run]
-    start = run[0][0]
-    before = text[max(0, start - 24):start].lower().split()
-    after = text[run[-1][1]:run[-1][1] + 24].lower().split()
-    words = [text[a:b].lower() for a, b in run]
+def own_features(piece: str) -> tuple[str, ...]:
+    """Features of a piece that depend on nothing but itself, its shape first."""
+    own, word = [f"s {shape(piece)}"], piece.lower()
+    if len(word) >= 8 and set(word) <= set("0123456789abcdef"):
+        own.append(f"hex {min(4, len(word) // 8)}")
+    if piece[:4] == "AKIA":
+        own.append("akia")
+    return tuple(own)
+
+
+def features(text: str, run: list[tuple[int, int]], file: list[str], start: int = 0, stop: int | None = None) -> list[list[str]]:
+    """Names of the features that hold for the pieces ``start`` to ``stop`` of a text's sequence."""
+    stop = len(run) if stop is None else stop
+    near = range(max(0, start - 4), min(len(run), stop + 1))
+    words = {k: text[slice(*run[k])] for k in near}
+    owns = {k: own_features(w) for k, w in words.items()}
+    named = {k: [w for w in KEYWORDS if w in words[k].lower()] for k in near}
     out = []
-    for k, (a, b) in enumerate(run):
-        own = ["bias", f"s {shapes[k]}", *file]
-        own.append(f"p {shapes[k - 1] if k else 'start'}")
-        own.append(f"n {shapes[k + 1] if k + 1 < len(run) else 'end'}")
-        near = words[max(0, k - 4):k] + (before[-1:] if k < 4 else [])
-        own += [f"k {w}" for w in KEYWORDS if any(w in x for x in near)]
-        if set(words[k]) <= set("0123456789abcdef") and b - a >= 8:
-            own.append(f"hex {min(4, (b - a) // 8)}")
-        if text[a:a + 4] == "AKIA":
-            own.append("akia")
-        if k == 0 and before and before[-1][-1] in ":=":
-            own.append("after sign")
-        if k == len(run) - 1 and after and not after[0][0].isalnum():
-            own.append("before sign")
+    for k in range(start, stop):
+        own = ["bias", *owns[k], *file]
+        own.append("p" + owns[k - 1][0][1:] if k else "p start")
+        own.append("n" + owns[k + 1][0][1:] if k + 1 < len(run) else "n end")
+        before = {w for j in range(max(0, k - 4), k) for w in named[j]}
+        own += [f"k {w}" for w in KEYWORDS if w in before]
         out.append(own)
     return out
 
 
 def file_features(text: str, marks: int) -> list[str]:
-    """How dense the marked runs are in the file, and whether it looks like settings or code."""
+    """How dense the pieces with digits or signs are in the file, and whether it looks like settings or code."""
     density = int(math.log2(1 + 1000 * marks / (len(text) + 1)))
     return [f"file marks {min(6, density)}", f"file code {('{' in text) + ('=' in text)}"]
 
 
 def tags_of(run: list[tuple[int, int]], spans: list[tuple[str, int, int]]) -> list[int]:
-    tags, last = [], None
+    tags, last, ended = [], None, 0
     for a, b in run:
-        inside = next(((s, e) for _, s, e in spans if a < e and b > s), None)
+        while ended < len(spans) and spans[ended][2] <= a:
+            ended += 1
+        inside = None
+        for k in range(ended, len(spans)):
+            if spans[k][1] >= b:
+                break
+            if spans[k][2] > a:
+                inside = spans[k][1:]
+                break
         tags.append(OUTSIDE if inside is None else INSIDE if inside == last else BEGIN)
         last = inside
     return tags
 
 
+def tiles(tags: list[int]) -> list[tuple[int, int]]:
+    """Bounds of a sequence's tiles; a span is not cut, unless it is longer than a tile may be."""
+    out, start = [], 0
+    while start < len(tags):
+        stop = min(start + TILE, len(tags))
+        while stop < len(tags) and tags[stop] == INSIDE:
+            stop += 1
+        out.append((start, stop))
+        start = stop
+    return out
+
+
+# Features of pieces met in a task: the row of its tables that a token has, or -1 for white space.
+TOKENS: dict[str, int] = {}
+KINDS_OF: dict[tuple, int] = {}
+CACHES += [TOKENS, KINDS_OF]
+REMEMBERED = 200_000
+
+
+def kind_of(token: str) -> int:
+    """Number of the features that a token has by itself; tokens of equal features share it."""
+    found = TOKENS.get(token)
+    if found is None:
+        if token[0] in " \t\n\v\f\r":
+            found = -1
+        else:
+            named = tuple(w in token.lower() for w in KEYWORDS)
+            found = KINDS_OF.setdefault((own_features(token), named, bool(MARK.search(token))), len(KINDS_OF))
+        if len(TOKENS) < REMEMBERED and len(token) <= 64:
+            TOKENS[token] = found
+    return found
+
+
 class Field:
     """Weights of a linear-chain conditional random field over begin, inside and outside."""
 
@@ -150,10 +183,109 @@ class Field:
             tags.append(int(step[tags[-1]]))
         return tags[::-1]
 
+    def weight(self, name: str) -> np.ndarray:
+        return self.emit[self.names[name]] if name in self.names else np.zeros(3)
+
+    def texts_scores(self, kinds: np.ndarray, first: np.ndarray, files: list[np.ndarray]) -> np.ndarray:
+        """What ``scores`` gives for whole texts in a row: kinds of all pieces, and whether each starts a text."""
+        table = list(KINDS_OF)
+        own = np.array([self.weight("bias") + sum(self.weight(f) for f in k[0]) for k in table])
+        before = np.array([self.weight("p" + k[0][0][1:]) for k in table])
+        behind = np.array([self.weight("n" + k[0][0][1:]) for k in table])
+        last, text = np.append(first[1:], True), np.cumsum(first) - 1
+        emit = own[kinds] + np.array(files)[text]
+        emit[1:] += before[kinds[:-1]] * ~first[1:, None]
+        emit[first] += self.weight("p start")
+        emit[:-1] += behind[kinds[1:]] * ~last[:-1, None]
+        emit[last] += self.weight("n end")
+        named = np.array([k[1] for k in table])
+        at = np.flatnonzero(named.any(1)[kinds])
+        if len(at):
+            near = np.zeros((len(kinds) + 4, len(KEYWORDS)), bool)
+            text = np.concatenate([text, np.full(4, -1)])
+            for step in range(1, 5):
+                same = at[text[at + step] == text[at]]
+                near[same + step] |= named[kinds[same]]
+            hit = np.flatnonzero(near.any(1))
+            emit[hit] += near[hit] @ np.array([self.weight(f"k {w}") for w in KEYWORDS])
+        return emit
+
+    def decode_texts(self, emit: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """What ``decode`` gives for every text of a row of texts, whose first pieces are marked."""
+        n, blocks = len(emit), -(-len(emit) // BLOCK)
+        padded = np.zeros((blocks * BLOCK, 3))
+        padded[:n] = emit
+        starts = np.ones(blocks * BLOCK, bool)
+        starts[:n] = first
+        padded, starts = padded.reshape(blocks, BLOCK, 3), starts.reshape(blocks, BLOCK)
+        # best[c][s, b]: the best score of block b so far that ends in tag c, if tag s stands before the block.
+        best = [np.where(np.arange(3)[:, None] == c, 0.0, NEVER) + np.zeros((3, blocks)) for c in range(3)]
+        back = np.empty((BLOCK, 3, 3, blocks), np.int8)
+        for t in range(BLOCK):
+            fresh, new = starts[:, t], []
+            for c in range(3):
+                opening = NEVER if c == INSIDE else 0.0
+                ways = [best[p] + np.where(fresh, opening, self.move[p, c]) for p in range(3)]
+                way = (ways[1] > ways[0]).astype(np.int8)
+                top = np.maximum(ways[0], ways[1])
+                later = ways[2] > top
+                way[later] = 2
+                back[t, c] = way
+                new.append(np.maximum(top, ways[2]) + padded[:, t, c])
+            best = new
+        whole = np.stack(best).transpose(2, 1, 0)
+        ahead, before = np.zeros(3), np.empty((blocks, 3), np.int8)
+        for b in range(blocks):
+            ways = ahead[:, None] + whole[b]
+            before[b] = ways.argmax(0)
+            ahead = ways.max(0)
+            ahead -= ahead.max()
+        ends, tag = np.empty(blocks, np.int8), int(ahead.argmax())
+        for b in range(blocks - 1, -1, -1):
+            ends[b], tag = tag, before[b, tag]
+        every = np.arange(blocks)
+        source, tags = before[every, ends], np.empty((blocks, BLOCK), np.int8)
+        for t in range(BLOCK - 1, -1, -1):
+            tags[:, t] = ends
+            ends = back[t, ends, source, every]
+        return tags.reshape(-1)[:n]
+
+    def find(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        """Bounds of the spans that the field finds in every text, all of it decoded."""
+        kinds, bounds, counts = [], [], []
+        for text in texts:
+            tokens = TOKEN.findall(text)
+            kind = np.fromiter(map(kind_of, tokens), np.int32, len(tokens))
+            ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+            piece = np.flatnonzero(kind >= 0)
+            kinds.append(kind[piece])
+            bounds.append(np.stack([ends[piece - 1] * (piece > 0), ends[piece]], 1))
+            counts.append(len(piece))
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        if not sum(counts):
+            return out
+        marked = np.array([k[2] for k in KINDS_OF])
+        files = [
+            sum(map(self.weight, file_features(text, int(marked[kind].sum()))))
+            for text, kind in zip(texts, kinds) if len(kind)
+        ]
+        kinds, counts = np.concatenate(kinds), np.array(counts)
+        first = np.zeros(len(kinds), bool)
+        first[(np.cumsum(counts) - counts)[counts > 0]] = True
+        tags = self.decode_texts(self.texts_scores(kinds, first, files), first)
+        bounds, owner = np.concatenate(bounds), np.repeat(np.arange(len(texts)), counts)
+        for k in np.flatnonzero(tags != OUTSIDE).tolist():
+            found, (a, b) = out[owner[k]], bounds[k].tolist()
+            if tags[k] == BEGIN:
+                found.append((a, b))
+            else:
+                found[-1] = (found[-1][0], b)
+        return out
+
 
 def fit(examples: list[tuple[list[list[str]], list[int]]]) -> Field:
     """Maximum-likelihood weights by full-batch Adam steps on padded sequences."""
-    examples = [(f, t) for f, t in examples if len(f) <= 64] or [([["bias"]], [OUTSIDE])]
+    examples = [(f, t) for f, t in examples if len(f) <= LONGEST] or [([["bias"]], [OUTSIDE])]
     names: dict[str, int] = {}
     for feats, _ in examples:
         for own in feats:
@@ -213,7 +345,7 @@ def fit(examples: list[tuple[list[list[str]], list[int]]]) -> Field:
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: int = SAMPLE_DOCUMENTS, sequences_each: int = SEQUENCES) -> Field:
     """Fit the field on documents drawn by a hash of key and text, expected ``documents`` of them.
 
-    At most ``sequences_each`` sequences with base spans and as many without are used.
+    At most ``sequences_each`` tiles with base spans and as many without are used.
     """
     count = docs.count()
     draw = F.pmod(F.xxhash64(key, text, F.lit("crf")), F.lit(1 << 40))
@@ -222,12 +354,19 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: i
     def work(columns: list[list]) -> list:
         out, labelled = [], []
         for value in columns[0]:
-            spans, runs = base_spans(value), sequences(value)
-            file = file_features(value, len(runs))
-            for run in runs:
+            spans, own, flags = base_spans(value), [], []
+            for run in sequences(value):
                 tags = tags_of(run, spans)
-                out.append([f"{t}\x1e" + "\x1f".join(own) for t, own in zip(tags, features(value, run, file))])
-                labelled.append(any(t != OUTSIDE for t in tags))
+                marks = [bool(MARK.search(value, a, b)) for a, b in run]
+                file, cuts = file_features(value, sum(marks)), tiles(tags)
+                # Of the tiles without signs and digits one is enough, as all are alike.
+                plain = zlib.crc32(value.encode("utf-8", "replace")) % len(cuts)
+                for k, (a, b) in enumerate(cuts):
+                    if b - a <= LONGEST and (k == plain or any(marks[a:b])):
+                        own.append([f"{t}\x1e" + "\x1f".join(f) for t, f in zip(tags[a:b], features(value, run, file, a, b))])
+                        flags.append(any(t != OUTSIDE for t in tags[a:b]))
+            out += own
+            labelled += flags
         return [out, labelled]
 
     found = map_batches(drawn.select(text), work, "run array<string>, labelled boolean", text)
@@ -253,24 +392,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", field: Field
     types = [f.type for f in to_arrow_schema(source.schema)]
 
     def work(columns: list[list]) -> list:
-        found = []
-        for value in columns[1]:
-            value = value or ""
-            spans, runs = base_spans(value), sequences(value)
-            added = []
-            if runs:
-                file = file_features(value, len(runs))
-                for run in runs:
-                    at = None
-                    for tag, (a, b) in zip(field.decode(features(value, run, file)), run):
-                        if tag == BEGIN or tag == INSIDE and at is None:
-                            at = len(added)
-                            added.append([a, b])
-                        elif tag == INSIDE:
-                            added[at][1] = b
-                        else:
-                            at = None
-            spans += [(ADDED, a, b) for a, b in added if not any(a < e and b > s for _, s, e in spans)]
+        texts, found = [value or "" for value in columns[1]], []
+        for value, more in zip(texts, field.find(texts)):
+            spans = base_spans(value)
+            spans += [(ADDED, a, b) for a, b in more if not any(a < e and b > s for _, s, e in spans)]
             spans.sort(key=lambda s: (s[1], (*KINDS, ADDED).index(s[0])))
             found.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
         return [*(pa.array(c, t) for c, t in zip(columns, types)), found]

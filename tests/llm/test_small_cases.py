@@ -287,6 +287,39 @@ def test_field_learns_what_the_patterns_do_not_name():
     assert found >= 18
 
 
+def test_whole_texts_are_tagged_and_decoded_as_one_sequence():
+    draw = random.Random(7)
+    alphabet = ["plain", "letters", "qwertyuiopasdfgh", "token", "=", "3f9a77c1d2", "AKIA77", "\u00e9", "x1_y", ", ", " ", "\n", "/", "{"]
+    texts = ["", " \t", "one", " a1 ", *("".join(draw.choices(alphabet, k=k)) for k in (3, 20, 300, 1200, 5, 2000))]
+    texts += [" ".join(f"key={hashlib.md5(bytes([k])).hexdigest()[:18]}" for k in range(200))]
+    for t in texts:
+        runs = secret_scan.sequences(t)
+        assert len(runs) <= 1 and "".join(t[a:b] for run in runs for a, b in run) == re.sub(r"[ \t-\r]", "", t)
+    # Secrets made of plain letters, which no pattern and no digit names.
+    plain = [f"{prose(k, 3)} user wrote secret: {''.join(draw.choices('qwertyuiopasdfgh', k=20))} {prose(k + 1, 3)}" for k in range(60)]
+    examples = []
+    for t in [*plain[:40], *texts]:
+        for run in secret_scan.sequences(t):
+            spans = [("assign", m.start(1), m.end(1)) for m in re.finditer("secret: ([a-z]+)", t)]
+            tags = secret_scan.tags_of(run, spans)
+            for a, b in secret_scan.tiles(tags):
+                examples.append((secret_scan.features(t, run, ["file"], a, b), tags[a:b]))
+    field = secret_scan.fit(examples)
+    got = field.find([*texts, *plain])
+    for t, found in zip([*texts, *plain], got):
+        want = []
+        for run in secret_scan.sequences(t):
+            file = secret_scan.file_features(t, sum(bool(secret_scan.MARK.search(t, a, b)) for a, b in run))
+            for tag, (a, b) in zip(field.decode(secret_scan.features(t, run, file)), run):
+                if tag == secret_scan.BEGIN:
+                    want.append((a, b))
+                elif tag == secret_scan.INSIDE:
+                    want[-1] = (want[-1][0], b)
+        assert found == want
+    secrets = [[re.search("secret: ([a-z]+)", t).span(1)] for t in plain[40:]]
+    assert sum(a == b for a, b in zip(got[-20:], secrets)) >= 18
+
+
 def test_repeats(spark, docs, none):
     first, words = {}, [(d, repeats.split_words(t)) for d, t in TEXTS]
     for d, w in words:
