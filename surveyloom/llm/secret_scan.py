@@ -284,30 +284,38 @@ class Field:
 
 
 def fit(examples: list[tuple[list[list[str]], list[int]]]) -> Field:
-    """Maximum-likelihood weights by full-batch Adam steps on padded sequences."""
+    """Maximum-likelihood weights by full-batch Adam steps."""
     examples = [(f, t) for f, t in examples if len(f) <= LONGEST] or [([["bias"]], [OUTSIDE])]
     names: dict[str, int] = {}
     for feats, _ in examples:
         for own in feats:
             for f in own:
                 names.setdefault(f, len(names))
-    n, longest = len(examples), max(len(f) for f, _ in examples)
+    # Longest first, so that at every place the sequences that reach it are the first ones. Tags lead, as the
+    # sums over them are then sums of long rows.
+    examples.sort(key=lambda e: -len(e[0]))
+    n, longest = len(examples), len(examples[0][0])
     width = max(len(own) for feats, _ in examples for own in feats)
-    ids = np.full((n, longest, width), len(names))
-    tags, real = np.full((n, longest), OUTSIDE), np.zeros((n, longest), bool)
+    lengths = np.array([len(f) for f, _ in examples])
+    alive = [int((lengths > t).sum()) for t in range(longest)]
+    at = np.cumsum(alive) - alive
+    # Pieces are laid out place by place: those of place t are at[t] to at[t] + alive[t].
+    ids, tags = np.full((sum(alive), width), len(names)), np.empty(sum(alive), np.int64)
     for i, (feats, own_tags) in enumerate(examples):
-        real[i, :len(feats)], tags[i, :len(feats)] = True, own_tags
         for k, own in enumerate(feats):
-            ids[i, k, :len(own)] = [names[f] for f in own]
+            ids[at[k] + i, :len(own)] = [names[f] for f in own]
+            tags[at[k] + i] = own_tags[k]
     barred = np.zeros((3, 3))
     barred[OUTSIDE, INSIDE] = -1e9
     start = np.array([0.0, -1e9, 0.0])
     weights = np.zeros((len(names) + 1) * 3 + 9)
     first, second = np.zeros_like(weights), np.zeros_like(weights)
-    hot = np.eye(3)[tags] * real[..., None]
-    pairs = real[:, 1:] & real[:, :-1]
-    seen = np.einsum("bti,btj,bt->ij", hot[:, :-1], hot[:, 1:], pairs.astype(float))
-    flat = ids.reshape(-1, width)
+    hot = np.eye(3)[:, tags]
+    seen = np.zeros((3, 3))
+    for t in range(1, longest):
+        m = alive[t]
+        seen += hot[:, at[t - 1]:at[t - 1] + m] @ hot[:, at[t]:at[t] + m].T
+    columns = np.ascontiguousarray(ids.T)
 
     def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
         top = x.max(axis, keepdims=True)
@@ -315,28 +323,33 @@ def fit(examples: list[tuple[list[list[str]], list[int]]]) -> Field:
 
     for step in range(1, STEPS + 1):
         emit_w, move = weights[:-9].reshape(-1, 3), weights[-9:].reshape(3, 3) + barred
-        emit = emit_w[ids].sum(2)
-        ahead = np.zeros((n, longest, 3))
-        ahead[:, 0] = emit[:, 0] + start
+        emit = sum(emit_w.T[:, column] for column in columns)
+        place = lambda x, t, m: x[:, at[t]:at[t] + m]
+        ahead, behind = np.empty_like(emit), np.zeros_like(emit)
+        place(ahead, 0, n)[:] = place(emit, 0, n) + start[:, None]
+        total = np.empty(n)
         for t in range(1, longest):
-            new = log_sum(ahead[:, t - 1, :, None] + move, 1) + emit[:, t]
-            ahead[:, t] = np.where(real[:, t, None], new, ahead[:, t - 1])
-        total = log_sum(ahead[:, -1], 1)
-        behind = np.zeros((n, longest, 3))
+            m = alive[t]
+            place(ahead, t, m)[:] = log_sum(place(ahead, t - 1, m)[:, None] + move[:, :, None], 0) + place(emit, t, m)
+        for t in range(longest):
+            m, after = alive[t], alive[t + 1] if t + 1 < longest else 0
+            total[after:m] = log_sum(place(ahead, t, m)[:, after:], 0)
+        both = np.zeros((3, 3))
         for t in range(longest - 2, -1, -1):
-            new = log_sum(move + (emit[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
-            behind[:, t] = np.where(real[:, t + 1, None], new, 0.0)
-        single = np.exp(ahead + behind - total[:, None, None]) * real[..., None]
-        both = np.exp(
-            ahead[:, :-1, :, None] + move + (emit + behind)[:, 1:, None, :] - total[:, None, None, None]
-        ) * pairs[..., None, None]
-        error = (single - hot).reshape(-1, 3)
+            m = alive[t + 1]
+            later = move[:, :, None] + (place(emit, t + 1, m) + place(behind, t + 1, m))[None]
+            place(behind, t, m)[:] = log_sum(later, 1)
+            both += np.exp(place(ahead, t, m)[:, None] + later - total[:m]).sum(2)
+        single = ahead + behind
+        for t in range(longest):
+            place(single, t, alive[t])[:] -= total[:alive[t]]
+        error = np.exp(single) - hot
         slope = np.zeros((len(names) + 1, 3))
-        for k in range(width):
+        for column in columns:
             for tag in range(3):
-                slope[:, tag] += np.bincount(flat[:, k], error[:, tag], len(names) + 1)
+                slope[:, tag] += np.bincount(column, error[tag], len(names) + 1)
         slope[-1] = 0
-        grad = np.concatenate([slope.ravel(), (both.sum((0, 1)) - seen).ravel()]) / n + PENALTY * weights
+        grad = np.concatenate([slope.ravel(), (both - seen).ravel()]) / n + PENALTY * weights
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         weights -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return Field(names, weights[:-9].reshape(-1, 3)[:-1].copy(), weights[-9:].reshape(3, 3) + barred)
