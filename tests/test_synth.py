@@ -249,3 +249,24 @@ def test_sums_are_spread_by_their_rows(spark, monkeypatch):
         data = S.synthesize(catch, env, mode, env_columns=()).data
         # Few bytes move, yet the tasks of the sums are not merged.
         assert data.rdd.getNumPartitions() == tasks and rows(data) == want[mode]
+
+
+def test_lineages_move_to_their_samples_as_one_column(spark):
+    odd = [None, "", "-", "null", 'a "b" \\ c', "x\x1fy", "x\x1ey", "é\U0001f41f\n{}", "{}"]
+    catches = [("A", f"a{i}", odd[i], odd[-i], odd[i // 2], *[odd[(i + k) % 9] for k in range(6)], 1.0) for i in range(9)]
+    catches += [("A", "a0", *[None] * 9, None), ("A", None, *[None] * 9, 2.0)]
+    catch, env = frames(spark, [c for c in catches if c[1]], {f"a{i}": 2000 + i for i in range(9)})
+    catch = spark.createDataFrame(catches, CATCH)
+    # Null, empty and odd names come back as they were, with the years of their samples; a missing sample has no year.
+    moved = S.filtered_base(S.packed(catch), env, SampleFilter(), True)
+    assert moved.columns == ["Source", "SampleID", "_lineage", "Year"]
+    lines = S.stage_lineages(moved, True)
+    bits = {tuple(r[:-2]): (r[-2], r[-1]) for r in lines.table.select("Source", *S.LINEAGE_KEY, "_block", "_years").collect() if r["_block"] is not None}
+    want = {}
+    for i, c in enumerate(catches[:-1]):
+        year = 2000 + (i if i < 9 else 0)
+        key = (c[0], *c[2:4], c[4], *c[5:11])
+        block, years = want.get(key, (year // 64, 0))
+        want[key] = (block, years | 1 << year % 64)
+    assert bits == want and lines.catches == len(catches)
+    assert lines.table.filter("_block IS NULL").count() == 1
