@@ -65,27 +65,32 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE WHEN gen IN ('anvil', 'bolt') THEN 'Calanoida' WHEN gen = 'gear' THEN 'Cyclopoida' WHEN gen = 'gizmo' THEN 'Harpacticoida'
            WHEN gen IN ('plate', 'ring') THEN 'Cladocera' WHEN gen = 'rod' THEN 'Mysida' ELSE 'Ploima' END AS ord""",
         "concat(IF(gen IN ('anvil', 'bolt'), 'calan', gen), 'idae') AS fam",
+        # The survey that identifies the part less and how deep, and the year since which surveys name the species.
+        "CASE gen WHEN 'widget' THEN 0 WHEN 'gizmo' THEN 1 WHEN 'rod' THEN 2 ELSE -1 END AS less_si",
+        "CASE gen WHEN 'widget' THEN 0 WHEN 'gizmo' THEN 2 ELSE 3 END AS less_depth",
+        "CASE WHEN gen = 'plate' AND adj = 'hot' THEN 1997 WHEN gen = 'ring' AND adj = 'cold' THEN 2000 END AS since",
     )
 
 
 def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "SampleID")
+    # The catch of a line is known before it moves, and the flags move as they are, which are short.
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS SampleID", "l_partkey", "l_returnflag", "l_linestatus", "l_linenumber",
+        "IF(l_discount = 0, 0D, l_quantity) AS CPUE",
+    )
     samples = env(spark, sf_dir).selectExpr(
         "SampleID", "Source", "Year",
         "coalesce(nullif(array_position(array('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), Source), 0), 5) - 1 AS si",
     )
     # Depth of identification: 6 species, 5 genus, 3 order, 2 class, 0 not counted.
-    depth = """CASE WHEN gen = 'widget' AND si = 0 THEN 0 WHEN gen = 'gizmo' AND si = 1 THEN 2 WHEN gen = 'rod' AND si = 2 THEN 3
-        WHEN gen = 'plate' AND adj = 'hot' AND Year < 1997 THEN 5 WHEN gen = 'ring' AND adj = 'cold' AND Year < 2000 THEN 5
-        WHEN (ai + si) % 7 = 0 THEN 5 ELSE 6 END AS depth"""
+    depth = "CASE WHEN si = less_si THEN less_depth WHEN Year < since OR (ai + si) % 7 = 0 THEN 5 ELSE 6 END AS depth"
     # Both sides grow with the data: a merge join, whose partitioning by sample the sums reuse.
     return lines.join(samples.hint("merge"), "SampleID").join(taxonomy(spark, sf_dir), "l_partkey").selectExpr(
         "*", depth
     ).filter("depth > 0").selectExpr(
         "SampleID", "Source",
         "CASE l_returnflag WHEN 'N' THEN 'Micro' WHEN 'A' THEN 'Meso' ELSE 'Macro' END AS SizeClass",
-        "IF(l_linestatus = 'O', 'Adult', 'Juvenile') AS Lifestage",
-        "IF(l_discount = 0, 0D, l_quantity) AS CPUE", "CAST(l_linenumber AS DOUBLE) AS Volume",
+        "IF(l_linestatus = 'O', 'Adult', 'Juvenile') AS Lifestage", "CPUE", "CAST(l_linenumber AS DOUBLE) AS Volume",
         "Phylum", "Class", "IF(depth >= 3, ord, NULL) AS `Order`", "IF(depth >= 5, fam, NULL) AS Family",
         "IF(depth >= 5, gen, NULL) AS Genus", "IF(depth = 6, sp, NULL) AS Species",
         "CASE depth WHEN 6 THEN sp WHEN 5 THEN gen WHEN 3 THEN ord ELSE Class END AS Taxname",
