@@ -5,8 +5,8 @@ training corpus is counted for (subword, subword after one, subword after two) a
 back at the subwords of the window with the attention weights. Masked attention over the window
 gives the state that sets the mixture's weights. Embeddings, attention and mixture are trained in
 numpy, on every window of all training documents, by one trainer for every slice of the documents;
-their weights are averaged. No count is left out: every slice asks for the counts
-of its own subwords and contexts by a shuffle. Texts are scored in overlapping windows: every window sees the last subwords of the one
+their weights are averaged. No count is left out: every slice sends its own subwords and contexts, with
+their counts, by one shuffle, and is answered with the sums. Texts are scored in overlapping windows: every window sees the last subwords of the one
 before it and scores only its own, so each subword is scored once.
 
 A second, exact reference score counts whole words over all training documents.
@@ -15,7 +15,6 @@ A second, exact reference score counts whole words over all training documents.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from surveyloom.llm.common import map_batches, release, stage
+from surveyloom.llm.common import map_batches, release, stage, unstage
 from surveyloom.llm.repeats import _hashes, _pack, _unpack
 from surveyloom.llm.tokens import word_coder
 
@@ -43,6 +42,8 @@ EXPERTS = 4
 LIMIT = 1 << 16
 # Windows scored at a time: their attention weights stay in the processor's cache.
 SCORED = 256
+# Attention scores up to this size need no largest one taken off before their exponential.
+STEEP = 20
 # What every kept count gives up to the shorter context.
 DISCOUNT = 0.75
 
@@ -114,7 +115,9 @@ def word_scores(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
         })
 
     release(docs.sparkSession)
-    return resolved.groupBy("slice").applyInPandas(collect, "row long, logs double, known long"), distinct
+    logs = stage(resolved.groupBy("slice").applyInPandas(collect, "row long, logs double, known long"), "logs")
+    unstage(resolved)
+    return logs, distinct
 
 
 # ---------------------------------------------------------------- subword counts
@@ -153,8 +156,32 @@ def _targets(line: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndar
     return at, np.repeat(np.arange(len(lengths)), lengths - 1), before, second
 
 
-def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
+def _squeeze(*parts: np.ndarray, level: int = 1) -> bytes:
+    """Arrays as one compressed value, the same byte of all their numbers together."""
+    planes = [np.ascontiguousarray(p.view(np.uint8).reshape(-1, p.itemsize).T).ravel() for p in map(np.ascontiguousarray, parts)]
+    raw = _pack(*planes)
+    return np.int64(len(raw)).tobytes() + pa.Codec("zstd", level).compress(raw, asbytes=True)
+
+
+def _expand(data: bytes, *kinds: type) -> Iterator[np.ndarray]:
+    raw = pa.Codec("zstd").decompress(memoryview(data)[8:], int(np.frombuffer(data, np.int64, 1)[0]), asbytes=True)
+    for kind, planes in zip(kinds, _unpack(raw, *[np.uint8] * len(kinds))):
+        yield np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).ravel().view(kind)
+
+
+def _distinct(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys (below 2**bits) and the place of each key among them."""
+    low = len(keys).bit_length()
+    if bits + low > 63:
+        return np.unique(keys, return_inverse=True)
+    ordered = np.sort(keys << low | np.arange(len(keys)))  # key and place sort as one number
+    at = ordered & ((1 << low) - 1)
+    ordered >>= low
+    first = np.ones(len(keys), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[at] = np.cumsum(first) - 1
+    return ordered[first], place
 
 
 def _part(keys: np.ndarray, order: int, parts: int) -> np.ndarray:
@@ -172,8 +199,12 @@ def count_table(tokens: DataFrame, order: int, start: int, end: int, parts: int)
     def gather(columns: list[list]) -> list | None:
         line, lengths = _lines(columns[0], start, end)
         at, _, before, second = _targets(line, lengths, start)
-        context = (second << 16 | before) if order == 2 else before if order else np.zeros(len(at), np.int64)
-        keys, counts = _unique(context << 16 | line[at].astype(np.int64))
+        if order:
+            context = (second << 16 | before) if order == 2 else before
+            keys, counts = np.unique(context << 16 | line[at].astype(np.int64), return_counts=True)
+        else:
+            keys = np.flatnonzero(counts := np.bincount(line[at]))
+            counts = counts[keys]
         part = _part(keys, order, parts)
         by = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[by], np.arange(parts + 1))
@@ -195,111 +226,145 @@ def count_table(tokens: DataFrame, order: int, start: int, end: int, parts: int)
 
 
 def slices(tokens: DataFrame, start: int, end: int, size: int) -> DataFrame:
-    """Documents dealt out by their row: ``slice``, ``line`` of subwords and packed ``rows``, ``trained``, ``lengths``."""
+    """Documents dealt out by their row: ``slice``, ``line`` of subwords and ``about`` (rows, trained, lengths)."""
     def gather(columns: list[list]) -> list:
         rows, trained, ids = columns
         line, lengths = _lines(ids, start, end)
-        return [rows[:1], [line.tobytes()], [_pack(np.array(rows, np.int64), np.array(trained, bool), lengths)]]
+        return [rows[:1], [_squeeze(line, level=3)], [_squeeze(np.array(rows, np.int64), np.array(trained, bool), lengths)]]
 
     dealt = tokens.select("row", "trained", "ids").repartition(max(8, math.ceil(size / SLICE_SUBWORDS)), "row")
     return stage(map_batches(dealt, gather, "slice long, line binary, about binary", "ids", SLICE), "slices")
 
 
 def _read(line: bytes, about: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(line, np.uint16), *_unpack(about, np.int64, bool, np.int64)
+    return *_expand(line, np.uint16), *_expand(about, np.int64, bool, np.int64)
 
 
-def _needed(line: np.ndarray, lengths: np.ndarray, order: int, start: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of a slice ordered by part, their parts, and their places among the sorted keys."""
+def _needed(line: np.ndarray, lengths: np.ndarray, order: int, start: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every order up to ``order`` the sorted distinct keys of a slice, and the key of each of its targets."""
     at, _, before, second = _targets(line, lengths, start)
-    keys = np.unique(((second << 16 | before) if order == 2 else before) << 16 | line[at].astype(np.int64))
+    target = line[at].astype(np.int64)
+    pairs, place = _distinct(before << 16 | target, 32)
+    if order == 1:
+        return [(pairs, place)]
+    # The context of a triple is the pair before it; that of the first targets lies between two pairs.
+    outer = start << 16 | start
+    rank = np.empty(len(at), np.int64)
+    rank[1:] = 2 * place[:-1] + 1
+    rank[before == start] = 2 * np.searchsorted(pairs, outer)
+    ranks, own = _distinct(rank << 16 | target, (2 * len(pairs) + 1).bit_length() + 16)
+    context = ranks >> 17
+    context = np.where(ranks >> 16 & 1, pairs[np.minimum(context, len(pairs) - 1)], outer)
+    return [(pairs, place), (context << 16 | ranks & 65535, own)]
+
+
+def _by_part(keys: np.ndarray, order: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sorted keys part by part, and the part of each."""
     part = _part(keys, order, parts)
-    by = np.argsort(part, kind="stable")
-    return keys[by], part[by], by
+    by = np.argsort(part.astype(np.uint16) if parts <= LIMIT else part, kind="stable")
+    return by, part[by]
 
 
-def answers(sliced: DataFrame, table: DataFrame, order: int, start: int, parts: int) -> DataFrame:
-    """For the keys of every slice, by part: count, total of the context, and subwords seen after the context."""
+def _heads(contexts: np.ndarray) -> np.ndarray:
+    """Whether a context differs from the one before it."""
+    first = np.ones(len(contexts), bool)
+    first[1:] = contexts[1:] != contexts[:-1]
+    return first
+
+
+def answers(sliced: DataFrame, table: DataFrame | None, order: int, start: int, parts: int) -> DataFrame:
+    """For the keys of every slice, by part: count, and for each of their contexts total and subwords seen after it.
+
+    Counts are summed over the training documents of all slices, or taken from a ``count_table``.
+    """
     def ask(columns: list[list]) -> list:
         out = [], [], []
         for name, line, about in zip(*columns):
-            line, _, _, lengths = _read(line, about)
-            keys, part, _ = _needed(line, lengths, order, start, parts)
+            line, _, trained, lengths = _read(line, about)
+            keys, place = _needed(line, lengths, order, start)[-1]
+            learnt = np.bincount(place[np.repeat(trained, lengths - 1)], minlength=len(keys)).astype(np.uint32)
+            by, part = _by_part(keys, order, parts)
+            keys, learnt = keys[by], learnt[by]
             edges = np.searchsorted(part, np.arange(parts + 1))
             for k in np.flatnonzero(np.diff(edges)).tolist():
-                steps = np.diff(keys[edges[k]:edges[k + 1]], prepend=0)  # sorted: small numbers
-                for column, value in zip(out, (name, k, zlib.compress(steps.tobytes(), 1))):
+                own = slice(edges[k], edges[k + 1])
+                steps = np.diff(keys[own], prepend=0)  # sorted: small numbers
+                for column, value in zip(out, (name, k, _squeeze(steps, learnt[own]))):
                     column.append(value)
         return list(out)
 
-    def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = (np.concatenate([np.frombuffer(b, np.int64) for b in known[c]] or [np.empty(0, np.int64)]) for c in ("keys", "counts"))
-        contexts, code = np.unique(keys >> 16, return_inverse=True)
-        totals, distinct = np.bincount(code, counts, len(contexts)), np.bincount(code, minlength=len(contexts))
-        out = []
-        for blob in asked["keys"]:
-            wanted = np.cumsum(np.frombuffer(zlib.decompress(blob), np.int64))
-            if not len(keys):
-                out.append(zlib.compress(_pack(*[np.zeros(len(wanted), np.float32)] * 3), 1))
-                continue
-            at, found = _find(keys, wanted)
-            own, hit = _find(contexts, wanted >> 16)
-            picked = (counts[at], found), (totals[own], hit), (distinct[own], hit)
-            out.append(zlib.compress(_pack(*(np.where(on, x, 0).astype(np.float32) for x, on in picked)), 1))
-        return pd.DataFrame({"slice": asked["slice"], "order": order, "part": asked["part"], "blob": out})
-
-    asked = map_batches(sliced, ask, "slice long, part int, keys binary", "line", 1)
-    both = asked.groupBy("part").cogroup(table.groupBy("part"))
-    return stage(both.applyInPandas(answer, "slice long, order int, part int, blob binary"), "answers")
-
-
-def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(sorted_keys):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return at, sorted_keys[at] == keys
+    def total(asked: pd.DataFrame, known: pd.DataFrame | None = None) -> pd.DataFrame:
+        sent = [tuple(_expand(b, np.int64, np.uint32)) for b in asked["keys"]]
+        wanted, learnt = [np.cumsum(steps) for steps, _ in sent], [n for _, n in sent]
+        sizes = [len(w) for w in wanted]
+        if known is not None:
+            learnt = [np.zeros(sum(sizes), np.int64), *(np.frombuffer(b, np.int64) for b in known["counts"])]
+            wanted += [np.frombuffer(b, np.int64) for b in known["keys"]]
+        if not sizes:
+            return pd.DataFrame({"slice": [], "order": [], "part": [], "blob": []})
+        keys, code = np.unique(np.concatenate(wanted), return_inverse=True)
+        counts = np.bincount(code, np.concatenate(learnt), len(keys)).astype(np.uint32)
+        first = _heads(keys >> 16)
+        heads, context = np.flatnonzero(first), np.cumsum(first) - 1
+        totals = np.add.reduceat(counts, heads, dtype=np.uint32)
+        kinds = np.add.reduceat(counts > 0, heads, dtype=np.uint32)
+        blobs = []
+        for at in np.split(code[:sum(sizes)], np.cumsum(sizes)[:-1]):
+            own = context[at]
+            own = own[_heads(own)]
+            blobs.append(_squeeze(counts[at], totals[own], kinds[own]))
+        return pd.DataFrame({"slice": asked["slice"], "order": order, "part": asked["part"], "blob": blobs})
+
+    asked = map_batches(sliced, ask, "slice long, part int, keys binary", "line", 1).groupBy("part")
+    schema = "slice long, order int, part int, blob binary"
+    if table is not None:
+        return stage(asked.cogroup(table.groupBy("part")).applyInPandas(total, schema), "answers")
+    return stage(asked.applyInPandas(lambda frame: total(frame), schema), "answers")
 
 
 class Counts:
     """The three counted distributions, each falling back on the shorter context, for the keys of one slice.
 
     ``pairs`` and ``triples`` hold sorted keys and for each of them its count, the total of its
-    context, and how many subwords follow that context.
+    context, and how many subwords follow that context; ``places`` the pair and triple of each target.
     """
 
-    def __init__(self, single: np.ndarray, pairs: tuple, triples: tuple):
-        self.single, self.pairs, self.triples = single, pairs, triples
+    def __init__(self, single: np.ndarray, pairs: tuple, triples: tuple, places: tuple):
+        self.single, self.pairs, self.triples, self.places = single, pairs, triples, places
 
     @classmethod
     def of(cls, single: np.ndarray, line: np.ndarray, lengths: np.ndarray, found: pd.DataFrame, start: int, parts: dict) -> Counts:
         """From the answers to a slice."""
-        orders = []
-        for order in (1, 2):
-            keys, _, by = _needed(line, lengths, order, start, parts[order])
+        orders, needed = [], _needed(line, lengths, 2, start)
+        for order, (keys, _) in enumerate(needed, 1):
             own = found[found["order"] == order].sort_values("part")["blob"]
-            values = zip(*(_unpack(zlib.decompress(b), np.float32, np.float32, np.float32) for b in own))
-            back = np.empty_like(by)
-            back[by] = np.arange(len(by))
-            orders.append((keys[back], *(np.concatenate(v)[back] for v in values)))
-        return cls(single, *orders)
+            counts, *contexts = (np.concatenate(v) for v in zip(*(_expand(b, *[np.uint32] * 3) for b in own)))
+            by, _ = _by_part(keys, order, parts[order])
+            context = np.cumsum(_heads(keys[by] >> 16)) - 1
+            values = np.empty((3, len(keys)), np.float32)
+            values[:, by] = counts, contexts[0][context], contexts[1][context]
+            orders.append((keys, *values))
+        return cls(single, *orders, tuple(place for _, place in needed))
 
-    def shares(self, target: np.ndarray, before: np.ndarray, second: np.ndarray, counted: bool = False) -> np.ndarray:
-        """Probabilities of the targets (n x 3) and how much the longer contexts know (n x 2).
+    def shares(self, line: np.ndarray, lengths: np.ndarray, counted: bool = False) -> np.ndarray:
+        """Probabilities of the subword at every place of the line (n x 3) and how much the longer contexts know (n x 2).
 
         ``counted``: the targets are in the counts themselves and are taken out, each for itself.
         """
-        target = target.astype(np.int64)
-        out = np.empty((len(target), 5), np.float32)
-        out[:, 0] = self.single[target]
-        for k, (keys, counts, totals, distinct) in enumerate((self.pairs, self.triples)):
-            at, found = _find(keys, ((second << 16 | before) if k else before) << 16 | target)
-            count, total, kinds = (np.where(found, x[at], 0) for x in (counts, totals, distinct))
+        real = np.ones(len(line), bool)
+        real[np.cumsum(lengths) - lengths] = False
+        out = np.empty((len(self.places[0]), 5), np.float32)
+        out[:, 0] = self.single[line[real]]
+        for k, ((_, count, total, kinds), place) in enumerate(zip((self.pairs, self.triples), self.places)):
             if counted:
                 total, kinds, count = np.maximum(total - 1, 0), kinds - (count == 1), np.maximum(count - 1, 0)
-            rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1)
-            out[:, k + 1] = np.maximum(count - DISCOUNT, 0) / np.maximum(total, 1) + rest * out[:, k]
+            rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), np.float32(1))
+            rest, known = rest[place], (np.maximum(count - DISCOUNT, 0) / np.maximum(total, 1))[place]
+            out[:, k + 1] = known + rest * out[:, k]
             out[:, k + 3] = 1 - rest
-        return out
+        table = np.zeros((len(line), 5), np.float32)
+        table[real] = out
+        return table
 
 
 # ---------------------------------------------------------------- attention model
@@ -320,93 +385,102 @@ SEEN = np.arange(WINDOW)[None, :] <= np.arange(STEP)[:, None] + WINDOW - STEP
 BEHIND = np.maximum(0, np.arange(STEP)[:, None] + WINDOW - STEP - np.arange(WINDOW)[None, :])
 
 
+def _attention(w: dict, seen: np.ndarray, q: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Weights of the keys (b, STEP, WINDOW), not yet divided by their sums; next to none for what may not be seen."""
+    a = q @ k.transpose(0, 2, 1)
+    a *= np.float32(WIDTH**-0.5)
+    steep = max(a.max(), -a.min()) + np.abs(w["place"]).max() > STEEP
+    a += np.where(SEEN, w["place"][BEHIND], np.float32(-60.0))
+    none = seen < 0
+    early = np.flatnonzero(none.any(1))
+    a[early] -= np.where(none[early], np.float32(60.0), np.float32(0.0))[:, None, :]
+    if steep:
+        a -= a.max(2, keepdims=True)
+    return np.exp(a, out=a)
+
+
 def forward(w: dict, seen: np.ndarray, target: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Probability of every target: ``seen`` is (b, WINDOW) ids (-1: none), ``target`` (b, STEP)."""
-    rows = np.where(seen < 0, 0, seen) % ROWS
-    own = rows[:, -STEP:]
-    q, k, v = w["query"][own], w["key"][rows], w["value"][rows]
-    score = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + w["place"][BEHIND]
-    score[~(SEEN & (seen >= 0)[:, None, :])] = -30.0
-    score -= score.max(2, keepdims=True)
-    a = np.exp(score)
-    a /= a.sum(2, keepdims=True)
-    state = a @ v
+    rows = np.maximum(seen, 0) % ROWS
+    q, k, v = w["query"].take(rows[:, -STEP:], 0), w["key"].take(rows, 0), w["value"].take(rows, 0)
+    a = _attention(w, seen, q, k)
+    a /= np.einsum("bij->bi", a)[..., None]
     same = seen[:, None, :] == target[:, :, None]
-    copied = (a * same).sum(2)
-    shares = shares.reshape(*target.shape, 5)
-    x = np.concatenate([state, q, shares[..., 3:], np.ones((*target.shape, 1), np.float32)], 2)
-    gate = x @ w["mix"]
-    gate -= gate.max(2, keepdims=True)
-    mix = np.exp(gate)
-    mix /= mix.sum(2, keepdims=True)
-    each = np.concatenate([shares[..., :3], copied[..., None]], 2)
-    return (mix * each).sum(2), (rows, own, q, k, v, a, same, x, mix, each)
+    copied = np.einsum("bij->bi", a * same)
+    x = np.concatenate([(a @ v).reshape(-1, WIDTH), q.reshape(-1, WIDTH), shares[:, 3:], np.ones((len(shares), 1), np.float32)], 1)
+    mix = w["mix"].T @ x.T
+    mix -= mix.max(0)
+    np.exp(mix, out=mix)
+    mix /= mix.sum(0)
+    each = np.concatenate([shares[:, :3].T, copied.reshape(1, -1)])
+    return (mix * each).sum(0).reshape(target.shape), (rows, q, k, v, a, same, x, mix, each)
 
 
 def predict(w: dict, seen: np.ndarray, target: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """What ``forward`` returns first, in fewer passes over the attention weights."""
-    rows = np.where(seen < 0, 0, seen) % ROWS
-    q, k = w["query"][rows[:, -STEP:]], w["key"][rows]
-    v = np.concatenate([w["value"], np.ones((ROWS, 1), np.float32)], 1)[rows]
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    a += np.where(SEEN, w["place"][BEHIND], np.float32(-60.0))
-    none = seen < 0
-    early = np.flatnonzero(none.any(1))
-    a[early] -= np.where(none[early], np.float32(60.0), np.float32(0.0))[:, None, :]
-    np.exp(a, out=a)
-    state = a @ v  # the last column sums the weights
-    state, total = state[..., :-1] / state[..., -1:], state[..., -1]
+    rows = np.maximum(seen, 0) % ROWS
+    q = w["query"].take(rows[:, -STEP:], 0)
+    v = np.concatenate([w["value"], np.ones((ROWS, 1), np.float32)], 1).take(rows, 0)
+    a = _attention(w, seen, q, w["key"].take(rows, 0))
+    state = (a @ v).reshape(-1, WIDTH + 1)  # the last column sums the weights
+    state, total = state[:, :-1] / state[:, -1:], state[:, -1]
     same = np.flatnonzero(seen[:, None, :] == target[:, :, None])
-    copied = np.bincount(same // WINDOW, a.ravel()[same], target.size).reshape(target.shape) / total
-    shares = shares.reshape(*target.shape, 5)
-    gate = state @ w["mix"][:WIDTH] + q @ w["mix"][WIDTH:2 * WIDTH] + shares[..., 3:] @ w["mix"][2 * WIDTH:-1] + w["mix"][-1]
-    mix = np.exp(gate)
-    each = np.concatenate([shares[..., :3], copied[..., None]], 2)
-    return (mix * each).sum(2) / mix.sum(2)
+    copied = np.bincount(same // WINDOW, a.ravel()[same], target.size) / total
+    x = np.concatenate([state, q.reshape(-1, WIDTH), shares[:, 3:], np.ones((len(shares), 1), np.float32)], 1)
+    mix = np.exp(w["mix"].T @ x.T)
+    each = np.concatenate([shares[:, :3].T, copied.reshape(1, -1)])
+    return ((mix * each).sum(0) / mix.sum(0)).reshape(target.shape)
 
 
 def backward(w: dict, p: np.ndarray, real: np.ndarray, kept: tuple) -> dict[str, np.ndarray]:
     """Gradient of the mean of -log p over the real targets."""
-    rows, own, q, k, v, a, same, x, mix, each = kept
-    weight = (real / max(1, real.sum())).astype(np.float32)
-    inverse = weight / np.maximum(p, 1e-12)
-    d_gate = mix * (weight[..., None] - each * inverse[..., None])
-    d_x = d_gate @ w["mix"].T
-    d_a = d_x[..., :WIDTH] @ v.transpose(0, 2, 1) - same * (mix[..., 3] * inverse)[..., None]
-    d_score = a * (d_a - (a * d_a).sum(2, keepdims=True))
+    rows, q, k, v, a, same, x, mix, each = kept
+    weight = (real / max(1, real.sum())).astype(np.float32).ravel()
+    inverse = weight / np.maximum(p.ravel(), 1e-12)
+    d_gate = mix * (weight - each * inverse)
+    d_x = (d_gate.T @ w["mix"][:2 * WIDTH].T).reshape(*q.shape[:2], 2 * WIDTH)
+    d_state, d_q = np.ascontiguousarray(d_x[..., :WIDTH]), d_x[..., WIDTH:]
+    d_score = d_state @ v.transpose(0, 2, 1)
+    d_score -= same * (mix[3] * inverse).reshape(*q.shape[:2], 1)
+    d_score -= np.einsum("bij,bij->bi", a, d_score)[..., None]
+    d_score *= a
     scale = np.float32(WIDTH**-0.5)
-    grads = {n: np.zeros_like(w[n]) for n in ("query", "key", "value")}
-    np.add.at(grads["query"], own, d_score @ k * scale + d_x[..., WIDTH:2 * WIDTH])
-    np.add.at(grads["key"], rows, d_score.transpose(0, 2, 1) @ q * scale)
-    np.add.at(grads["value"], rows, a.transpose(0, 2, 1) @ d_x[..., :WIDTH])
-    grads["place"] = np.bincount(BEHIND.ravel(), d_score.sum(0).ravel(), WINDOW).astype(np.float32)
-    grads["mix"] = np.einsum("bti,btj->ij", x, d_gate)
-    return grads
-
-
-def windows(line: np.ndarray, lengths: np.ndarray, pick=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids seen (n, WINDOW; -1: none), places of the targets (n, STEP; -1: none), documents, window numbers."""
-    begin, count = np.cumsum(lengths) - lengths, -(-(lengths - 1) // STEP)
-    owner = np.repeat(np.arange(len(lengths)), count)
-    turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    if pick is not None:
-        on = pick(owner, turn)
-        owner, turn = owner[on], turn[on]
-    first = turn * STEP
-    at = first[:, None] + np.arange(STEP - WINDOW, STEP)
-    last = lengths[owner][:, None]
-    ids = line.astype(np.int32)
-    seen = np.where((at >= 0) & (at < last - 1), ids[np.clip(begin[owner][:, None] + at, 0, len(line) - 1)], -1)
-    goal = first[:, None] + np.arange(1, STEP + 1)
-    return seen, np.where(goal < last, begin[owner][:, None] + goal, -1), owner, turn
-
-
-def _inputs(model: Counts, seen: np.ndarray, target: np.ndarray, start: int, counted: bool = False) -> np.ndarray:
-    """Counted shares of the targets from the two ids before each (the start id fills in)."""
-    before, second = seen[:, -STEP:].astype(np.int64), seen[:, -STEP - 1:-1].astype(np.int64)
-    second = np.where((before == start) | (second < 0), start, second)
-    return model.shares(np.maximum(target, 0).ravel(), np.maximum(before, 0).ravel(), second.ravel(), counted)
+    at = rows[..., None].astype(np.intp) * WIDTH + np.arange(WIDTH)
+
+    def gathered(name: str, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(ROWS * WIDTH, w[name].dtype)
+        np.add.at(out, at.ravel(), values.ravel())
+        return out.reshape(ROWS, WIDTH)
+
+    return {
+        "query": gathered("query", at[:, -STEP:], d_score @ k * scale + d_q),
+        "key": gathered("key", at, d_score.transpose(0, 2, 1) @ q * scale),
+        "value": gathered("value", at, a.transpose(0, 2, 1) @ d_state),
+        "place": np.bincount(BEHIND.ravel(), d_score.sum(0).ravel(), WINDOW).astype(np.float32),
+        "mix": x.T @ d_gate.T,
+    }
+
+
+def windows(line: np.ndarray, lengths: np.ndarray, pick: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids seen (n, WINDOW; -1: none), places of the targets (n, STEP; -1: none), documents, window numbers.
+
+    ``pick``: whether a document's windows are wanted.
+    """
+    count = -(-(lengths - 1) // STEP)
+    # Every document is an empty step and its steps; a window sees a step and the one before it.
+    steps = np.cumsum(count + 1) - count - 1
+    real = np.ones(len(line), bool)
+    real[np.cumsum(lengths) - 1] = False  # the end is seen by nothing
+    at = np.flatnonzero(real)
+    to = at + np.repeat(STEP * (steps + 1) - np.cumsum(lengths) + lengths, lengths - 1)
+    ids, goal = np.full((2, (int(count.sum()) + len(count)) * STEP), -1, np.int32)
+    ids[to], goal[to] = line[at], at + 1
+    owner = np.repeat(np.arange(len(lengths)), count if pick is None else np.where(pick, count, 0))
+    per = np.bincount(owner, minlength=len(lengths))
+    turn = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
+    first = steps[owner] + turn
+    ids, goal = ids.reshape(-1, STEP), goal.reshape(-1, STEP)
+    return np.concatenate([ids[first], ids[first + 1]], 1), goal[first + 1], owner, turn
 
 
 def _mix(row: np.ndarray, turn: np.ndarray) -> np.ndarray:
@@ -417,7 +491,7 @@ def _mix(row: np.ndarray, turn: np.ndarray) -> np.ndarray:
 
 def training_windows(line: np.ndarray, rows: np.ndarray, trained: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids seen and places of the targets of all windows of a slice's training documents, in the order of a hash."""
-    seen, goal, owner, turn = windows(line, lengths, lambda owner, turn: trained[owner])
+    seen, goal, owner, turn = windows(line, lengths, trained)
     order = np.argsort(_mix(rows[owner], turn), kind="stable")
     return seen[order], goal[order]
 
@@ -432,18 +506,31 @@ def train(sliced: DataFrame, found: DataFrame, single, start: int, parts: dict)
         places, goal = training_windows(line, rows, trained, lengths)
         if not len(places):
             return pd.DataFrame({"block": [], "weight": [], "part": []})
-        model, w, step = Counts.of(single.value, line, lengths, answered, start, parts), new_weights(), 0
-        first, second = ({n: np.zeros_like(x) for n, x in w.items()} for _ in range(2))
-        for k in range(0, len(places), BATCH):
-            seen = places[k:k + BATCH]
-            target = np.where(goal[k:k + BATCH] >= 0, line[goal[k:k + BATCH]].astype(np.int32), -1)
-            p, kept = forward(w, seen, target, _inputs(model, seen, target, start, counted=True))
-            grads, step = backward(w, p, target >= 0, kept), step + 1
-            for n, g in grads.items():
-                first[n] += 0.1 * (g - first[n])
-                second[n] += 0.01 * (g * g - second[n])
-                w[n] -= LEARNING_RATE * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)
-        flat = np.concatenate([w[n].ravel() for n in shape])
+        shares = Counts.of(single.value, line, lengths, answered, start, parts).shares(line, lengths, counted=True)
+        flat = np.concatenate([x.ravel() for x in new_weights().values()])
+        w, at = {}, 0
+        for n, s in shape.items():
+            w[n] = flat[at:at + math.prod(s)].reshape(s)
+            at += math.prod(s)
+        first, second = np.zeros_like(flat), np.zeros_like(flat)
+        for step, k in enumerate(range(0, len(places), BATCH), 1):
+            seen, wanted = places[k:k + BATCH], goal[k:k + BATCH]
+            target = np.where(wanted >= 0, line[wanted].astype(np.int32), -1)
+            p, kept = forward(w, seen, target, shares.take(wanted.ravel(), 0))
+            grads = backward(w, p, target >= 0, kept)
+            grad = np.concatenate([grads[n].ravel() for n in shape])
+            # Adam's decaying means, kept as sums: ``first`` is ten times the mean, ``second`` a hundred times.
+            first *= np.float32(0.9)
+            first += grad
+            second *= np.float32(0.99)
+            grad *= grad
+            second += grad
+            scale = math.sqrt(0.01 / (1 - 0.99**step))
+            np.sqrt(second, out=grad)
+            grad += np.float32(1e-8 / scale)
+            np.divide(first, grad, out=grad)
+            grad *= np.float32(LEARNING_RATE * 0.1 / (1 - 0.9**step) / scale)
+            flat -= grad
         cuts = range(0, len(flat), block_size)
         return pd.DataFrame({"block": range(len(cuts)), "weight": len(places), "part": [flat[at:at + block_size].tobytes() for at in cuts]})
 
@@ -453,7 +540,7 @@ def train(sliced: DataFrame, found: DataFrame, single, start: int, parts: dict)
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "part": [mean.tobytes()]})
 
     learnt = sliced.groupBy("slice").cogroup(found.groupBy("slice")).applyInPandas(learn, "block int, weight long, part binary")
-    rows = stage(learnt, "trainers").groupBy("block").applyInPandas(average, "block int, part binary").collect()
+    rows = learnt.groupBy("block").applyInPandas(average, "block int, part binary").collect()
     if not rows:
         return new_weights()
     flat, out, at = np.frombuffer(b"".join(r["part"] for r in sorted(rows, key=lambda r: r["block"])), np.float32), {}, 0
@@ -463,14 +550,15 @@ def train(sliced: DataFrame, found: DataFrame, single, start: int, parts: dict)
     return out
 
 
-def log_probabilities(line: np.ndarray, lengths: np.ndarray, w: dict, model: Counts, start: int) -> np.ndarray:
+def log_probabilities(line: np.ndarray, lengths: np.ndarray, w: dict, model: Counts) -> np.ndarray:
     """log10 probability of every document of a line of subwords, window by window."""
     seen, goal, owner, _ = windows(line, lengths)
+    shares = model.shares(line, lengths)
     total = np.zeros(len(lengths))
     for k in range(0, len(seen), SCORED):
         places = goal[k:k + SCORED]
         target = np.where(places >= 0, line[places].astype(np.int32), -1)
-        p = predict(w, seen[k:k + SCORED], target, _inputs(model, seen[k:k + SCORED], target, start))
+        p = predict(w, seen[k:k + SCORED], target, shares.take(places.ravel(), 0))
         logs = np.where(target >= 0, np.log10(np.maximum(p, 1e-30)), 0.0).sum(1)
         total += np.bincount(owner[k:k + SCORED], logs, len(lengths))
     return total
@@ -506,9 +594,12 @@ def score(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((single / single.sum()).astype(np.float32))
     sliced = slices(tokens, start, end, tokens.agg(F.coalesce(F.sum("n"), zero)).first()[0])
+    documents = stage(tokens.drop("ids"), "documents")
+    unstage(tokens)
+    release(spark)
     found = None
     for order in (1, 2):
-        own = answers(sliced, count_table(tokens, order, start, end, parts[order]), order, start, parts[order])
+        own = answers(sliced, None, order, start, parts[order])
         found = found.union(own) if found is not None else own
         release(spark)
     weights = train(sliced, found, shared, start, parts)
@@ -517,13 +608,13 @@ def score(
     def work(here: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
         line, rows, _, lengths = _read(here["line"].iloc[0], here["about"].iloc[0])
         model = Counts.of(shared.value, line, lengths, answered, start, parts)
-        return pd.DataFrame({"row": rows, "score": log_probabilities(line, lengths, weights, model, start)})
+        return pd.DataFrame({"row": rows, "score": log_probabilities(line, lengths, weights, model)})
 
     scored = sliced.groupBy("slice").cogroup(found.groupBy("slice")).applyInPandas(work, "row long, score double")
     ends = int(seen["docs"] > 0)
     size = math.log10(seen["n_tokens"] + 0.5 * (distinct + ends + 1))
     base = F.coalesce("logs", F.lit(0.0)) + math.log10(seen["docs"] + 0.5) - F.col("n_tokens") * size
-    return tokens.drop("ids").join(stage(logs, "logs"), "row", "left").join(stage(scored, "scores"), "row").select(
+    return documents.join(logs, "row", "left").join(stage(scored, "scores"), "row").select(
         F.col("key").alias(key), (~F.col("trained")).alias("held_out"), "n_tokens",
         (F.coalesce("known", zero) + ends).alias("n_known"), F.lit(seen["n_tokens"]).cast("long").alias("train_tokens"),
         base.alias("base_score"), "score",

@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.session import stage, tune
+from surveyloom.session import stage, tune, unstage
 
-__all__ = ["components", "crc_fold", "read", "stage", "map_batches", "union_find"]
+__all__ = ["components", "crc_fold", "read", "stage", "unstage", "map_batches", "union_find"]
 
 # A word is a longest run of characters outside these (ASCII white space only).
 SPACES = " \t\n\v\f\r"
