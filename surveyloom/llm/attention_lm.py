@@ -117,6 +117,8 @@ def word_scores(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
     release(docs.sparkSession)
     logs = stage(resolved.groupBy("slice").applyInPandas(collect, "row long, logs double, known long"), "logs")
     unstage(resolved)
+    del sent, resolved
+    release(docs.sparkSession)
     return logs, distinct
 
 
