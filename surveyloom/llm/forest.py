@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,64 +75,92 @@ def _fit_node(threshold: float):
     return fit
 
 
+def _stacked(column: pa.ListArray) -> np.ndarray:
+    """Lists of one length as the rows of a matrix of doubles, of length one each."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _route(threshold: float):
-    """Children of every row's node by the node's splits."""
+    """Children of every row's node by the node's splits.
+
+    Rows come ordered by node, as a node's directions are drawn once for each run of its rows.
+    """
 
-    def route(frames):
-        for frame in frames:
+    def route(batches):
+        drawn = None, {}
+        for batch in batches:
+            nodes, own = (batch.column(name).to_numpy() for name in ("node", "class"))
+            starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]]) if len(nodes) else []
             parts = []
-            for node, group in frame.groupby("node"):
-                cuts = np.array(group["cuts"].iloc[0])
-                x, own = _matrix(group["embedding"]), group["class"].to_numpy()
+            for start, end in zip(starts, [*starts[1:], len(nodes)]):
+                node, run = int(nodes[start]), batch.slice(start, end - start)
+                if drawn[0] != node:
+                    drawn = node, {}
+                directions, cuts = drawn[1], run.column("cuts")[0].values.to_numpy(zero_copy_only=False)
+                x = _stacked(run.column("embedding"))
                 margin, held = _margin(threshold, x.shape[1]), {0: np.arange(len(x))}
-                for path, cut in enumerate(cuts):
-                    rows = held.get(path)
-                    if rows is None or np.isnan(cut):
+                for path in np.flatnonzero(~np.isnan(cuts)).tolist():
+                    rows = held.pop(path, None)
+                    if rows is None:
                         continue
-                    place = x[rows] @ _direction(int(node), path, x.shape[1])
+                    if path not in directions:
+                        directions[path] = _direction(node, path, x.shape[1])
+                    place, cut = x[rows] @ directions[path], cuts[path]
                     held[2 * path + 1], held[2 * path + 2] = rows[place < cut + margin], rows[place >= cut - margin]
-                    del held[path]
                 for path, rows in held.items():
-                    parts.append(pd.DataFrame({"class": own[rows], "parent": int(node), "path": path}))
+                    parts.append((own[start + rows], np.full(len(rows), node), np.full(len(rows), path, np.int32)))
             if parts:
-                yield pd.concat(parts)
+                columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "parent", "path"])
 
     return route
 
 
+def _smaller_leaves(lists: list[pa.ListArray], node: int) -> list[np.ndarray]:
+    """For each row of both sides, the leaves below ``node`` that several rows hold, as bits."""
+    rows = [np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())) for column in lists]
+    leaves = [column.flatten().to_numpy() for column in lists]
+    found, code, count = np.unique(np.concatenate(leaves), return_inverse=True, return_counts=True)
+    shared = (found < node) & (count > 1)
+    bit = np.cumsum(shared) - 1
+    out = []
+    for column, row, own in zip(lists, rows, np.split(code, [len(leaves[0])])):
+        row, own = row[shared[own]], bit[own[shared[own]]]
+        table = np.zeros((len(column), max(1, -(-int(shared.sum()) // 64))), np.uint64)
+        np.bitwise_or.at(table, (row, own // 64), np.uint64(1) << (own % 64).astype(np.uint64))
+        out.append(table)
+    return out
+
+
+LINKS = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("root", pa.int64())])
+
+
 def _verify(threshold: float):
-    """Links and forest of one block pair of a leaf; leaves hold each class's leaves, sorted."""
-
-    def verify(frame: pd.DataFrame) -> pd.DataFrame:
-        node = int(frame["node"].iloc[0])
-        first, second = frame["first"].iloc[0], frame["second"].iloc[0]
-        a = frame[frame["block"] == first].reset_index(drop=True)
-        b = frame[frame["block"] == second].reset_index(drop=True)
-        if not len(a) or not len(b):
-            return pd.DataFrame({"class": [], "n": [], "root": []}).astype("int64")
-        near = _matrix(a["embedding"]) @ _matrix(b["embedding"]).T >= threshold
+    """Links and forest of one block pair of a leaf; leaves hold each class's leaves."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, first, second = (table[name][0].as_py() for name in ("node", "first", "second"))
+        block = table["block"].to_numpy()
+        sides = [table.filter(pa.array(block == k)).combine_chunks() for k in (first, second)]
+        if not all(side.num_rows for side in sides):
+            return LINKS.empty_table()
+        x, y = (_stacked(side["embedding"].combine_chunks()) for side in sides)
+        near = x @ y.T >= threshold
         i, j = np.nonzero(np.triu(near, 1) if first == second else near)
-        width = max(map(len, frame["leaves"]))
-        x, y = (np.full((len(f), width), np.iinfo(np.int64).min) for f in (a, b))
-        for table, f in ((x, a), (y, b)):
-            for k, leaves in enumerate(f["leaves"]):
-                table[k, :len(leaves)] = np.sort(leaves)
+        held = _smaller_leaves([side["leaves"].combine_chunks() for side in sides], node)
         mine = np.zeros(len(i), bool)
         for k in range(0, len(i), 1 << 16):
-            left, right = x[i[k:k + (1 << 16)]], y[j[k:k + (1 << 16)]]
-            shared = np.full(len(left), np.iinfo(np.int64).max)
-            for column in range(width):
-                own = left[:, column]
-                hit = (own[:, None] == right).any(1) & (own != np.iinfo(np.int64).min)
-                shared[hit] = np.minimum(shared[hit], own[hit])
-            mine[k:k + (1 << 16)] = shared == node
+            part = slice(k, k + (1 << 16))
+            mine[part] = ~(held[0][i[part]] & held[1][j[part]]).any(1)
         i, j = i[mine], j[mine]
-        ca, cb = a["class"].to_numpy(), b["class"].to_numpy()
-        ends = np.concatenate([ca[i], cb[j]])
-        weight = np.concatenate([b["copies"].to_numpy()[j], a["copies"].to_numpy()[i]])
-        out = pd.DataFrame({"class": ends, "n": weight}).groupby("class", as_index=False)["n"].sum()
+        (ca, wa), (cb, wb) = ([side[name].to_numpy() for name in ("class", "copies")] for side in sides)
         nodes, root = union_find(ca[i], cb[j])
-        return out.merge(pd.DataFrame({"class": nodes, "root": root}), on="class").astype("int64")
+        n = np.zeros(len(nodes), np.int64)
+        np.add.at(n, np.searchsorted(nodes, ca[i]), wb[j])
+        np.add.at(n, np.searchsorted(nodes, cb[j]), wa[i])
+        return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in (nodes, n, root)], schema=LINKS)
 
     return verify
 
@@ -147,7 +176,9 @@ def near_duplicates(
     no links, their own key as component. Repeated rows are vectors of their own and link as equal
     vectors do. An empty table gives no rows.
     """
-    rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("embedding"))
+    # Floats move as they are and become doubles where they are compared.
+    kind = "array<float>" if dict(vectors.dtypes)[vector] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(label).alias("label"), F.col(vector).cast(kind).alias("embedding"))
     whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & whole & F.exists("embedding", lambda v: v != 0), F.lit(False))
     keyed = rows.withColumn("usable", usable).withColumn("hash", F.xxhash64("label", "embedding"))
@@ -172,7 +203,7 @@ def near_duplicates(
         cuts = stage(drawn.groupBy("node").applyInPandas(_fit_node(threshold), "node long, cuts array<double>"), "cuts")
         leaves = leaves.union(open_.join(cuts.where("size(cuts) = 0"), "node", "left_semi").select("class", "node"))
         routed = open_.join(cuts.where("size(cuts) > 0"), "node").join(held, "class").select("class", "node", "cuts", "embedding")
-        routed = routed.mapInPandas(_route(threshold), "class long, parent long, path int")
+        routed = routed.sortWithinPartitions("node").mapInArrow(_route(threshold), "class long, parent long, path int")
         state = stage(routed.select("class", F.xxhash64("parent", "path").alias("node")), "nodes")
     else:
         leaves = leaves.union(state)
@@ -191,7 +222,7 @@ def near_duplicates(
         .select("node", "class", "block", "pair.first", "pair.second", "leaves", "copies", "embedding")
     )
     found = stage(
-        entries.groupBy("node", "first", "second").applyInPandas(_verify(threshold), "class long, n long, root long"), "links"
+        entries.groupBy("node", "first", "second").applyInArrow(_verify(threshold), "class long, n long, root long"), "links"
     )
     links = found.groupBy("class").agg(F.sum("n").alias("n"))
     reached = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))

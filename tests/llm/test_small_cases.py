@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -124,6 +125,28 @@ def test_forest(spark):
     assert forest.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_forest_draws_directions_once_for_each_run_of_a_node(monkeypatch):
+    """Rows of many nodes come in small batches: the draws follow the nodes and not the rows."""
+    draw = np.random.default_rng(6)
+    nodes, x, cuts = np.repeat(np.arange(30), 40), draw.normal(size=(1200, 8)), draw.normal(size=(30, 31)) * 0.05
+    cuts[draw.random(cuts.shape) < 0.3] = np.nan
+    table = pa.table({"class": np.arange(1200), "node": nodes, "cuts": [cuts[n].tolist() for n in nodes], "embedding": x.tolist()})
+    calls, direction = [], forest._direction
+    monkeypatch.setattr(forest, "_direction", lambda *a: calls.append(a) or direction(*a))
+    got = [row for batch in forest._route(0.93)(table.to_batches(max_chunksize=64)) for row in zip(*batch.to_pydict().values())]
+    assert len(calls) == len(set(calls)) <= 30 * 31
+
+    def children(node, v, path=0):
+        if path >= 31 or np.isnan(cuts[node][path]):
+            return [path]
+        place, margin = v @ direction(node, path, 8), forest._margin(0.93, 8)
+        return (children(node, v, 2 * path + 1) if place < cuts[node][path] + margin else []) + (
+            children(node, v, 2 * path + 2) if place >= cuts[node][path] - margin else [])
+
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert sorted(got) == sorted((k, n, path) for k, n in enumerate(nodes.tolist()) for path in children(n, unit[k]))
+
+
 def test_topk(spark):
     rows, frame = vectors(spark)
     whole = [(k, np.floor(64 * np.array(e))) for k, e, _ in rows if e and all(x is not None and math.isfinite(x) for x in e)]
