@@ -188,3 +188,35 @@ def test_unrolled_side_is_not_broadcast(spark):
     frames = make(spark, cloud(1, 30, 38, -122, 0.01), cloud(2, 120, 38, -122, 0.005))
     executed = plan(N.pairs_within(*frames, N.Limits(2, 15, 1))).split("== Physical Plan ==")[1]
     assert "SortMergeJoin" in executed and "Broadcast" not in executed
+
+
+def test_distance_is_computed_once_for_samples_of_a_place_and_day(spark):
+    left = spark.createDataFrame([(k, DAY, 2.0, 38.0, -122.0) for k in range(3)], LEFT)
+    right = spark.createDataFrame([(k, DAY + dt.timedelta(days=k % 2), 1.0 + k % 5 / 2, 38.0, -122.001) for k in range(40)], RIGHT)
+    for limits in (N.Limits(2, 15, 1), N.Limits(2, 15, None), N.Limits(2, None, None)):
+        found = N.pairs_within(left, right, limits, digits=3)
+        assert found.columns == [*left.columns, *right.columns, "km"]
+        assert rows(found, "fishid", "r_id") == brute(left.collect(), right.collect(), limits)
+        assert {r["km"] for r in found.collect()} == {round(km(38.0, -122.0, 38.0, -122.001), 3)}
+        steps = plan(found).split("== Physical Plan ==")[1]
+        # Lists unroll above the join and above the distance.
+        assert steps.index("Generate explode(_") < steps.index("ASIN") < steps.index("SortMergeJoin")
+
+
+def test_pairs_come_out_by_list_and_left_row(spark):
+    left = spark.createDataFrame([(k, DAY, 2.0, 38.0, -122.0) for k in range(6)], LEFT)
+    right = spark.createDataFrame([(k, DAY + dt.timedelta(days=k % 2), 2.0, 38.0, -122.0) for k in range(20)], RIGHT).repartition(4)
+    out = [(r["r_date"], r["fishid"]) for r in N.pairs_within(left, right, N.Limits(2, 15, 1)).collect()]
+    changes = sum(a != b for a, b in zip(out, out[1:]))
+    assert len(out) == 120 and changes == 11  # twelve runs of ten, however the samples arrive
+
+
+def test_many_rows_of_one_bucket_are_split_also_where_the_other_side_has_few(spark):
+    from surveyloom.session import stage
+
+    left, right = make(spark, [(1, DAY, 2.0, 38.0, -122.0)], [(k, DAY, 2.0, 38.0, -122.0) for k in range(60)])
+    keyed = lambda df: stage(df.selectExpr("*", "1 AS k"), "bucket")
+    a, b, keys, pairs = N.split_crowded(keyed(left), keyed(right), ["k"], rows_per_chunk=10)
+    assert pairs == 60 and keys == ["k", "_chunk_l", "_chunk_r"]
+    assert b.select("_chunk_r").distinct().count() > 3 and a.count() == 6 and b.count() == 60
+    assert rows(N.pairs_within(left, right, N.Limits(2, 15, 1), rows_per_chunk=10), "r_id") == sorted([(k,) for k in range(60)], key=repr)
