@@ -220,3 +220,26 @@ def test_many_rows_of_one_bucket_are_split_also_where_the_other_side_has_few(spa
     assert pairs == 60 and keys == ["k", "_chunk_l", "_chunk_r"]
     assert b.select("_chunk_r").distinct().count() > 3 and a.count() == 6 and b.count() == 60
     assert rows(N.pairs_within(left, right, N.Limits(2, 15, 1), rows_per_chunk=10), "r_id") == sorted([(k,) for k in range(60)], key=repr)
+
+
+def test_match_makes_its_synthesis_once_and_moves_only_fish_in_reach(spark, monkeypatch):
+    from surveyloom.plans import matching
+    from tests.test_synth import TWO, frames
+
+    catch, env = frames(spark, TWO, {"b1": 2005})
+    env = env.selectExpr("*", "1D AS SalBott")
+    days = ["04/16/2000", "04/15/2000", "05/16/2000", "05/17/2000", "junk", None]
+    fish = spark.createDataFrame([(f"f{k}", "A", d, "x", 1.5, 9.0, 8.0, 38.0, -122.0) for k, d in enumerate(days)],
+                                 "fishid string, survey string, date string, station string, sal double, secchi double, temp double, lat double, long double")
+    labels, reached = [], []
+    stage, match = matching.stage, matching.fish_sample_match
+    monkeypatch.setattr(matching, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    monkeypatch.setattr(matching, "fish_sample_match", lambda fish, *a, **k: reached.append(fish) or match(fish, *a, **k))
+    period = ("2000-05-01", "2000-05-01")
+    pairs, _ = matching.match_synthesis(fish, catch, env, period)
+    assert labels == ["samples"] and {r[0] for r in rows(reached[0], "fishid")} == {"f0", "f2"}
+    assert rows(pairs, "smelt_ID", "zoop_ID") == [("f0", "a1"), ("f2", "a1")]
+    assert matching.within_reach(fish, None, N.Limits()).count() == 6 == matching.within_reach(fish, period, N.Limits(days=None)).count()
+    cleaned = clean_fish(fish)
+    assert matching.within_reach(cleaned, ("2000-05-01", None), N.Limits()).count() == 3
+    assert matching.within_reach(cleaned, (None, "2000-05-01"), N.Limits()).count() == 3
